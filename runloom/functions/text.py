@@ -9,6 +9,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 SPACE = r"(?U)\s+"
 EDGE_SPACE = r"(?U)^\s+|\s+$"
@@ -114,7 +115,7 @@ def plain_text(value: str) -> str:
     return " ".join("".join(reader.pieces).split())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _plain_text_batch(values: pd.Series) -> pd.Series:
     return values.map(plain_text, na_action="ignore")
 

@@ -9,6 +9,7 @@ from typing import Any
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from ..ordering import ORD, distinct_in_order, keep_first, with_order
 from ..violations import REPORT_ROWS, require_none, violation_rows
@@ -38,7 +39,7 @@ class CatalogConflict(ValueError):
 def row_predicate(function: Callable[[dict[str, Any]], bool], columns: Iterable[str]) -> Column:
     """Boolean column that calls ``function`` with each row as a dict, in Arrow batches."""
 
-    @F.pandas_udf("boolean")
+    @F.pandas_udf(BooleanType())
     def accept(rows: pd.DataFrame) -> pd.Series:
         plain = rows.astype(object).where(rows.notna(), None)
         return pd.Series([bool(function(row)) for row in plain.to_dict("records")], dtype=bool)

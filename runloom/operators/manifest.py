@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import last_error_line, safe_identifier
 from ..ordering import ORD, global_ordinal, keep_first, upsert_last_wins
+from ..session import cut_lineage
 from ..violations import violation_rows
 from .state import status_counts
 
@@ -20,7 +21,11 @@ def items_digest(items: DataFrame, order: list[str], chunk: int = DIGEST_CHUNK)
     More items are hashed chunk by chunk and the chunk digests hashed again, level by
     level, so no task joins more than ``chunk`` texts.
     """
-    level = global_ordinal(items.select("fingerprint", *order), order).select(
+    frozen = cut_lineage(items.select("fingerprint", F.struct(*order).alias("place")))
+    if frozen.count() <= chunk:
+        joined = F.array_join(F.array_sort(F.collect_list(F.struct("place", "fingerprint")))["fingerprint"], "\n")
+        return frozen.agg(F.sha2(joined, 256).alias("digest"), F.count(F.lit(1)).alias("n"))
+    level = global_ordinal(frozen, ["place"]).select(
         "ordinal", "fingerprint", F.lit(1).cast("bigint").alias("n")
     )
     remaining = None

@@ -73,6 +73,18 @@ def _highest(columns: list[Column]) -> Column:
     return columns[0] if len(columns) == 1 else F.greatest(*columns)
 
 
+def first_filled(order: str, *columns: str) -> Column:
+    """Aggregate: first non-empty value of the first column, else of the next one.
+
+    All rows are looked at for one column before the next column is tried.
+    """
+    firsts = []
+    for name in columns:
+        value = blank_to_null(F.col(f"`{name}`"))
+        firsts.append(F.min_by(value, F.when(value.isNotNull(), F.col(order))))
+    return F.coalesce(*firsts)
+
+
 def summarize_units(df: DataFrame, group_column: str) -> DataFrame:
     """Scalars per unit, with the bounds that reveal contradicting species.
 

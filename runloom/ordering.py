@@ -10,6 +10,7 @@ window would sort the whole group in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -100,11 +101,15 @@ def pack_ordered(
     hot group; every element carries its order, and no row is lost.
     """
     keys = list(keys)
-    sizes = group_sizes(df, keys).withColumn(
-        "n_chunks", F.ceil(F.col("_n") / F.lit(limit)).cast("int")
+    renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
+    sizes = group_sizes(df, keys).select(
+        *[F.col(k).alias(renamed[k]) for k in keys],
+        F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("n_chunks"),
     )
-    condition = [df[k].eqNullSafe(sizes[k]) for k in keys]
-    sized = df.join(sizes, condition).select(*[df[c] for c in df.columns], sizes["n_chunks"])
+    same = reduce(
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys]
+    )
+    sized = df.join(sizes, same).drop(*renamed.values())
     chunk = F.when(
         F.col("n_chunks") > 1, F.pmod(F.xxhash64(F.col(order), F.col(value)), F.col("n_chunks"))
     ).otherwise(F.lit(0))

@@ -1 +1,8 @@
+"""Queries on the shared test tables, one or more per operator."""
 
+from . import catalog_queries, metadata_queries, text_queries
+from .registry import ORACLES, QUERIES
+
+flagship = None
+
+__all__ = ["ORACLES", "QUERIES", "flagship"]

@@ -30,6 +30,7 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("runloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config(
