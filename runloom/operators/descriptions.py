@@ -24,7 +24,8 @@ from ..functions.text import (
     without_markup,
 )
 from ..functions.values import blank_to_null, submitter_text, with_unit
-from ..ordering import PACK_LIMIT, pack_ordered
+from ..ordering import keep_first, pack_ordered, set_digest_aggs, set_digest_text
+from ..session import cut_lineage
 from ..violations import require_none, violation_rows
 
 # Output fields and the attribute names that feed them.
@@ -93,6 +94,7 @@ OMIT_SAMPLE = "omit: administrative identifier/date/location or unselected attri
 OMIT_OTHER = "omit: archive/study bookkeeping; study text is retained separately"
 
 SAMPLE_STAGE, EXPERIMENT_STAGE = 0, 1
+MAP_LIMIT = 10_000
 FIELD_ROW = "STRUCT<block: INT, pos: INT, field: STRING, value: STRING, keep_missing: BOOLEAN>"
 
 
@@ -184,22 +186,35 @@ def experiment_wins(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(heads, [*scope, "stage"])
 
 
-def drop_redundant_source(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Drop a single ``Source name`` that only repeats one of the tissues."""
-    tissues = rows.filter(F.col("field") == "Tissue").select(
-        *keys, tissue_key(F.col("value")).alias("_text")
-    )
-    sources = rows.filter(F.col("field") == "Source name")
-    single = (
-        sources.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("value").alias("_value"))
-        .filter("_n = 1")
-        .select(*keys, fold_case(squeeze(F.col("_value"))).alias("_text"))
+def redundant_sources(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys whose only ``Source name`` repeats one of the tissues.
+
+    Takes the same rows as ``experiment_wins``. Only the two fields concerned are read;
+    they are grouped by text first, so very many tissues of one key stay spread out,
+    and which stage counts is decided at the end from flags for each combination.
+    """
+    tissue = F.col("field") == "Tissue"
+    concerned = rows.filter(F.col("field").isin("Tissue", "Source name"))
+    text = F.when(tissue, tissue_key(F.col("value"))).otherwise(fold_case(squeeze(F.col("value"))))
+    stages = (SAMPLE_STAGE, EXPERIMENT_STAGE)
+    per_text = concerned.groupBy(*keys, text.alias("_text")).agg(
+        *[F.count_if(tissue & (F.col("stage") == s)).alias(f"t{s}") for s in stages],
+        *[F.count_if(~tissue & (F.col("stage") == s)).alias(f"s{s}") for s in stages],
+    )
+    flags = per_text.groupBy(*keys).agg(
+        *[F.sum(f"{kind}{s}").alias(f"{kind}{s}") for kind in "ts" for s in stages],
+        *[
+            F.bool_or((F.col(f"s{a}") > 0) & (F.col(f"t{b}") > 0)).alias(f"m{a}{b}")
+            for a in stages
+            for b in stages
+        ],
     )
-    repeated = single.join(tissues, [*keys, "_text"], "left_semi").select(
-        *keys, F.lit("Source name").alias("field")
+    source, tissues = F.col("s1") > 0, F.col("t1") > 0
+    count = F.when(source, F.col("s1")).otherwise(F.col("s0"))
+    match = F.when(source, F.when(tissues, F.col("m11")).otherwise(F.col("m10"))).otherwise(
+        F.when(tissues, F.col("m01")).otherwise(F.col("m00"))
     )
-    return rows.join(repeated, [*keys, "field"], "left_anti")
+    return flags.filter((count == 1) & match).select(*keys)
 
 
 def _row(block: int, pos: Column, name: Column, value: Column, keep_missing: bool) -> Column:
@@ -405,36 +420,63 @@ def relations_of(packages: DataFrame, *, need_sample: bool) -> DataFrame:
     return links.select(*columns, key.alias("relation")).distinct()
 
 
-def _one_relation(rows: DataFrame, operator: str) -> tuple[DataFrame, DataFrame]:
-    """Rows of one relation per experiment, and the experiments whose relations differ."""
-    content = F.xxhash64("field", "value", "field_ord", "ord")
+def one_relation(relations: DataFrame) -> DataFrame:
+    """One link per experiment."""
+    return keep_first(relations, ["experiment_accession"], "relation")
+
+
+def repeated_relations(relations: DataFrame) -> DataFrame:
+    """All links of the experiments that have several different ones."""
+    several = relations.groupBy("experiment_accession").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    return relations.join(several.select("experiment_accession"), "experiment_accession", "left_semi")
+
+
+def description_conflicts(rows: DataFrame, operator: str) -> DataFrame:
+    """Experiments whose links are described differently, as violation rows.
+
+    Descriptions are compared through a count and an XOR of row digests, which
+    combine on the map side.
+    """
+    content = F.xxhash64("field", "value", "field_ord", "value_ord")
     digests = rows.groupBy("experiment", "relation").agg(
         F.bit_xor(content).alias("_x"), F.count(F.lit(1)).alias("_n")
     )
     heads = digests.groupBy("experiment").agg(
-        F.min("relation").alias("relation"),
-        F.min(F.struct("_x", "_n")).alias("_lo"),
-        F.max(F.struct("_x", "_n")).alias("_hi"),
+        F.min(F.struct("_x", "_n")).alias("_lo"), F.max(F.struct("_x", "_n")).alias("_hi")
     )
-    conflicts = violation_rows(
+    return violation_rows(
         heads.filter("_lo <> _hi"), operator, F.col("experiment"), F.lit("conflicting metadata")
     )
-    kept = rows.join(heads.select("experiment", "relation"), ["experiment", "relation"], "left_semi")
-    return kept.select("experiment", "field", "field_ord", "value", F.col("ord").alias("value_ord")), conflicts
 
 
 KEYS = ["experiment", "relation"]
+OUTPUT = ["experiment", "field", "field_ord", "value", "value_ord"]
+
+
+def _study_rows(bundle, relations: DataFrame) -> DataFrame:
+    rows = experiment_rows(relations, bundle.experiments, bundle.studies, bundle.submissions)
+    folded = cut_lineage(fold_values(rows, [*KEYS, "stage"]))
+    return experiment_wins(folded, KEYS).withColumnRenamed("ord", "value_ord")
+
+
+def _compact_rows(bundle, relations: DataFrame, aliases: DataFrame) -> DataFrame:
+    rows = sample_rows(relations, bundle.sra_samples, bundle.biosamples, aliases).unionByName(
+        experiment_rows(relations, bundle.experiments, bundle.studies, bundle.submissions)
+    )
+    # Three joins below read the folded rows, so they are materialized once.
+    folded = cut_lineage(fold_values(rows, [*KEYS, "stage"]))
+    dropped = redundant_sources(folded, KEYS).withColumn("field", F.lit("Source name"))
+    kept = experiment_wins(folded, KEYS).join(dropped, [*KEYS, "field"], "left_anti")
+    return kept.withColumnRenamed("ord", "value_ord")
 
 
 def study_fields(bundle, policy: DescriptionPolicy | None = None, *, strict: bool = True) -> DataFrame:
     """Library and study fields per experiment, as field rows."""
     relations = relations_of(bundle.packages, need_sample=False)
-    rows = experiment_rows(relations, bundle.experiments, bundle.studies, bundle.submissions)
-    folded = fold_values(rows, [*KEYS, "stage"])
-    kept, conflicts = _one_relation(experiment_wins(folded, KEYS), "study_fields")
     if strict:
-        require_none(conflicts)
-    return kept
+        several = _study_rows(bundle, repeated_relations(relations))
+        require_none(description_conflicts(several, "study_fields"))
+    return _study_rows(bundle, one_relation(relations)).select(*OUTPUT)
 
 
 def compact_descriptions(
@@ -446,34 +488,44 @@ def compact_descriptions(
     """
     aliases = (policy or DescriptionPolicy()).alias_table(bundle.packages.sparkSession)
     relations = relations_of(bundle.packages, need_sample=True)
-    rows = sample_rows(relations, bundle.sra_samples, bundle.biosamples, aliases).unionByName(
-        experiment_rows(relations, bundle.experiments, bundle.studies, bundle.submissions)
-    )
-    folded = experiment_wins(fold_values(rows, [*KEYS, "stage"]), KEYS)
-    kept, conflicts = _one_relation(drop_redundant_source(folded, KEYS), "compact_descriptions")
     if strict:
-        require_none(conflicts)
-    return kept
+        several = _compact_rows(bundle, repeated_relations(relations), aliases)
+        require_none(description_conflicts(several, "compact_descriptions"))
+    return _compact_rows(bundle, one_relation(relations), aliases).select(*OUTPUT)
 
 
-def description_maps(rows: DataFrame, limit: int = PACK_LIMIT) -> DataFrame:
+def description_maps(rows: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
     """Field rows as ``MAP<field, ARRAY<value>>`` per experiment, fields in order.
 
-    Both levels are packed in bounded chunks; an ordinary experiment is one row. The
-    further chunks of a very long value list follow as rows with ``part > 0``.
+    An ordinary experiment is one row; one with more than ``limit`` values is spread
+    over several, which together hold all of them.
     """
-    values = pack_ordered(rows, ["experiment", "field", "field_ord"], "value", "value_ord", limit)
-    entries = values.withColumn("entry", F.struct(F.col("field").alias("key"), F.col("values").alias("value")))
-    fields = pack_ordered(
-        entries.select("experiment", F.col("chunk").alias("part"), F.struct("field_ord", "field").alias("ord"), "entry"),
-        ["experiment", "part"],
-        "entry",
-        "ord",
-        limit,
+    entries = rows.select(
+        "experiment",
+        F.struct("field_ord", "field", "value_ord").alias("ord"),
+        F.struct("field", "value").alias("entry"),
     )
-    return fields.select(
-        "experiment", "part", "chunk", "n_chunks", F.map_from_entries("values").alias("description")
+    packed = pack_ordered(entries, ["experiment"], "entry", "ord", limit)
+    names = F.array_distinct(F.col("values")["field"])
+    listed = F.transform(
+        names, lambda n: F.transform(F.filter("values", lambda e: e["field"] == n), lambda e: e["value"])
     )
+    return packed.select("experiment", "chunk", "n_chunks", F.map_from_arrays(names, listed).alias("description"))
+
+
+def description_identities(maps: DataFrame, profile: str) -> DataFrame:
+    """``(unit_id, profile, sha256)`` of packed descriptions, for fingerprints.
+
+    The digest covers sorted fields; chunks of a large description are combined.
+    """
+    entries = F.array_sort(F.map_entries("description"))
+    digest = F.sha2(F.to_json(entries), 256)
+    chunks = maps.select(F.col("experiment").alias("unit_id"), "chunk", digest.alias("_d"))
+    combined = chunks.groupBy("unit_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_d").alias("_first"), *set_digest_aggs(F.col("_d"), "_s")
+    )
+    identity = F.when(F.col("_n") == 1, F.col("_first")).otherwise(F.sha2(set_digest_text("_s", F.col("_n")), 256))
+    return combined.select("unit_id", F.lit(profile).alias("profile"), identity.alias("sha256"))
 
 
 def describe(bundle, *, profile: str = "training", policy: DescriptionPolicy | None = None):
