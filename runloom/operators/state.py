@@ -9,6 +9,8 @@ from typing import Any
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.text import bounded_error
 from ..ordering import ORD, keep_last
@@ -195,7 +197,7 @@ def fold_events(events: DataFrame, stale_seconds: float = STALE_SECONDS) -> Data
     events are never collected: Spark sorts them externally and the task streams over
     them holding one state. The row with ``is_last`` carries the final state.
     """
-    schema = _arrow_schema(events)
+    schema = to_arrow_schema(StructType.fromDDL(FOLD_COLUMNS))
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, state, held = None, {}, None
@@ -219,13 +221,6 @@ def fold_events(events: DataFrame, stale_seconds: float = STALE_SECONDS) -> Data
     return ordered.mapInArrow(fold, FOLD_COLUMNS)
 
 
-def _arrow_schema(df: DataFrame) -> pa.Schema:
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    return to_arrow_schema(StructType.fromDDL(FOLD_COLUMNS), timezone="UTC")
-
-
 def with_event_defaults(events: DataFrame) -> DataFrame:
     """Events with every column of ``EVENT_COLUMNS``; absent flags are false."""
     flags = ("force", "retry_failed", "reclaim")
@@ -324,7 +319,8 @@ def report_counts(outcomes: DataFrame) -> DataFrame:
 
 def is_stale(started: Column, now: Column, stale_seconds: float = STALE_SECONDS) -> Column:
     """Whether a claim is older than the threshold."""
-    age = (F.unix_micros(now) - F.unix_micros(started)) / F.lit(1_000_000.0)
+    micros = [F.unix_micros(moment.cast("timestamp")) for moment in (now, started)]
+    age = (micros[0] - micros[1]) / F.lit(1_000_000.0)
     return age > F.lit(float(stale_seconds))
 
 
