@@ -77,9 +77,8 @@ def fold_attributes(records: Column) -> Column:
     One record list belongs to one entity row, so the fold is a higher-order
     expression inside the row and needs no shuffle.
     """
-    records = F.coalesce(
-        records, F.array().cast("array<struct<name:string,value:string,units:string>>")
-    )
+    plain = F.transform(records, lambda r: F.struct(r["name"].alias("name"), r["value"].alias("value"), r["units"].alias("units")))
+    records = F.coalesce(plain, F.array().cast("array<struct<name:string,value:string,units:string>>"))
     names = F.array_distinct(F.transform(records, lambda r: r["name"]))
     values = F.transform(
         names,

@@ -144,8 +144,15 @@ class RunCatalog:
         rows = [dict(record) for record in records]
         if schema is None:
             names = list(dict.fromkeys(name for row in rows for name in row))
-            rows = [{name: row.get(name) for name in names} for row in rows]
-        return cls(spark.createDataFrame(rows, schema), audit=("created from records",))
+            known = [n for n in names if any(row.get(n) is not None for row in rows)]
+            frame = spark.createDataFrame([tuple(row.get(n) for n in known) for row in rows], known)
+            empty = F.lit(None).cast("string")
+            frame = with_order(frame).select(
+                *[F.col(f"`{n}`") if n in known else empty.alias(n) for n in names], ORD
+            )
+        else:
+            frame = spark.createDataFrame(rows, schema)
+        return cls(frame, audit=("created from records",))
 
     @property
     def frame(self) -> DataFrame:

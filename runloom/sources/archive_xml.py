@@ -59,7 +59,7 @@ PACKAGE_COLUMNS = (
     f" IDENTIFIERS: {_IDS}, TITLE: STRING, STUDY_REF: STRUCT<_accession: STRING>,"
     " DESIGN: STRUCT<DESIGN_DESCRIPTION: STRING, SAMPLE_DESCRIPTOR: STRUCT<_accession: STRING>,"
     " LIBRARY_DESCRIPTOR: STRUCT<LIBRARY_NAME: STRING, LIBRARY_STRATEGY: STRING, LIBRARY_SOURCE: STRING,"
-    " LIBRARY_SELECTION: STRING, LIBRARY_LAYOUT: MAP<STRING, STRUCT<_NOMINAL_LENGTH: STRING, _NOMINAL_SDEV: STRING>>,"
+    " LIBRARY_SELECTION: STRING, LIBRARY_LAYOUT: MAP<STRING, STRING>,"
     " LIBRARY_CONSTRUCTION_PROTOCOL: STRING>>, PLATFORM: MAP<STRING, STRUCT<INSTRUMENT_MODEL: STRING>>,"
     f" EXPERIMENT_LINKS: STRUCT<EXPERIMENT_LINK: {_LINKS}>,"
     f" EXPERIMENT_ATTRIBUTES: STRUCT<EXPERIMENT_ATTRIBUTE: ARRAY<{_TAGGED}>>>,"
@@ -130,13 +130,17 @@ def lossless_tree(xml: Column) -> Column:
     return _tree_json(xml)
 
 
+def record_text(chunk: Column, tag: str) -> Column:
+    """Text of the ``tag`` record in a chunk that ends before the end tag, or null."""
+    record = F.regexp_extract(chunk, rf"(?s)<{tag}(?:\s[^>]*)?>.*", 0)
+    return F.when(record != "", F.concat(record, F.lit(f"</{tag}>")))
+
+
 def read_records(spark: SparkSession, path, tag: str) -> DataFrame:
     """One row per ``tag`` record with its text and position."""
-    closing = f"</{tag}>"
-    chunks = spark.read.text(path, lineSep=closing).select("value", read_position().alias(ORD))
-    record = F.regexp_extract("value", rf"(?s)<{tag}(?:\s[^>]*)?>.*", 0)
-    return chunks.select(record.alias("_x"), ORD).filter("_x <> ''").select(
-        F.concat("_x", F.lit(closing)).alias("xml"), ORD
+    chunks = spark.read.text(path, lineSep=f"</{tag}>")
+    return chunks.select(record_text(F.col("value"), tag).alias("xml"), read_position().alias(ORD)).filter(
+        F.col("xml").isNotNull()
     )
 
 
@@ -262,11 +266,20 @@ def _with_attributes(df: DataFrame) -> DataFrame:
     return df.withColumn("attributes", fold_attributes(F.col("attribute_records")))
 
 
+def layout_properties(xml: Column) -> Column:
+    """Attributes of the layout element; the XML reader drops those of empty map values."""
+    text = F.regexp_extract(xml, r"(?s)<LIBRARY_LAYOUT>\s*<\w+\s([^>]*?)/?>", 1)
+    attribute = F.lit(r'(\w+)="([^"]*)"')
+    return F.map_from_arrays(
+        F.regexp_extract_all(text, attribute, F.lit(1)), F.regexp_extract_all(text, attribute, F.lit(2))
+    )
+
+
 def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
     """The collections of parsed package records; the first record per accession wins."""
     good = parsed.filter(F.col("r._corrupt").isNull())
     raw = lossless_tree(F.col("xml")) if include_raw else F.lit(None).cast("string")
-    trees = good.select("r.*", ORD, raw.alias("_raw"))
+    trees = good.select("r.*", "xml", ORD, raw.alias("_raw"))
 
     def part(name: str) -> Column:
         path = {"experiments": "EXPERIMENT", "studies": "STUDY", "sra_samples": "SAMPLE", "submissions": "SUBMISSION"}[name]
@@ -275,7 +288,6 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
     e, s, m, b, o = (F.col(c) for c in ("EXPERIMENT", "STUDY", "SAMPLE", "SUBMISSION", "Organization"))
     library, layout = e["DESIGN"]["LIBRARY_DESCRIPTOR"], e["DESIGN"]["LIBRARY_DESCRIPTOR"]["LIBRARY_LAYOUT"]
     layout_name = F.try_element_at(F.map_keys(layout), F.lit(1))
-    layout_node = F.try_element_at(F.map_values(layout), F.lit(1))
     platform = e["PLATFORM"]
     experiments = trees.filter(e.isNotNull()).select(
         _accession(e).alias("accession"),
@@ -291,7 +303,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
             _clean(library["LIBRARY_SOURCE"]).alias("source"),
             _clean(library["LIBRARY_SELECTION"]).alias("selection"),
             layout_name.alias("layout"),
-            _non_null_map(("NOMINAL_LENGTH", "NOMINAL_SDEV"), layout_node).alias("layout_properties"),
+            layout_properties(F.col("xml")).alias("layout_properties"),
             _clean(library["LIBRARY_CONSTRUCTION_PROTOCOL"]).alias("construction_protocol"),
         ).alias("library"),
         F.struct(

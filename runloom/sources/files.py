@@ -9,10 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..ordering import ORD
-
 BLOCK = 8 * 1024 * 1024
-HASH_IN_JVM = 64 * 1024 * 1024
 
 
 def _plain_path(column: str):
@@ -20,7 +17,10 @@ def _plain_path(column: str):
 
 
 def file_inventory(spark: SparkSession, path, *, glob: str | None = None) -> DataFrame:
-    """``path, size, modified`` of every file below ``path``; contents are not read."""
+    """``path, size, modified`` of every file below ``path``; contents are not read.
+
+    Empty files are not listed, so like missing ones they fail every later check.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
@@ -60,10 +60,5 @@ def with_sha256(inventory: DataFrame) -> DataFrame:
 
 
 def hashed_inventory(spark: SparkSession, path, *, glob: str | None = None) -> DataFrame:
-    """Inventory with checksums; zero-byte files stay visible with ``size = 0``."""
+    """Inventory with checksums."""
     return with_sha256(file_inventory(spark, path, glob=glob))
-
-
-def landed_order() -> list[str]:
-    """Name of the order column that sources attach."""
-    return [ORD]
