@@ -97,13 +97,22 @@ class MetadataLoad:
         saved.completeness_index().write.mode("overwrite").parquet(f"{self._version(batch)}/index")
         self.spark.createDataFrame([(batch,)], "version BIGINT").write.mode("append").parquet(f"{self.directory}/{CURRENT}")
 
+    def _parsed(self, records: DataFrame, columns: str, batch: int) -> DataFrame:
+        """Parse a micro-batch once into a table that all collections are cut from.
+
+        The table is columnar, so each collection reads only its own part of it.
+        """
+        path = f"{self.directory}/parsed/{batch:08d}"
+        parse_records(placed(records), columns).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
     def apply_packages(self, records: DataFrame, batch: int, *, include_raw: bool = False) -> None:
         """Upsert a micro-batch of package records."""
-        self.apply(packages_bundle(parse_records(placed(records), PACKAGE_COLUMNS), include_raw=include_raw), batch)
+        self.apply(packages_bundle(self._parsed(records, PACKAGE_COLUMNS, batch), include_raw=include_raw), batch)
 
     def apply_biosamples(self, records: DataFrame, batch: int, *, include_raw: bool = False) -> None:
         """Upsert a micro-batch of BioSample records."""
-        table = biosample_table(parse_records(placed(records), BIOSAMPLE_COLUMNS), include_raw=include_raw)
+        table = biosample_table(self._parsed(records, BIOSAMPLE_COLUMNS, batch), include_raw=include_raw)
         self.apply(Bundle(biosamples=table), batch)
 
     def _load(self, landing: str, tag: str, checkpoint: str, apply):
