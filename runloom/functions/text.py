@@ -12,7 +12,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 SPACE = r"(?U)\s+"
-EDGE_SPACE = r"(?U)^\s+|\s+$"
+# Every character that counts as white space.
+SPACE_CHARACTERS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Limits of markup removal that decide the resulting text.
 ENTITY_ROUNDS = 5
@@ -36,7 +40,7 @@ PLACEHOLDERS = (
 
 def strip(value: Column) -> Column:
     """Remove white space of any kind at both ends."""
-    return F.regexp_replace(value, EDGE_SPACE, "")
+    return F.btrim(value, F.lit(SPACE_CHARACTERS))
 
 
 def squeeze(value: Column) -> Column:

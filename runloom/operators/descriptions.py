@@ -24,7 +24,7 @@ from ..functions.text import (
     without_markup,
 )
 from ..functions.values import blank_to_null, submitter_text, with_unit
-from ..ordering import keep_first, pack_ordered, set_digest_aggs, set_digest_text
+from ..ordering import pack_ordered, set_digest_aggs, set_digest_text
 from ..session import cut_lineage
 from ..violations import require_none, violation_rows
 
@@ -95,7 +95,10 @@ OMIT_OTHER = "omit: archive/study bookkeeping; study text is retained separately
 
 SAMPLE_STAGE, EXPERIMENT_STAGE = 0, 1
 MAP_LIMIT = 10_000
-FIELD_ROW = "STRUCT<block: INT, pos: INT, field: STRING, value: STRING, keep_missing: BOOLEAN>"
+FIELD_ROW = (
+    "STRUCT<block: INT, pos: INT, field: STRING, value: STRING, keep_missing: BOOLEAN,"
+    " alias0: STRING, alias1: STRING>"
+)
 
 
 @dataclass(frozen=True)
@@ -217,13 +220,15 @@ def redundant_sources(rows: DataFrame, keys: list[str]) -> DataFrame:
     return flags.filter((count == 1) & match).select(*keys)
 
 
-def _row(block: int, pos: Column, name: Column, value: Column, keep_missing: bool) -> Column:
+def _row(block: int, pos: Column, name: Column | None, value: Column, keep_missing: bool, aliases=(None, None)) -> Column:
+    text = F.lit(None).cast("string")
     return F.struct(
         F.lit(block).alias("block"),
         pos.cast("int").alias("pos"),
-        name.alias("field"),
+        (text if name is None else name).alias("field"),
         value.cast("string").alias("value"),
         F.lit(keep_missing).alias("keep_missing"),
+        *[(text if a is None else a).alias(f"alias{i}") for i, a in enumerate(aliases)],
     )
 
 
@@ -232,9 +237,7 @@ def _fixed(block: int, name: str, value: Column, keep_missing: bool = False) ->
 
 
 def _entries(block: int, entries: Column, name, value, keep_missing: bool) -> Column:
-    listed = F.transform(
-        entries, lambda e, i: _row(block, i, name(e), value(e), keep_missing)
-    )
+    listed = F.transform(entries, lambda e, i: _row(block, i, name(e), value(e), keep_missing))
     return F.coalesce(listed, F.array().cast(f"array<{FIELD_ROW}>"))
 
 
@@ -245,13 +248,10 @@ def _layout_field(name: Column) -> Column:
     return F.coalesce(renamed, name)
 
 
-def experiment_rows(
-    relations: DataFrame, experiments: DataFrame, studies: DataFrame, submissions: DataFrame
-) -> DataFrame:
-    """Design, library, platform, study, submitter and attribute rows of each relation.
+def experiment_entries() -> Column:
+    """Design, library, platform, study, submitter and attribute rows of one link.
 
-    ``relations`` needs ``experiment_accession``, ``study_accession``,
-    ``submission_accession`` and ``relation``.
+    Works on the record columns ``_e`` (experiment), ``_t`` (study), ``_s`` (submission).
     """
     attributes = F.flatten(
         F.transform(
@@ -259,8 +259,9 @@ def experiment_rows(
             lambda e: F.transform(e["value"], lambda v: F.struct(e["key"].alias("key"), v.alias("value"))),
         )
     )
-    library = F.col("_e.library")
-    rows = F.concat(
+    library, organization = F.col("_e.library"), F.col("_s.organization")
+    submitter = submitter_text(organization["name"], organization["abbreviation"], F.col("_s.center_name"))
+    return F.concat(
         _fixed(0, "Design", F.col("_e.design_description")),
         *[
             _fixed(1 + i, output, library[source], keep_missing=True)
@@ -270,66 +271,42 @@ def experiment_rows(
         _entries(11, F.map_entries(library["layout_properties"]), lambda e: _layout_field(e["key"]), lambda e: e["value"], False),
         _fixed(12, "Study", F.col("_t.title")),
         _fixed(13, "Abstract", F.col("_t.abstract")),
-        _fixed(
-            14,
-            "Submitted by",
-            submitter_text(F.col("_s.organization.name"), F.col("_s.organization.abbreviation"), F.col("_s.center_name")),
-        ),
+        _fixed(14, "Submitted by", submitter),
         _entries(15, attributes, lambda e: experiment_field(e["key"]), lambda e: e["value"], True),
     )
-    joined = (
-        relations.join(
-            experiments.select(
-                F.col("accession").alias("experiment_accession"),
-                F.struct("design_description", "library", "platform", "attributes").alias("_e"),
-            ),
-            "experiment_accession",
-            "left",
-        )
-        .join(
-            studies.select(F.col("accession").alias("study_accession"), F.struct("title", "abstract").alias("_t")),
-            "study_accession",
-            "left",
-        )
-        .join(
-            submissions.select(
-                F.col("accession").alias("submission_accession"), F.struct("organization", "center_name").alias("_s")
-            ),
-            "submission_accession",
-            "left",
+
+
+def _attribute_entries(block: int, records: Column) -> Column:
+    """Rows of attribute records; their field is looked up later by two aliases."""
+
+    def one(r: Column, i: Column) -> Column:
+        properties = F.coalesce(r["properties"], F.create_map().cast("map<string,string>"))
+        unit = F.coalesce(
+            blank_to_null(r["units"]),
+            blank_to_null(F.try_element_at(properties, F.lit("unit"))),
+            blank_to_null(F.try_element_at(properties, F.lit("units"))),
         )
-    )
-    return joined.select("experiment_accession", "relation", F.explode(rows).alias("_f")).select(
-        F.col("experiment_accession").alias("experiment"),
-        "relation",
-        F.lit(EXPERIMENT_STAGE).alias("stage"),
-        F.struct("_f.block", "_f.pos").alias("ord"),
-        "_f.field",
-        "_f.value",
-        "_f.keep_missing",
-    )
+        second = F.coalesce(F.try_element_at(properties, F.lit("attribute_name")), F.lit(""))
+        names = (normalized_name(r["name"]), normalized_name(second))
+        return _row(block, i, None, with_unit(r["value"], unit), False, names)
 
+    return F.coalesce(F.transform(records, one), F.array().cast(f"array<{FIELD_ROW}>"))
 
-def _attribute_rows(rows: DataFrame, aliases: DataFrame) -> DataFrame:
-    """Selected sample attributes of exploded records, under their output field."""
-    small = F.broadcast(aliases)
-    properties = F.coalesce(
-        F.col("_r.properties"), F.create_map().cast("map<string,string>")
-    )
-    unit = F.coalesce(
-        blank_to_null(F.col("_r.units")),
-        blank_to_null(F.try_element_at(properties, F.lit("unit"))),
-        blank_to_null(F.try_element_at(properties, F.lit("units"))),
-    )
-    named = rows.withColumn("_a1", normalized_name(F.col("_r.name"))).withColumn(
-        "_a2", normalized_name(F.coalesce(F.try_element_at(properties, F.lit("attribute_name")), F.lit("")))
-    )
-    return (
-        named.join(small.select(F.col("alias").alias("_a1"), F.col("output").alias("_o1")), "_a1", "left")
-        .join(small.select(F.col("alias").alias("_a2"), F.col("output").alias("_o2")), "_a2", "left")
-        .withColumn("field", F.coalesce("_o1", "_o2"))
-        .filter(F.col("field").isNotNull())
-        .withColumn("value", with_unit(F.col("_r.value"), unit))
+
+def sample_entries() -> Column:
+    """Identifier, species, attribute and comment rows of one link's sample.
+
+    Works on the record columns ``_m`` (sample) and ``_b`` (BioSample).
+    """
+    return F.concat(
+        _fixed(0, "ID", F.col("experiment_accession"), True),
+        _fixed(1, "Experiment ID", F.col("experiment_accession"), True),
+        _fixed(2, "SRA Sample ID", F.col("sra_sample_accession"), True),
+        _fixed(3, "Species", F.col("_m.organism")),
+        _fixed(4, "BioSample ID", F.col("biosample"), True),
+        _attribute_entries(5, F.col("_b.records")),
+        _attribute_entries(6, F.col("_m.records")),
+        _fixed(7, "Sample description", F.col("_b.comment")),
     )
 
 
@@ -355,80 +332,93 @@ def _records(df: DataFrame) -> Column:
     return F.when(F.coalesce(F.size(records), F.lit(0)) > 0, records).otherwise(from_map)
 
 
-def sample_rows(
-    relations: DataFrame, samples: DataFrame, biosamples: DataFrame, aliases: DataFrame
-) -> DataFrame:
-    """Identifier, species, attribute and comment rows of each relation's sample."""
+def _linked(bundle, relations: DataFrame, *, with_sample: bool) -> DataFrame:
+    """Links with their records as struct columns."""
+    joined = (
+        relations.join(
+            bundle.experiments.select(
+                F.col("accession").alias("experiment_accession"),
+                F.struct("design_description", "library", "platform", "attributes").alias("_e"),
+            ),
+            "experiment_accession",
+            "left",
+        )
+        .join(
+            bundle.studies.select(F.col("accession").alias("study_accession"), F.struct("title", "abstract").alias("_t")),
+            "study_accession",
+            "left",
+        )
+        .join(
+            bundle.submissions.select(
+                F.col("accession").alias("submission_accession"), F.struct("organization", "center_name").alias("_s")
+            ),
+            "submission_accession",
+            "left",
+        )
+    )
+    if not with_sample:
+        return joined
+    samples, archive = bundle.sra_samples, bundle.biosamples
     sample = samples.select(
         F.col("accession").alias("sra_sample_accession"),
-        "organism",
         blank_to_null(F.col("biosample")).alias("biosample"),
-        _records(samples).alias("_sample_records"),
-    )
-    archive = biosamples.select(
-        F.col("accession").alias("biosample"), "comment", _records(biosamples).alias("_bio_records")
-    )
-    joined = relations.join(sample, "sra_sample_accession", "left").join(archive, "biosample", "left")
-    fixed = F.concat(
-        _fixed(0, "ID", F.col("experiment_accession"), True),
-        _fixed(1, "Experiment ID", F.col("experiment_accession"), True),
-        _fixed(2, "SRA Sample ID", F.col("sra_sample_accession"), True),
-        _fixed(3, "Species", F.col("organism")),
-        _fixed(4, "BioSample ID", F.col("biosample"), True),
-        _fixed(7, "Sample description", F.col("comment")),
+        F.struct("organism", _records(samples).alias("records")).alias("_m"),
     )
-    plain = joined.select("experiment_accession", "relation", F.explode(fixed).alias("_f")).select(
-        "experiment_accession",
-        "relation",
-        F.struct("_f.block", "_f.pos").alias("ord"),
-        "_f.field",
-        "_f.value",
-        "_f.keep_missing",
-    )
-    listed = None
-    for block, column in ((5, "_bio_records"), (6, "_sample_records")):
-        part = joined.select(
-            "experiment_accession", "relation", F.lit(block).alias("_b"), F.posexplode(column).alias("_p", "_r")
-        )
-        listed = part if listed is None else listed.unionByName(part)
-    attributes = _attribute_rows(listed, aliases).select(
-        "experiment_accession",
-        "relation",
-        F.struct(F.col("_b").alias("block"), F.col("_p").alias("pos")).alias("ord"),
-        "field",
-        "value",
-        F.lit(False).alias("keep_missing"),
+    second = archive.select(
+        F.col("accession").alias("biosample"), F.struct("comment", _records(archive).alias("records")).alias("_b")
     )
-    return plain.unionByName(attributes).select(
-        F.col("experiment_accession").alias("experiment"),
-        "relation",
-        F.lit(SAMPLE_STAGE).alias("stage"),
-        "ord",
-        "field",
-        "value",
-        "keep_missing",
+    return joined.join(sample, "sra_sample_accession", "left").join(second, "biosample", "left")
+
+
+def field_rows(bundle, relations: DataFrame, keys: list[str], aliases: DataFrame | None) -> DataFrame:
+    """All field rows of the links: the sample stage (with ``aliases``), then the rest.
+
+    Both stages come from one pass over the joined links; only the attribute names are
+    joined afterwards, to the small alias table.
+    """
+    stages = [F.struct(F.lit(EXPERIMENT_STAGE).alias("stage"), experiment_entries().alias("rows"))]
+    if aliases is not None:
+        stages.insert(0, F.struct(F.lit(SAMPLE_STAGE).alias("stage"), sample_entries().alias("rows")))
+    linked = _linked(bundle, relations, with_sample=aliases is not None)
+    listed = linked.withColumn("experiment", F.col("experiment_accession")).select(
+        *keys, F.inline(F.array(*stages))
     )
+    rows = listed.select(*keys, "stage", F.inline("rows")).filter(F.col("value").isNotNull())
+    if aliases is not None:
+        for i in range(2):
+            names = F.broadcast(aliases.select(F.col("alias").alias(f"alias{i}"), F.col("output").alias(f"output{i}")))
+            rows = rows.join(names, f"alias{i}", "left")
+        rows = rows.withColumn("field", F.coalesce("field", "output0", "output1")).filter(F.col("field").isNotNull())
+    return rows.select(*keys, "stage", F.struct("block", "pos").alias("ord"), "field", "value", "keep_missing")
+
 
+LINK_COLUMNS = ["sra_sample_accession", "study_accession", "submission_accession"]
 
-def relations_of(packages: DataFrame, *, need_sample: bool) -> DataFrame:
-    """Distinct links of experiments, with a key for each distinct combination."""
+
+def links_of(packages: DataFrame, *, need_sample: bool) -> DataFrame:
+    """Links of experiments, one row per package."""
     links = packages.filter(F.coalesce("experiment_accession", F.lit("")) != "")
     if need_sample:
         links = links.filter(F.coalesce("sra_sample_accession", F.lit("")) != "")
-    columns = ["experiment_accession", "sra_sample_accession", "study_accession", "submission_accession"]
-    key = F.sha2(F.to_json(F.struct(*columns)), 256)
-    return links.select(*columns, key.alias("relation")).distinct()
+    return links.select("experiment_accession", *LINK_COLUMNS)
 
 
-def one_relation(relations: DataFrame) -> DataFrame:
+def one_relation(links: DataFrame) -> DataFrame:
     """One link per experiment."""
-    return keep_first(relations, ["experiment_accession"], "relation")
+    chosen = links.groupBy("experiment_accession").agg(F.min(F.struct(*LINK_COLUMNS)).alias("link"))
+    return chosen.select("experiment_accession", "link.*")
 
 
-def repeated_relations(relations: DataFrame) -> DataFrame:
-    """All links of the experiments that have several different ones."""
-    several = relations.groupBy("experiment_accession").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
-    return relations.join(several.select("experiment_accession"), "experiment_accession", "left_semi")
+def repeated_relations(links: DataFrame) -> DataFrame:
+    """All different links of the experiments that have several, with a key for each."""
+    bounds = links.groupBy("experiment_accession").agg(
+        F.min(F.struct(*LINK_COLUMNS)).alias("_lo"), F.max(F.struct(*LINK_COLUMNS)).alias("_hi")
+    )
+    several = bounds.filter("_lo <> _hi").select("experiment_accession")
+    key = F.sha2(F.to_json(F.struct(*LINK_COLUMNS)), 256)
+    return (
+        links.join(several, "experiment_accession", "left_semi").distinct().withColumn("relation", key)
+    )
 
 
 def description_conflicts(rows: DataFrame, operator: str) -> DataFrame:
@@ -449,34 +439,29 @@ def description_conflicts(rows: DataFrame, operator: str) -> DataFrame:
     )
 
 
-KEYS = ["experiment", "relation"]
 OUTPUT = ["experiment", "field", "field_ord", "value", "value_ord"]
 
 
-def _study_rows(bundle, relations: DataFrame) -> DataFrame:
-    rows = experiment_rows(relations, bundle.experiments, bundle.studies, bundle.submissions)
-    folded = cut_lineage(fold_values(rows, [*KEYS, "stage"]))
-    return experiment_wins(folded, KEYS).withColumnRenamed("ord", "value_ord")
+def _described(bundle, relations: DataFrame, keys: list[str], aliases: DataFrame | None) -> DataFrame:
+    """Folded field rows of links; three joins read them, so they are materialized."""
+    folded = cut_lineage(fold_values(field_rows(bundle, relations, keys, aliases), [*keys, "stage"]))
+    kept = experiment_wins(folded, keys)
+    if aliases is not None:
+        dropped = redundant_sources(folded, keys).withColumn("field", F.lit("Source name"))
+        kept = kept.join(dropped, [*keys, "field"], "left_anti")
+    return kept.withColumnRenamed("ord", "value_ord")
 
 
-def _compact_rows(bundle, relations: DataFrame, aliases: DataFrame) -> DataFrame:
-    rows = sample_rows(relations, bundle.sra_samples, bundle.biosamples, aliases).unionByName(
-        experiment_rows(relations, bundle.experiments, bundle.studies, bundle.submissions)
-    )
-    # Three joins below read the folded rows, so they are materialized once.
-    folded = cut_lineage(fold_values(rows, [*KEYS, "stage"]))
-    dropped = redundant_sources(folded, KEYS).withColumn("field", F.lit("Source name"))
-    kept = experiment_wins(folded, KEYS).join(dropped, [*KEYS, "field"], "left_anti")
-    return kept.withColumnRenamed("ord", "value_ord")
+def _checked(bundle, links: DataFrame, aliases: DataFrame | None, name: str, strict: bool) -> DataFrame:
+    if strict:
+        several = _described(bundle, repeated_relations(links), ["experiment", "relation"], aliases)
+        require_none(description_conflicts(several, name))
+    return _described(bundle, one_relation(links), ["experiment"], aliases).select(*OUTPUT)
 
 
-def study_fields(bundle, policy: DescriptionPolicy | None = None, *, strict: bool = True) -> DataFrame:
+def study_fields(bundle, *, strict: bool = True) -> DataFrame:
     """Library and study fields per experiment, as field rows."""
-    relations = relations_of(bundle.packages, need_sample=False)
-    if strict:
-        several = _study_rows(bundle, repeated_relations(relations))
-        require_none(description_conflicts(several, "study_fields"))
-    return _study_rows(bundle, one_relation(relations)).select(*OUTPUT)
+    return _checked(bundle, links_of(bundle.packages, need_sample=False), None, "study_fields", strict)
 
 
 def compact_descriptions(
@@ -487,11 +472,8 @@ def compact_descriptions(
     A link without a loaded sample still yields its identifiers and study fields.
     """
     aliases = (policy or DescriptionPolicy()).alias_table(bundle.packages.sparkSession)
-    relations = relations_of(bundle.packages, need_sample=True)
-    if strict:
-        several = _compact_rows(bundle, repeated_relations(relations), aliases)
-        require_none(description_conflicts(several, "compact_descriptions"))
-    return _compact_rows(bundle, one_relation(relations), aliases).select(*OUTPUT)
+    links = links_of(bundle.packages, need_sample=True)
+    return _checked(bundle, links, aliases, "compact_descriptions", strict)
 
 
 def description_maps(rows: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:

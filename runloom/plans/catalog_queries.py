@@ -11,6 +11,7 @@ from ..operators import units as un
 from ..operators.manifest import items_digest
 from ..operators.reads import oversized_runs
 from ..ordering import ORD, keep_first, pack_ordered, with_order
+from ..session import cut_lineage
 from .registry import Tables, query
 
 ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
@@ -243,7 +244,7 @@ def packed_experiment_lists(t: Tables) -> DataFrame:
     members = un.unit_members(clean_catalog(t), "Experiment").filter(
         F.col("kind").isin("run_accessions", "biosample_accessions")
     )
-    packed = pack_ordered(members, ["unit_id", "kind"], "value")
+    packed = pack_ordered(cut_lineage(members), ["unit_id", "kind"], "value")
     return packed.select("unit_id", "kind", F.array_join("values", ",").alias("listed"), "n_chunks")
 
 
@@ -310,15 +311,15 @@ FP AS (SELECT unit_id, L.taxid, accession AS genome_pin, sha256(
 
 def fingerprints(t: Tables) -> DataFrame:
     """Fingerprint of every BioSample unit of the clean catalog."""
-    clean = clean_catalog(t)
-    grouped = un.group_units(clean, "BioSample")
+    grouped = un.group_units(cut_lineage(clean_catalog(t)), "BioSample")
+    members = cut_lineage(grouped.members)
     pins = t.nation.filter("n_nationkey % 5 = 0").select(
         F.col("n_nationkey").cast("bigint").alias("taxid"),
         F.concat(F.lit("GCF_"), F.col("n_nationkey")).alias("accession"),
     )
     return un.unit_fingerprints(
         grouped.table,
-        un.accession_sets(grouped.members),
+        un.accession_sets(members),
         group_by="biosample",
         processor_identity="demo:v1",
         fastq_identity=F.lit("archive"),

@@ -26,6 +26,18 @@ submissions AS (SELECT 'SRA' || r_regionkey AS accession, r_name, r_regionkey FR
 """
 
 
+def package_links(t: Tables) -> DataFrame:
+    """Orders as experiment packages without run lists."""
+    return t.orders.select(
+        F.concat(F.lit("SRX"), "o_orderkey").alias("accession"),
+        F.concat(F.lit("SRX"), "o_orderkey").alias("experiment_accession"),
+        F.concat(F.lit("SRP"), F.col("o_custkey") % 25).alias("study_accession"),
+        F.concat(F.lit("SRS"), "o_custkey").alias("sra_sample_accession"),
+        F.concat(F.lit("SRA"), F.col("o_orderkey") % 6).alias("submission_accession"),
+        F.col("o_orderkey").alias(ORD),
+    )
+
+
 def packages_of(t: Tables) -> DataFrame:
     """Orders as experiment packages that list their lines as runs."""
     lines = t.lineitem.select("l_orderkey", "l_linenumber").distinct()
@@ -34,19 +46,17 @@ def packages_of(t: Tables) -> DataFrame:
         ["l_orderkey"],
         "run",
     ).select(F.col("l_orderkey").alias("o_orderkey"), F.col("values").alias("run_accessions"))
-    return t.orders.join(listed, "o_orderkey", "left").select(
-        F.concat(F.lit("SRX"), "o_orderkey").alias("accession"),
-        F.concat(F.lit("SRX"), "o_orderkey").alias("experiment_accession"),
-        F.concat(F.lit("SRP"), F.col("o_custkey") % 25).alias("study_accession"),
-        F.concat(F.lit("SRS"), "o_custkey").alias("sra_sample_accession"),
-        F.concat(F.lit("SRA"), F.col("o_orderkey") % 6).alias("submission_accession"),
-        F.coalesce("run_accessions", F.array().cast("array<string>")).alias("run_accessions"),
-        F.col("o_orderkey").alias(ORD),
+    listed = listed.withColumnRenamed("o_orderkey", ORD)
+    return package_links(t).join(listed, ORD, "left").withColumn(
+        "run_accessions", F.coalesce("run_accessions", F.array().cast("array<string>"))
     )
 
 
-def bundle_of(t: Tables) -> bd.Bundle:
-    """The test tables as a metadata bundle; see ``SQL_BUNDLE``."""
+def bundle_of(t: Tables, *, with_runs: bool = True) -> bd.Bundle:
+    """The test tables as a metadata bundle; see ``SQL_BUNDLE``.
+
+    Descriptions without runs leave out the run lists of the packages.
+    """
     spark = t.spark
     no_records = F.lit(None).cast("array<struct<name:string,value:string,units:string,properties:map<string,string>>>")
     experiments = t.orders.filter("o_orderkey % 13 <> 0").select(
@@ -137,7 +147,8 @@ def bundle_of(t: Tables) -> bd.Bundle:
         )
     )
     raw = spark.createDataFrame([], f"experiment_accession STRING, raw STRING, {ORD} BIGINT")
-    return bd.Bundle(packages_of(t), runs, experiments, samples, studies, submissions, biosamples, raw)
+    packages = packages_of(t) if with_runs else package_links(t)
+    return bd.Bundle(packages, runs, experiments, samples, studies, submissions, biosamples, raw)
 
 
 def requested_experiments(t: Tables) -> DataFrame:
@@ -215,7 +226,7 @@ def experiment_subset(t: Tables) -> DataFrame:
 @query("complete_experiments", f"WITH {SQL_BUNDLE}, {SQL_COMPLETE} SELECT experiment_accession FROM complete")
 def complete_experiments(t: Tables) -> DataFrame:
     """Experiments whose linked records are all present."""
-    return bundle_of(t).complete_experiment_accessions()
+    return bundle_of(t, with_runs=False).complete_experiment_accessions()
 
 
 @query(
@@ -261,7 +272,7 @@ def full_description_runs(t: Tables) -> DataFrame:
 )
 def missing_sample_links(t: Tables) -> DataFrame:
     """Experiments whose sample is not loaded."""
-    return bundle_of(t).missing_samples().select("key", "detail")
+    return bundle_of(t, with_runs=False).missing_samples().select("key", "detail")
 
 
 @query(
@@ -284,7 +295,7 @@ def missing_accessions(t: Tables) -> DataFrame:
 )
 def fetch_plan(t: Tables) -> DataFrame:
     """Experiments to fetch when the index knows only every second one."""
-    complete = bundle_of(t).complete_experiment_accessions()
+    complete = bundle_of(t, with_runs=False).complete_experiment_accessions()
     index = t.orders.select(
         F.concat(F.lit("SRX"), "o_orderkey").alias("experiment_accession"), (F.col("o_orderkey") % 2 == 0).alias("complete")
     )
@@ -384,7 +395,7 @@ def disagreeing_records(t: Tables) -> DataFrame:
 )
 def completeness_index(t: Tables) -> DataFrame:
     """Completeness of every experiment."""
-    return bundle_of(t).completeness_index()
+    return bundle_of(t, with_runs=False).completeness_index()
 
 
 ALIAS_ROWS = ", ".join(
@@ -490,19 +501,19 @@ _LINKED = f"""{SQL_BUNDLE}, L AS (SELECT p.experiment_accession AS experiment, p
 )
 def study_fields(t: Tables) -> DataFrame:
     """Library and study fields per experiment."""
-    return ds.study_fields(bundle_of(t), strict=False).select("experiment", "field", "value")
+    return ds.study_fields(bundle_of(t, with_runs=False), strict=False).select("experiment", "field", "value")
 
 
 @query("compact_descriptions", f"WITH {_LINKED}, {_STUDY_ROWS}, {_FIELD_ROWS} SELECT experiment, field, value FROM F")
 def compact_descriptions(t: Tables) -> DataFrame:
     """Sample, library and study fields per experiment."""
-    return ds.compact_descriptions(bundle_of(t), strict=False).select("experiment", "field", "value")
+    return ds.compact_descriptions(bundle_of(t, with_runs=False), strict=False).select("experiment", "field", "value")
 
 
 @query("description_fields", f"WITH {_LINKED}, {_STUDY_ROWS}, {_FIELD_ROWS} SELECT experiment, string_agg(DISTINCT field, '|' ORDER BY field) AS fields FROM F GROUP BY experiment")
 def description_fields(t: Tables) -> DataFrame:
     """Field names of the packed description of every experiment."""
-    maps = ds.description_maps(ds.compact_descriptions(bundle_of(t), strict=False))
+    maps = ds.description_maps(ds.compact_descriptions(bundle_of(t, with_runs=False), strict=False))
     return maps.select("experiment", F.array_join(F.array_sort(F.map_keys("description")), "|").alias("fields"))
 
 

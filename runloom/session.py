@@ -33,6 +33,8 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # The test tables are small: keep all cores busy after a shuffle.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
