@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from datetime import datetime
 from typing import Any
@@ -11,9 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
+from pyspark.sql.window import Window
 
 from ..functions.text import bounded_error
-from ..ordering import ORD, keep_last
+from ..ordering import global_ordinal, group_sizes, keep_last
+from ..session import cut_lineage
 
 # The statuses of a unit, those of a unit being worked on, the phases
 # that decide a status, and the age after which a claim counts as abandoned.
@@ -58,6 +61,11 @@ FOLD_COLUMNS = (
     f" is_last BOOLEAN, {STATE_COLUMNS}"
 )
 
+EXIT_COLUMNS = (
+    "unit_id STRING, chunk BIGINT, entry STRING, exit STRING, attempts INT, carried BOOLEAN"
+)
+CHUNK_EVENTS = 1_000_000
+
 State = dict[str, Any]
 
 
@@ -81,6 +89,7 @@ def _claim(state: State, event: State, stale_seconds: float) -> State:
         "status": "downloading",
         "phase": "resolving-genome",
         "attempts": state["attempts"] + 1 if same else 1,
+        "carried": same and state.get("carried", False),
         "fingerprint": event["fingerprint"],
         "execution_id": event["execution_id"],
         "claim_id": event["claim_id"],
@@ -190,35 +199,143 @@ def advance(state: State, event: State, stale_seconds: float = STALE_SECONDS) ->
     return changed, verdict | changed
 
 
-def fold_events(events: DataFrame, stale_seconds: float = STALE_SECONDS) -> DataFrame:
-    """Verdict and resulting state for every event, in sequence order per unit.
+def state_to_text(state: State) -> str:
+    """State as JSON text, for the state store and for hand-over between pieces."""
+    return json.dumps(
+        {k: {"at": v.isoformat()} if isinstance(v, datetime) else v for k, v in state.items()},
+        sort_keys=True,
+    )
+
+
+def state_from_text(text: str) -> State:
+    """Inverse of ``state_to_text``."""
+    return {
+        k: datetime.fromisoformat(v["at"]) if isinstance(v, dict) else v
+        for k, v in json.loads(text).items()
+    }
+
 
-    Fencing makes the fold order-dependent, so one unit is folded by one task; but its
-    events are never collected: Spark sorts them externally and the task streams over
-    them holding one state. The row with ``is_last`` carries the final state.
+def _fold_pieces(pieces: DataFrame, stale_seconds: float, *, exits_only: bool) -> DataFrame:
+    """Fold rows that arrive sorted by unit, chunk and sequence.
+
+    Every piece starts from the state in its ``entry`` column. The result is one verdict
+    row per event or, with ``exits_only``, the final state of each piece.
     """
-    schema = to_arrow_schema(StructType.fromDDL(FOLD_COLUMNS))
+    columns = EXIT_COLUMNS if exits_only else FOLD_COLUMNS
+    schema = to_arrow_schema(StructType.fromDDL(columns))
+
+    def leave(held: State, event: State, state: State) -> State:
+        if not exits_only:
+            return held | {"is_last": event["is_final"]}
+        left = {k: v for k, v in state.items() if k not in ("attempts", "carried")}
+        return {
+            "unit_id": event["unit_id"],
+            "chunk": event["chunk"],
+            "entry": event["entry"],
+            "exit": state_to_text(left),
+            "attempts": state.get("attempts", 0),
+            "carried": bool(state.get("carried")),
+        }
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unit, state, held = None, {}, None
+        held = previous = None
+        state: State = {}
         for batch in batches:
             out = []
             for event in batch.to_pylist():
-                if event["unit_id"] != unit:
-                    if held is not None:
-                        out.append(held | {"is_last": True})
-                    unit, state, held = event["unit_id"], {}, None
-                if held is not None:
+                same = previous is not None and all(event[k] == previous[k] for k in ("unit_id", "chunk"))
+                if previous is not None and not same:
+                    out.append(leave(held, previous, state))
+                elif same and not exits_only:
                     out.append(held)
+                if not same:
+                    state = state_from_text(event["entry"])
+                    if state:
+                        state |= {"attempts": event["base"], "carried": True}
                 state, held = advance(state, event, stale_seconds)
+                previous = event
             yield pa.RecordBatch.from_pylist(out, schema=schema)
-        if held is not None:
-            yield pa.RecordBatch.from_pylist([held | {"is_last": True}], schema=schema)
+        if previous is not None:
+            yield pa.RecordBatch.from_pylist([leave(held, previous, state)], schema=schema)
+
+    return pieces.mapInArrow(fold, columns)
+
+
+def fold_events(
+    events: DataFrame, stale_seconds: float = STALE_SECONDS, *, chunk_events: int = CHUNK_EVENTS
+) -> DataFrame:
+    """Verdict and resulting state for every event, in sequence order per unit.
+
+    A unit with up to ``chunk_events`` events is folded by one task, which streams over
+    sorted rows and holds one state. Larger units are cut into chunks that are folded in
+    parallel, see ``_fold_hot_units``. The row with ``is_last`` carries the final state.
+    """
+    complete = with_event_defaults(events)
+    hot = group_sizes(complete, ["unit_id"]).filter(F.col("_n") > chunk_events).select("unit_id")
+    whole = {
+        "chunk": F.lit(0).cast("bigint"),
+        "entry": F.lit("{}"),
+        "base": F.lit(0),
+        "is_final": F.lit(True),
+    }
+    if hot.limit(1).count() == 0:
+        ordered = complete.repartition("unit_id").sortWithinPartitions("unit_id", "seq")
+        return _fold_pieces(ordered.withColumns(whole), stale_seconds, exits_only=False)
+    cold = complete.join(hot, "unit_id", "left_anti")
+    ordered = cold.repartition("unit_id").sortWithinPartitions("unit_id", "seq")
+    large = complete.join(hot, "unit_id", "left_semi")
+    return _fold_pieces(ordered.withColumns(whole), stale_seconds, exits_only=False).unionByName(
+        _fold_hot_units(large, stale_seconds, chunk_events)
+    )
+
+
+def _fold_hot_units(events: DataFrame, stale_seconds: float, chunk_events: int) -> DataFrame:
+    """Fold units of any size in pieces of at most ``chunk_events`` consecutive events.
 
-    ordered = (
-        with_event_defaults(events).repartition("unit_id").sortWithinPartitions("unit_id", "seq")
+    All pieces are folded at once, first from an empty state. Then every piece whose
+    predecessor left another state than it assumed is folded again, until nothing
+    changes; the result is then the sequential one. An accepted claim replaces the
+    state, so what a piece leaves rarely depends on its entry and few rounds are needed.
+    The attempts counter does depend on the past; pieces count relative to their entry
+    and the sums are formed over one row per piece.
+    """
+    numbered = global_ordinal(events, ["unit_id", "seq"])
+    pieces = cut_lineage(
+        numbered.withColumn("chunk", F.floor(F.col("ordinal") / F.lit(chunk_events))).drop("ordinal")
+    )
+    key = ["unit_id", "chunk"]
+    by_piece = Window.partitionBy("unit_id").orderBy("chunk")
+
+    def run(entries: DataFrame, *, exits_only: bool) -> DataFrame:
+        rows = pieces.join(entries, key)
+        ordered = rows.repartition(*key).sortWithinPartitions(*key, "seq")
+        return _fold_pieces(ordered, stale_seconds, exits_only=exits_only)
+
+    entries = pieces.select(*key).distinct().withColumns(
+        {"entry": F.lit("{}"), "base": F.lit(0), "is_final": F.lit(False)}
+    )
+    exits = cut_lineage(run(entries, exits_only=True))
+    while True:
+        expected = exits.withColumn("_expected", F.coalesce(F.lag("exit").over(by_piece), F.lit("{}")))
+        wrong = cut_lineage(expected.filter(F.col("_expected") != F.col("entry")))
+        if wrong.limit(1).count() == 0:
+            break
+        again = wrong.select(
+            *key, F.col("_expected").alias("entry"), F.lit(0).alias("base"), F.lit(False).alias("is_final")
+        )
+        exits = cut_lineage(
+            exits.join(wrong.select(*key), key, "left_anti").unionByName(run(again, exits_only=True))
+        )
+    islands = exits.withColumn("_island", F.sum((~F.col("carried")).cast("int")).over(by_piece))
+    within = Window.partitionBy("unit_id", "_island").orderBy("chunk")
+    totals = islands.withColumn("_total", F.sum("attempts").over(within))
+    settled = totals.select(
+        *key,
+        "entry",
+        F.coalesce(F.lag("_total").over(by_piece), F.lit(0)).cast("int").alias("base"),
+        F.lead("chunk").over(by_piece).isNull().alias("is_final"),
     )
-    return ordered.mapInArrow(fold, FOLD_COLUMNS)
+    return run(settled, exits_only=False)
 
 
 def with_event_defaults(events: DataFrame) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 from datetime import datetime, timedelta, timezone
 
@@ -15,25 +14,14 @@ from ..operators.state import (
     FOLD_COLUMNS,
     STALE_SECONDS,
     advance,
+    state_from_text,
+    state_to_text,
     with_event_defaults,
 )
 
 _FOLD = [part.split()[0] for part in FOLD_COLUMNS.split(",")]
 
 
-def _plain(state: dict) -> str:
-    return json.dumps(
-        {k: {"at": v.isoformat()} if isinstance(v, datetime) else v for k, v in state.items()}
-    )
-
-
-def _restored(text: str) -> dict:
-    return {
-        k: datetime.fromisoformat(v["at"]) if isinstance(v, dict) else v
-        for k, v in json.loads(text).items()
-    }
-
-
 class UnitStateProcessor(StatefulProcessor):
     """Folds the events of one unit; one verdict row per event.
 
@@ -50,7 +38,7 @@ class UnitStateProcessor(StatefulProcessor):
         self.state = handle.getValueState("state", "json STRING")
 
     def _load(self) -> dict:
-        return _restored(self.state.get()[0]) if self.state.exists() else {}
+        return state_from_text(self.state.get()[0]) if self.state.exists() else {}
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         state = self._load()
@@ -64,7 +52,7 @@ class UnitStateProcessor(StatefulProcessor):
                 self.handle.registerTimer(now + int(self.stale_seconds * 1000))
             yield Row(**{name: verdict.get(name) for name in _FOLD})
         if state:
-            self.state.update((_plain(state),))
+            self.state.update((state_to_text(state),))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         state = self._load()
