@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
@@ -39,10 +39,9 @@ class CatalogConflict(ValueError):
 def row_predicate(function: Callable[[dict[str, Any]], bool], columns: Iterable[str]) -> Column:
     """Boolean column that calls ``function`` with each row as a dict, in Arrow batches."""
 
-    @F.pandas_udf(BooleanType())
-    def accept(rows: pd.DataFrame) -> pd.Series:
-        plain = rows.astype(object).where(rows.notna(), None)
-        return pd.Series([bool(function(row)) for row in plain.to_dict("records")], dtype=bool)
+    @F.arrow_udf(BooleanType())
+    def accept(rows: pa.Array) -> pa.Array:
+        return pa.array([bool(function(row)) for row in rows.to_pylist()], pa.bool_())
 
     return accept(F.struct(*[F.col(f"`{c}`") for c in columns]))
 
@@ -159,6 +158,10 @@ class RunCatalog:
         """The run table, including the hidden order column."""
         return self._frame
 
+    def to_df(self) -> DataFrame:
+        """The run table without the order column."""
+        return self._frame.drop(ORD)
+
     @property
     def columns(self) -> list[str]:
         """Visible columns."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import is_numeric_id, is_safe_accession, strip
+from ..functions.text import is_numeric_id, is_safe_accession, safe_identifier, strip
 from ..ordering import ORD, distinct_in_order, global_ordinal
 from ..violations import violation_rows
 
@@ -26,6 +26,12 @@ def unsafe_ids(ids: DataFrame) -> DataFrame:
     return violation_rows(wrong, "request_ids", F.col("id"), F.lit("unsafe identifier"))
 
 
+def unusable_names(df: DataFrame, column: str) -> DataFrame:
+    """Identifiers from which no file name can be made, as violation rows."""
+    wrong = df.filter(safe_identifier(F.col(column)).isNull())
+    return violation_rows(wrong, "safe_identifier", F.col(column), F.lit("unsafe or empty identifier"))
+
+
 def chunked(ids: DataFrame, size: int, *, separator: str = ",", template: str = "%s") -> DataFrame:
     """Chunks of ``size`` consecutive ids as text ``(chunk, n, request)``.
 

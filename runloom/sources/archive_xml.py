@@ -540,12 +540,15 @@ def distinct_supplementary(listed: DataFrame) -> DataFrame:
     ).select("geo_accession", "url", last_component(F.col("url")).alias("filename"), ORD)
 
 
-def read_archive_links(spark: SparkSession, path, *, target: str = "sra") -> DataFrame:
-    """Distinct linked ids of one target archive, in order."""
+def read_archive_links(spark: SparkSession, path, *, target: str = "sra", strict: bool = True) -> DataFrame:
+    """Distinct linked ids of one target archive, in order; none is an error when strict."""
     columns = "DbTo STRING, Link ARRAY<STRUCT<Id: STRING>>, _corrupt STRING"
     parsed = parse_records(read_records(spark, path, "LinkSetDb"), columns)
     ids = parsed.filter(_clean(F.col("r.DbTo")) == target).select(
         ORD, F.posexplode("r.Link.Id").alias("item", "id")
     )
     cleaned = ids.select(_clean(F.col("id")).alias("id"), F.struct(f"{ORD}.*", "item").alias(ORD))
-    return distinct_in_order(cleaned.filter(F.col("id").isNotNull()), ["id"])
+    linked = distinct_in_order(cleaned.filter(F.col("id").isNotNull()), ["id"])
+    if strict and linked.limit(1).count() == 0:
+        raise ValueError(f"no {target} records are linked")
+    return linked

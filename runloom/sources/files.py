@@ -45,7 +45,7 @@ def with_sha256(inventory: DataFrame) -> DataFrame:
             digests = []
             for path in batch.column("path").to_pylist():
                 try:
-                    system, name = fs.FileSystem.from_uri(path)
+                    system, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
                     digest = hashlib.sha256()
                     with system.open_input_stream(name) as stream:
                         while block := stream.read(BLOCK):
@@ -62,3 +62,22 @@ def with_sha256(inventory: DataFrame) -> DataFrame:
 def hashed_inventory(spark: SparkSession, path, *, glob: str | None = None) -> DataFrame:
     """Inventory with checksums."""
     return with_sha256(file_inventory(spark, path, glob=glob))
+
+
+def stat_paths(paths: DataFrame) -> DataFrame:
+    """``path, size, modified`` of the files named in column ``path``; missing ones drop."""
+    schema = pa.schema([("path", pa.string()), ("size", pa.int64()), ("modified", pa.timestamp("us", tz="UTC"))])
+
+    def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch.column("path").to_pylist():
+                system, name = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+                info = system.get_file_info(name)
+                if info.type == fs.FileType.File:
+                    found.append({"path": path, "size": info.size, "modified": info.mtime})
+            yield pa.RecordBatch.from_pylist(found, schema=schema)
+
+    return paths.select("path").distinct().mapInArrow(looked_up, "path STRING, size BIGINT, modified TIMESTAMP")

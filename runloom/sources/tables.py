@@ -26,9 +26,15 @@ def read_position() -> Column:
     )
 
 
-def read_text_csv(spark: SparkSession, path) -> DataFrame:
-    """CSV files as text columns with their read position; quoted line breaks allowed."""
-    raw = spark.read.csv(path, header=True, multiLine=True, escape='"', encoding="UTF-8", enforceSchema=False)
+def read_text_csv(spark: SparkSession, path, *, quoted_breaks: bool = True) -> DataFrame:
+    """CSV files as text columns with their read position.
+
+    Line breaks inside quotes keep Spark from splitting a file; a table in few large
+    files without them should be read with ``quoted_breaks=False``.
+    """
+    raw = spark.read.csv(
+        path, header=True, multiLine=quoted_breaks, escape='"', encoding="UTF-8", enforceSchema=False
+    )
     columns = [F.col(f"`{c}`").alias(c.removeprefix("﻿")) for c in raw.columns]
     return raw.select(*columns, read_position().alias(ORD))
 
@@ -73,9 +79,9 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     }
 
 
-def read_catalog_csv(spark: SparkSession, path) -> DataFrame:
+def read_catalog_csv(spark: SparkSession, path, *, quoted_breaks: bool = True) -> DataFrame:
     """A run table from CSV: null markers removed, types inferred from all rows."""
-    text = nulls_from_markers(read_text_csv(spark, path))
+    text = nulls_from_markers(read_text_csv(spark, path, quoted_breaks=quoted_breaks))
     kinds = infer_types(text)
     return text.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in kinds], ORD)
 
