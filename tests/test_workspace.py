@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from runloom.operators.catalog import RunCatalog
 from runloom.operators.process import ProcessingResult
+from runloom.operators.state import FOLD_COLUMNS
 from runloom.streaming.unit_states import fold_event_stream
 from runloom.workspace import Workspace
 
@@ -74,7 +75,7 @@ def test_stale_claim_timer(spark, tmp_path):
             time.sleep(1)
             land("b", seq)
             if os.path.isdir(f"{out}/_spark_metadata"):
-                found = spark.read.parquet(out).filter("kind = 'stale' AND unit_id = 'a'").collect()
+                found = spark.read.schema(FOLD_COLUMNS).parquet(out).filter("kind = 'stale' AND unit_id = 'a'").collect()
             if found:
                 break
         assert found and found[0]["status"] == "downloading"
