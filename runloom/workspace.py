@@ -113,11 +113,15 @@ class Workspace:
         self._append("executions", self.spark.createDataFrame(row, EXECUTIONS))
         return name
 
-    def _valid_outputs(self) -> DataFrame:
-        """Units whose recorded outputs are intact; only changed files are hashed."""
+    def outputs(self) -> DataFrame:
+        """Recorded output files of the latest execution that produced each unit."""
         recorded = self.table("outputs", OUTPUTS)
         last = recorded.groupBy("unit_id").agg(F.max("execution_id").alias("execution_id"))
-        current = recorded.join(last, ["unit_id", "execution_id"], "left_semi")
+        return recorded.join(last, ["unit_id", "execution_id"], "left_semi")
+
+    def _valid_outputs(self) -> DataFrame:
+        """Units whose recorded outputs are intact; only changed files are hashed."""
+        current = self.outputs()
         genomes = (
             self.table("events", st.EVENT_COLUMNS)
             .filter("kind = 'succeed'")
@@ -216,12 +220,11 @@ class Workspace:
 
     def sync_manifest(self, execution_id: str) -> None:
         """Write the manifest with the items of an execution replacing their earlier rows."""
-        outputs = self.table("outputs", OUTPUTS)
-        last = outputs.groupBy("unit_id", "role").agg(
-            F.max_by(F.struct("path", "size", "modified", "sha256"), "execution_id").alias("fact")
-        )
+        fact = F.struct("path", "size", "modified", "sha256")
         # A unit has as many roles as its processor declares, a handful.
-        files = last.groupBy("unit_id").agg(F.map_from_entries(F.collect_list(F.struct("role", "fact"))).alias("output_files"))
+        files = self.outputs().groupBy("unit_id").agg(
+            F.map_from_entries(F.collect_list(F.struct(F.col("role"), fact.alias("fact")))).alias("output_files")
+        )
         states = self.states().join(files, "unit_id", "left")
         identity = self.table("executions", EXECUTIONS).filter(F.col("execution_id") == execution_id).first()
         rows = mf.manifest_rows(

@@ -30,7 +30,7 @@ def bundle(spark, packages=None, records=(), biosample_records=(), attributes=No
         ),
         sra_samples=table([("SRS1", "SAMN1", organism, {}, list(records))], f"accession STRING, biosample STRING, organism STRING, attributes MAP<STRING, ARRAY<STRING>>, attribute_records {RECORDS}"),
         studies=table([("SRP1", "Study", "Abstract"), ("SRP2", "Other", None)], "accession STRING, title STRING, abstract STRING"),
-        submissions=table([("SRA1", ("NCBI", "GEO"), "center")], "accession STRING, organization STRUCT<name: STRING, abbreviation: STRING>, center_name STRING"),
+        submissions=table([("SRA1", ("Center", "GEO"), "center")], "accession STRING, organization STRUCT<name: STRING, abbreviation: STRING>, center_name STRING"),
         biosamples=table([("SAMN1", "from a mouse", {}, list(biosample_records))], f"accession STRING, comment STRING, attributes MAP<STRING, ARRAY<STRING>>, attribute_records {RECORDS}"),
     )
 
@@ -56,7 +56,7 @@ def test_selected_fields(spark):
         "Dose": ["4.0 months"], "Strain": ["via property"], "Time": ["3 h"],
     }
     assert not {"Phenotype", "Mechanism", "weight"} & set(found)
-    assert found["Submitted by"] == ["NCBI (GEO)"] and found["Construction protocol"] == ["p" * 5000]
+    assert found["Submitted by"] == ["Center (GEO)"] and found["Construction protocol"] == ["p" * 5000]
     assert found["Selection"] == ["missing"] and "Source" not in found and found["Insert size"] == ["300"] and found["other"] == ["x"]
     assert found["Sample description"] == ["from a mouse"] and found["ID"] == ["SRX1"] and found["BioSample ID"] == ["SAMN1"]
     assert list(found)[:5] == ["ID", "Experiment ID", "SRA Sample ID", "Species", "BioSample ID"]
