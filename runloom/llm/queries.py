@@ -5,6 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 
 from .packing import pack_documents
+from .quality_rules import judge_quality
 from .support import table
 from .token_counts import count_tokens
 
@@ -17,8 +18,75 @@ def op2_packing(spark, folder):
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_quality_rules(spark, folder):
+    return judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+#: The same base counts and tests; a document's windows are compared as text.
+QUALITY_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t FROM documents
+), split AS (
+    SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM docs
+), placed AS (
+    SELECT doc_id, i, list_slice(words, i, i + 4) AS w
+    FROM split, unnest(range(1, len(words) - 3)) AS r(i)
+), again AS (
+    SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM placed
+), spread AS (
+    SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS j FROM again WHERE n > 1
+), repeated AS (
+    SELECT doc_id, sum(least(5, coalesce(j - i, 5))) AS n FROM spread GROUP BY doc_id
+), counted AS (
+    SELECT s.doc_id, lang, len(words)::BIGINT AS n_words,
+           len(array_to_string(words, ''))::BIGINT AS word_chars,
+           len(regexp_replace(array_to_string(words, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+           len(regexp_replace(array_to_string(words, ''), '[^\p{Lu}]', '', 'g'))::BIGINT AS capitals,
+           len(lines)::BIGINT AS n_lines,
+           (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+           coalesce(r.n, 0)::BIGINT AS n_repeat_words
+    FROM split s LEFT JOIN repeated r ON r.doc_id = s.doc_id
+), shares AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+        CASE WHEN word_chars > 0 THEN least(100, ceil(((1000 * n_symbols) // word_chars) / 10.0)) ELSE 0 END AS symbols,
+        CASE WHEN word_chars > 0 THEN least(100, ceil(((1000 * capitals) // word_chars) / 10.0)) ELSE 0 END AS capitals_level,
+        CASE WHEN n_lines > 0 THEN least(100, ceil(((1000 * n_dup_lines) // n_lines) / 10.0)) ELSE 0 END AS lines_level,
+        CASE WHEN n_words > 0 THEN least(100, ceil(((1000 * n_repeat_words) // n_words) / 10.0)) ELSE 0 END AS repeats
+    FROM counted
+), good AS (
+    SELECT doc_id FROM labels GROUP BY doc_id HAVING max(quality) = 1
+), holdout AS (
+    SELECT s.lang, u.rule, u.level
+    FROM shares s SEMI JOIN good USING (doc_id),
+         unnest([{'rule': 'symbols', 'level': symbols}, {'rule': 'capitals', 'level': capitals_level},
+                 {'rule': 'lines', 'level': lines_level}, {'rule': 'repeats', 'level': repeats}]) AS x(u)
+), families AS (
+    SELECT lang, rule, count(*) AS n, list(level) AS levels FROM holdout GROUP BY lang, rule
+), tested AS (
+    SELECT lang, rule, n, k, len(list_filter(levels, lambda v: v > k)) AS x, (SELECT count(*) FROM families) AS m
+    FROM families, unnest(range(0, 100)) AS g(k)
+), verdicts AS (
+    SELECT lang, rule, k, CASE WHEN x > n * 0.005 THEN 1.0 ELSE list_sum(list_transform(range(0, x + 1),
+        lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln(0.005) + (n - i) * ln(0.995)))) END > 0.05 / m AS failed
+    FROM tested
+), cutoffs AS (
+    SELECT lang, rule, coalesce(max(k) FILTER (failed), -1) + 1 AS cutoff FROM verdicts GROUP BY lang, rule
+), cuts AS (
+    SELECT lang, max(cutoff) FILTER (rule = 'symbols') AS c1, max(cutoff) FILTER (rule = 'capitals') AS c2,
+           max(cutoff) FILTER (rule = 'lines') AS c3, max(cutoff) FILTER (rule = 'repeats') AS c4
+    FROM cutoffs WHERE cutoff < 100 GROUP BY lang
+)
+SELECT s.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (coalesce(symbols > c1, false) OR coalesce(capitals_level > c2, false)
+           OR coalesce(lines_level > c3, false) OR coalesce(repeats > c4, false)) AS kept
+FROM shares s LEFT JOIN cuts ON cuts.lang IS NOT DISTINCT FROM s.lang
+"""
+
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op4_quality_rules": op4_quality_rules,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL}
