@@ -6,6 +6,7 @@ import public_tokenizers
 
 from .packing import pack_documents
 from .quality_rules import judge_quality
+from .simhash_dedup import simhash_components
 from .support import table
 from .token_counts import count_tokens
 
@@ -22,6 +23,10 @@ def op4_quality_rules(spark, folder):
     return judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op5_simhash_dedup(spark, folder):
+    return simhash_components(table(spark, folder, "documents"))
+
+
 #: The same base counts and tests; a document's windows are compared as text.
 QUALITY_SQL = r"""
 WITH docs AS (
@@ -88,5 +93,6 @@ QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
     "op4_quality_rules": op4_quality_rules,
+    "op5_simhash_dedup": op5_simhash_dedup,
 }
 ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL}
