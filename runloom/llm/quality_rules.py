@@ -47,8 +47,9 @@ def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     cleaned = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
     split = cleaned.withColumn("_words", F.array_remove(F.split("_text", BLANKS), ""))
     n = F.size("_words")
-    place = F.sequence(F.lit(1), n - (WINDOW - 1))
-    windows = F.transform(place, lambda i: F.xxhash64(F.slice("_words", i, F.lit(WINDOW))))
+    # Elements by place: slice() would copy the whole array for each window.
+    place = F.sequence(F.lit(0), n - WINDOW)
+    windows = F.transform(place, lambda i: F.xxhash64(*[F.get("_words", i + k) for k in range(WINDOW)]))
     lines = F.filter(F.split("_text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     joined = split.select(
         "*",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
+from .decontamination import find_leaks
 from .packing import pack_documents
 from .quality_rules import judge_quality
 from .simhash_dedup import simhash_components
@@ -19,6 +20,10 @@ def op2_packing(spark, folder):
     return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op3_decontamination(spark, folder):
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_quality_rules(spark, folder):
     return judge_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -92,6 +97,7 @@ FROM shares s LEFT JOIN cuts ON cuts.lang IS NOT DISTINCT FROM s.lang
 QUERIES = {
     "op1_token_counts": op1_token_counts,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash_dedup": op5_simhash_dedup,
 }
