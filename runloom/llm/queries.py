@@ -6,10 +6,12 @@ import public_tokenizers
 
 from .decontamination import find_leaks
 from .packing import pack_documents
+from .quality_classifier import score_quality
 from .quality_rules import judge_quality
 from .simhash_dedup import simhash_components
 from .support import table
 from .token_counts import count_tokens
+from .toxicity import score_toxicity
 
 
 def op1_token_counts(spark, folder):
@@ -32,6 +34,14 @@ def op5_simhash_dedup(spark, folder):
     return simhash_components(table(spark, folder, "documents"))
 
 
+def op7_toxicity(spark, folder):
+    return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op10_quality_classifier(spark, folder):
+    return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 #: The same base counts and tests; a document's windows are compared as text.
 QUALITY_SQL = r"""
 WITH docs AS (
@@ -100,5 +110,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op7_toxicity": op7_toxicity,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL}
