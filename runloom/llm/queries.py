@@ -12,6 +12,7 @@ from .simhash_dedup import simhash_components
 from .support import table
 from .token_counts import count_tokens
 from .toxicity import score_toxicity
+from .warc import archive_pages
 
 
 def op1_token_counts(spark, folder):
@@ -38,6 +39,10 @@ def op7_toxicity(spark, folder):
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op8_warc(spark, folder):
+    return archive_pages(table(spark, folder, "pages"))
+
+
 def op10_quality_classifier(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -111,6 +116,19 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_toxicity": op7_toxicity,
+    "op8_warc": op8_warc,
     "op10_quality_classifier": op10_quality_classifier,
 }
-ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL}
+WARC_SQL = """
+WITH pages_read AS (
+    SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+), firsts AS (
+    SELECT payload_digest, max(page_id) AS original FROM pages_read WHERE payload_bytes >= 1000 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, p.payload_digest,
+       CASE WHEN original IS NULL OR original = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN original <> page_id THEN original END AS refers_to
+FROM pages_read p LEFT JOIN firsts f ON f.payload_digest = p.payload_digest
+"""
+
+ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL, "op8_warc": WARC_SQL}
