@@ -8,6 +8,7 @@ from .decontamination import find_leaks
 from .packing import pack_documents
 from .quality_classifier import score_quality
 from .quality_rules import judge_quality
+from .secret_scan import scan_secrets
 from .simhash_dedup import simhash_components
 from .support import table
 from .token_counts import count_tokens
@@ -43,6 +44,10 @@ def op8_warc(spark, folder):
     return archive_pages(table(spark, folder, "pages"))
 
 
+def op9_secret_scan(spark, folder):
+    return scan_secrets(table(spark, folder, "documents"))
+
+
 def op10_quality_classifier(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -117,6 +122,7 @@ QUERIES = {
     "op5_simhash_dedup": op5_simhash_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
+    "op9_secret_scan": op9_secret_scan,
     "op10_quality_classifier": op10_quality_classifier,
 }
 WARC_SQL = """
