@@ -8,6 +8,7 @@ from .decontamination import find_leaks
 from .packing import pack_documents
 from .quality_classifier import score_quality
 from .quality_rules import judge_quality
+from .recurrent_lm import score_documents
 from .secret_scan import scan_secrets
 from .simhash_dedup import simhash_components
 from .support import table
@@ -36,6 +37,10 @@ def op5_simhash_dedup(spark, folder):
     return simhash_components(table(spark, folder, "documents"))
 
 
+def op6_recurrent_lm(spark, folder):
+    return score_documents(table(spark, folder, "documents"))
+
+
 def op7_toxicity(spark, folder):
     return score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
@@ -120,6 +125,7 @@ QUERIES = {
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op5_simhash_dedup": op5_simhash_dedup,
+    "op6_recurrent_lm": op6_recurrent_lm,
     "op7_toxicity": op7_toxicity,
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
