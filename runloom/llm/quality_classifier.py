@@ -36,9 +36,11 @@ def build_dictionary(texts: list[bytes], size: int = DICTIONARY) -> bytes:
     pieces = [p for t in texts for p in pieces_of(t)]
     step = max(1, len(pieces) // MOST_PIECES)
     pieces = pieces[::step]
+    if not pieces:
+        return b""
     try:
         return zstandard.train_dictionary(min(size, max(1024, sum(map(len, pieces)) // 8)), pieces).as_bytes()
-    except zstandard.ZstdError:
+    except (zstandard.ZstdError, ValueError):
         return b"\n".join(pieces)[-size:]
 
 

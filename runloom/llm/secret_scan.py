@@ -198,5 +198,6 @@ def redact_secrets(docs: DataFrame, key: str = "doc_id", text: str = "text", pat
     longest_first = F.array_sort("_values", lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
     rows = docs.select(F.struct("*").alias("_row"), F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_print"))
     joined = rows.join(per_text, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_print") == F.col("_p")), "left")
-    clean = F.when(F.col("_values").isNull(), F.col(f"_row.{text}")).otherwise(F.aggregate(longest_first, F.col(f"_row.{text}"), lambda t, v: F.replace(t, v, F.lit(mark))))
-    return joined.select(*[clean.alias(c) if c == text else F.col(f"_row.{c}").alias(c) for c in docs.columns])
+    row = F.col("_row")
+    clean = F.when(F.col("_values").isNull(), row[text]).otherwise(F.aggregate(longest_first, row[text], lambda t, v: F.replace(t, v, F.lit(mark))))
+    return joined.select(*[clean.alias(c) if c == text else row[c].alias(c) for c in docs.columns])
