@@ -5,15 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The spelling of a mate number in a read-file name, and the suffixes of
+# The mark of a mate in a read-file name, in any case, and the suffixes of
 # read files.
-MATE_MARK = r"R?([12])"
-MATE_BEFORE = r"(?:^|[._-])"
-MATE_AFTER = r"(?:[._-]|$)"
+MATE = r"(?i)(?:^|[._-])R?([12])(?:[._-]|$)"
 READ_SUFFIXES = (".fastq.gz", ".fq.gz", ".fastq", ".fq")
 
-_SPLIT_AT_MATE = f"(?is)^(.*?{MATE_BEFORE}R?)([12])({MATE_AFTER}.*)$"
-
 
 def last_component(path: Column) -> Column:
     """Last non-empty component of a path."""
@@ -39,19 +35,16 @@ def is_read_file(name: Column) -> Column:
 
 def mate_number(name: Column) -> Column:
     """``1`` or ``2`` when the file name carries a mate mark, else null."""
-    return F.nullif(F.regexp_extract(name, _SPLIT_AT_MATE, 2), F.lit(""))
+    return F.nullif(F.regexp_extract(name, MATE, 1), F.lit(""))
 
 
 def pair_key(name: Column) -> Column:
     """File name with the mate digit replaced, equal for the two mates of a pair."""
-    return F.when(
-        mate_number(name).isNotNull(),
-        F.concat(
-            F.regexp_extract(name, _SPLIT_AT_MATE, 1),
-            F.lit("#"),
-            F.regexp_extract(name, _SPLIT_AT_MATE, 3),
-        ),
-    )
+    mark = F.regexp_substr(name, F.lit(MATE))
+    at = F.regexp_instr(name, F.lit(MATE))
+    before = F.substring(name, F.lit(1), at - 1)
+    after = F.substring(name, at + F.length(mark), F.length(name))
+    return F.when(mark.isNotNull(), F.concat(before, F.translate(mark, "12", "##"), after))
 
 
 def series_bucket(accession: Column) -> Column:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import html
-import re
+import io
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -95,33 +95,41 @@ def bounded_error(error: Column, characters: int = 20_000) -> Column:
     return F.right(error, F.lit(characters))
 
 
-class _VisibleText(HTMLParser):
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.pieces: list[str] = []
-        self.handle_data = self.pieces.append
+class _Reader(HTMLParser):
+    """Writes the character data of one document after the other into a buffer."""
 
+    def shown(self, document: str) -> str:
+        self.reset()
+        self.buffer = io.StringIO()
+        self.feed(document)
+        self.close()
+        return " ".join(self.buffer.getvalue().split())
 
-_TAG = re.compile(TAG_PATTERN)
+    def handle_data(self, data: str) -> None:
+        self.buffer.write(data)
 
 
-def plain_text(value: str) -> str:
-    """Decode nested entities, then drop tags if any tag-like text is left."""
+def plain_texts(values: pd.Series) -> pd.Series:
+    """Texts of a batch without entities and, where something looks like a tag, tags.
+
+    Entities are decoded round by round, each round only where an ampersand is left; only
+    texts with a tag then go through the HTML reader. Nulls stay.
+    """
+    texts = values.copy()
     for _ in range(ENTITY_ROUNDS):
-        value, before = html.unescape(value), value
-        if value == before:
+        encoded = texts.str.contains("&", regex=False, na=False)
+        if not encoded.any():
             break
-    if _TAG.search(value) is None:
-        return value
-    reader = _VisibleText()
-    reader.feed(value)
-    reader.close()
-    return " ".join("".join(reader.pieces).split())
+        texts[encoded] = texts[encoded].map(html.unescape)
+    tagged = texts.str.contains(TAG_PATTERN, na=False)
+    if tagged.any():
+        texts[tagged] = texts[tagged].map(_Reader(convert_charrefs=True).shown)
+    return texts
 
 
 @F.pandas_udf(StringType())
 def _plain_text_batch(values: pd.Series) -> pd.Series:
-    return values.map(plain_text, na_action="ignore")
+    return plain_texts(values)
 
 
 def without_markup(value: Column) -> Column:

@@ -432,7 +432,11 @@ class Bundle:
         )
         if strict:
             require_none(agreement_violations(described, ["experiment_id"], "full_descriptions"))
-        runs = run_links(linked).join(
+        # One relation per experiment is described; only its runs belong to it.
+        known = self.sra_samples.select(F.col("accession").alias("sra_sample_accession"))
+        relations = linked.join(known, "sra_sample_accession", "left_semi")
+        kept = keep_first(relations, ["experiment_accession"])
+        runs = run_links(kept).join(
             record(self.runs, "run"), F.col("run_accession") == F.col("_run")
         )
         return keep_first(described, ["experiment_id"]), runs.select(

@@ -24,7 +24,6 @@ from ..functions.text import (
     without_markup,
 )
 from ..functions.values import blank_to_null, submitter_text, with_unit
-from ..ordering import pack_ordered, set_digest_aggs, set_digest_text
 from ..session import cut_lineage
 from ..violations import require_none, violation_rows
 
@@ -94,7 +93,6 @@ OMIT_SAMPLE = "omit: administrative identifier/date/location or unselected attri
 OMIT_OTHER = "omit: archive/study bookkeeping; study text is retained separately"
 
 SAMPLE_STAGE, EXPERIMENT_STAGE = 0, 1
-MAP_LIMIT = 10_000
 FIELD_ROW = (
     "STRUCT<block: INT, pos: INT, field: STRING, value: STRING, keep_missing: BOOLEAN,"
     " alias0: STRING, alias1: STRING>"
@@ -476,38 +474,28 @@ def compact_descriptions(
     return _checked(bundle, links, aliases, "compact_descriptions", strict)
 
 
-def description_maps(rows: DataFrame, limit: int = MAP_LIMIT) -> DataFrame:
-    """Field rows as ``MAP<field, ARRAY<value>>`` per experiment, fields in order.
+def description_maps(rows: DataFrame) -> DataFrame:
+    """Field rows as ``MAP<field, ARRAY<value>>``: one row per experiment, fields in order.
 
-    An ordinary experiment is one row; one with more than ``limit`` values is spread
-    over several, which together hold all of them.
+    A description is one document whatever its length; the values of a field are gathered
+    first, then the fields of an experiment, so no step compares all pairs of entries.
     """
-    entries = rows.select(
-        "experiment",
-        F.struct("field_ord", "field", "value_ord").alias("ord"),
-        F.struct("field", "value").alias("entry"),
+    value = F.struct(F.col("value_ord").alias("at"), F.col("value").alias("value"))
+    fields = rows.groupBy("experiment", "field").agg(
+        F.min("field_ord").alias("field_ord"), F.array_sort(F.collect_list(value)).alias("values")
     )
-    packed = pack_ordered(entries, ["experiment"], "entry", "ord", limit)
-    names = F.array_distinct(F.col("values")["field"])
-    listed = F.transform(
-        names, lambda n: F.transform(F.filter("values", lambda e: e["field"] == n), lambda e: e["value"])
-    )
-    return packed.select("experiment", "chunk", "n_chunks", F.map_from_arrays(names, listed).alias("description"))
+    entry = F.struct("field_ord", "field", F.col("values.value").alias("values"))
+    documents = fields.groupBy("experiment").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+    described = F.map_from_arrays(F.col("entries.field"), F.col("entries.values"))
+    return documents.select("experiment", described.alias("description"))
 
 
 def description_identities(maps: DataFrame, profile: str) -> DataFrame:
-    """``(unit_id, profile, sha256)`` of packed descriptions, for fingerprints.
-
-    The digest covers sorted fields; chunks of a large description are combined.
-    """
+    """``(unit_id, profile, sha256)`` of descriptions, over their sorted fields."""
     entries = F.array_sort(F.map_entries("description"))
-    digest = F.sha2(F.to_json(entries), 256)
-    chunks = maps.select(F.col("experiment").alias("unit_id"), "chunk", digest.alias("_d"))
-    combined = chunks.groupBy("unit_id").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_d").alias("_first"), *set_digest_aggs(F.col("_d"), "_s")
+    return maps.select(
+        F.col("experiment").alias("unit_id"), F.lit(profile).alias("profile"), F.sha2(F.to_json(entries), 256).alias("sha256")
     )
-    identity = F.when(F.col("_n") == 1, F.col("_first")).otherwise(F.sha2(set_digest_text("_s", F.col("_n")), 256))
-    return combined.select("unit_id", F.lit(profile).alias("profile"), identity.alias("sha256"))
 
 
 def describe(bundle, *, profile: str = "training", policy: DescriptionPolicy | None = None):

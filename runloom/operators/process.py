@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import importlib
+import pkgutil
 import json
 import os
 import traceback
@@ -40,14 +40,13 @@ Processor = Callable[[dict, dict, dict], ProcessingResult]
 
 
 def load_processor(reference: str) -> Processor:
-    """Import a processor given as ``package.module:callable``."""
-    module_name, separator, name = reference.partition(":")
-    if not separator:
-        raise ValueError("a processor reference has the form 'package.module:callable'")
-    processor = getattr(importlib.import_module(module_name), name)
-    if not callable(processor):
-        raise TypeError(f"processor is not callable: {reference}")
-    return processor
+    """The callable that ``package.module:callable`` names."""
+    if ":" not in reference:
+        raise ValueError(f"{reference!r} does not name a callable as 'package.module:callable'")
+    found = pkgutil.resolve_name(reference)
+    if callable(found):
+        return found
+    raise TypeError(f"{reference!r} names no callable")
 
 
 def checked_outputs(result: ProcessingResult, output_dir: str, *, need_files: bool) -> dict[str, str]:

@@ -183,34 +183,27 @@ def group_units(df: DataFrame, group_column: str) -> Units:
     )
 
 
-def accession_sets(members: DataFrame, limit: int = PACK_LIMIT) -> DataFrame:
-    """Sorted accession arrays per unit, for hashing and comparison.
+def accession_sets(members: DataFrame) -> DataFrame:
+    """Per unit and accession field a list of one text that identifies the whole set.
 
-    A unit with more than ``limit`` accessions gets, per field, a single entry that
-    identifies the whole set (count and XOR of digests), so its identity still covers
-    every accession while no task collects it.
+    The text holds the number of distinct accessions and the XOR of their digests, whatever
+    the size of the unit, so its identity covers every accession, does not depend on any
+    limit, and is one aggregate that combines before the shuffle. No accessions: no text.
     """
-    accessions = members.filter(F.col("kind").isin(*ACCESSION_KINDS)).select("unit_id", "kind", "value")
-    sizes = group_sizes(accessions, ["unit_id"])
-    sized = accessions.join(sizes, "unit_id")
-    small = sized.filter(F.col("_n") <= limit).select("unit_id", "kind", "value")
-    digests = (
-        sized.filter(F.col("_n") > limit)
-        .groupBy("unit_id", "kind")
-        .agg(*set_digest_aggs(F.col("value"), "_d"), F.count(F.lit(1)).alias("_n"))
-        .select("unit_id", "kind", set_digest_text("_d", F.col("_n")).alias("value"))
-    )
-    return (
-        small.unionByName(digests)
-        .groupBy("unit_id")
-        .agg(
-            *[
-                F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("value")))).alias(kind)
-                for kind in ACCESSION_KINDS
-            ]
-        )
+    kinds = members.filter(F.col("kind").isin(*ACCESSION_KINDS))
+    of_kind = {kind: F.when(F.col("kind") == kind, F.col("value")) for kind in ACCESSION_KINDS}
+    summed = kinds.groupBy("unit_id").agg(
+        *[a for kind, value in of_kind.items() for a in set_digest_aggs(value, f"_{kind}_")],
+        *[F.count(value).alias(f"_{kind}_n") for kind, value in of_kind.items()],
     )
 
+    def text(kind: str) -> Column:
+        n = F.col(f"_{kind}_n")
+        listed = F.array(set_digest_text(f"_{kind}_", n))
+        return F.when(n > 0, listed).otherwise(F.array().cast("array<string>")).alias(kind)
+
+    return summed.select("unit_id", *[text(kind) for kind in ACCESSION_KINDS])
+
 
 def unit_fingerprints(
     units: DataFrame,

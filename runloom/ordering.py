@@ -87,6 +87,13 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join on keys that may be null; ``right`` is one row per key."""
+    renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys])
+    return left.join(right.withColumnsRenamed(renamed), same).drop(*renamed.values())
+
+
 def pack_ordered(
     df: DataFrame,
     keys: Sequence[str],
@@ -94,29 +101,27 @@ def pack_ordered(
     order: str = ORD,
     limit: int = PACK_LIMIT,
 ) -> DataFrame:
-    """Collect ``value`` per key into arrays of bounded length, in order.
+    """Collect ``value`` per key into arrays of at most ``limit`` elements, in order.
 
-    A group of up to ``limit`` rows becomes one row with ``n_chunks = 1``. A larger
-    group is spread by hash over ``n_chunks`` rows, so that no task ever holds a whole
-    hot group; every element carries its order, and no row is lost.
+    Elements are numbered per key by order and value, and ``chunk`` is the number divided
+    by ``limit``: the chunks of a key follow each other, and groups of equal size and order
+    are cut at the same places. Groups that fit into one chunk need no numbering; those
+    that do not are numbered by a range partitioning, so no task holds a whole hot group.
     """
     keys = list(keys)
-    renamed = {k: f"_key{i}" for i, k in enumerate(keys)}
     sizes = group_sizes(df, keys).select(
-        *[F.col(k).alias(renamed[k]) for k in keys],
-        F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("n_chunks"),
-    )
-    same = reduce(
-        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(renamed[k])) for k in keys]
+        *keys, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("n_chunks")
     )
-    sized = df.join(sizes, same).drop(*renamed.values())
-    chunk = F.when(
-        F.col("n_chunks") > 1, F.pmod(F.xxhash64(F.col(order), F.col(value)), F.col("n_chunks"))
-    ).otherwise(F.lit(0))
-    packed = (
-        sized.withColumn("chunk", chunk.cast("int"))
-        .groupBy(*keys, "chunk", "n_chunks")
-        .agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("ord"), F.col(value).alias("value")))).alias("items"))
+    sized = _by_keys(df.select(*keys, order, value), sizes, keys)
+    placed = sized.withColumn("chunk", F.lit(0))
+    if sizes.filter("n_chunks > 1").limit(1).count():
+        numbered = global_ordinal(sized.filter("n_chunks > 1"), [*keys, order, value], "_ordinal")
+        firsts = numbered.groupBy(*keys).agg(F.min("_ordinal").alias("_first"))
+        chunk = F.floor((F.col("_ordinal") - F.col("_first")) / F.lit(limit)).cast("int")
+        large = _by_keys(numbered, firsts, keys).withColumn("chunk", chunk).select(*placed.columns)
+        placed = placed.filter("n_chunks = 1").unionByName(large)
+    packed = placed.groupBy(*keys, "chunk", "n_chunks").agg(
+        F.array_sort(F.collect_list(F.struct(F.col(order).alias("ord"), F.col(value).alias("value")))).alias("items")
     )
     return packed.withColumn("values", F.col("items")["value"])
 

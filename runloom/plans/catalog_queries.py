@@ -11,7 +11,6 @@ from ..operators import units as un
 from ..operators.manifest import items_digest
 from ..operators.reads import oversized_runs
 from ..ordering import ORD, keep_first, pack_ordered, with_order
-from ..session import cut_lineage
 from .registry import Tables, query
 
 ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
@@ -244,7 +243,7 @@ def packed_experiment_lists(t: Tables) -> DataFrame:
     members = un.unit_members(clean_catalog(t), "Experiment").filter(
         F.col("kind").isin("run_accessions", "biosample_accessions")
     )
-    packed = pack_ordered(cut_lineage(members), ["unit_id", "kind"], "value")
+    packed = pack_ordered(members, ["unit_id", "kind"], "value")
     return packed.select("unit_id", "kind", F.array_join("values", ",").alias("listed"), "n_chunks")
 
 
@@ -294,32 +293,41 @@ def distinct_experiments(t: Tables) -> DataFrame:
 
 
 PINS_SQL = "SELECT DISTINCT CAST(n_nationkey AS BIGINT) AS taxid, 'GCF_' || n_nationkey AS accession FROM nation WHERE n_nationkey % 5 = 0"
+
+
+def _set_sql(column: str) -> str:
+    """JSON list with the text that identifies a set: its size and XOR-ed digests."""
+    pieces = [
+        f"lpad(lower(hex(bit_xor(DISTINCT ('0x' || substr(sha256({column}), {1 + 15 * i}, 15))::BIGINT))), 15, '0')" for i in range(4)
+    ]
+    return f"""CASE WHEN count({column}) = 0 THEN '[]' ELSE '["set:' || count(DISTINCT {column}) || ':' || {' || '.join(pieces)} || '"]' END"""
+
+
 SQL_PRINTS = f"""{SQL_CLEAN}, P AS ({PINS_SQL}),
 L AS (SELECT BioSample AS unit_id, min(TaxID) AS taxid,
-   list_sort(list_distinct(list(Run))) AS run_accessions, list_sort(list_distinct(list(Experiment))) AS experiment_accessions,
-   list_sort(list_distinct(list(Sample))) AS sra_sample_accessions, list_sort(list_distinct(list(BioSample))) AS biosample_accessions
+   {_set_sql('Run')} AS run_accessions, {_set_sql('Experiment')} AS experiment_accessions,
+   {_set_sql('Sample')} AS sra_sample_accessions, {_set_sql('BioSample')} AS biosample_accessions
    FROM CC GROUP BY BioSample),
 FP AS (SELECT unit_id, L.taxid, accession AS genome_pin, sha256(
-   '{{"biosample_accessions":' || CAST(to_json(biosample_accessions) AS VARCHAR) || ',"description_identity":null'
-   || ',"experiment_accessions":' || CAST(to_json(experiment_accessions) AS VARCHAR) || ',"fastq_identity":"archive"'
+   '{{"biosample_accessions":' || biosample_accessions || ',"description_identity":null'
+   || ',"experiment_accessions":' || experiment_accessions || ',"fastq_identity":"archive"'
    || ',"genome_pin":' || coalesce('"' || accession || '"', 'null') || ',"group_by":"biosample","processor_identity":"demo:v1"'
-   || ',"run_accessions":' || CAST(to_json(run_accessions) AS VARCHAR)
-   || ',"sra_sample_accessions":' || CAST(to_json(sra_sample_accessions) AS VARCHAR)
+   || ',"run_accessions":' || run_accessions
+   || ',"sra_sample_accessions":' || sra_sample_accessions
    || ',"taxid":' || L.taxid || ',"unit_id":"' || unit_id || '"}}') AS fingerprint
    FROM L LEFT JOIN P ON L.taxid = P.taxid)"""
 
 
 def fingerprints(t: Tables) -> DataFrame:
     """Fingerprint of every BioSample unit of the clean catalog."""
-    grouped = un.group_units(cut_lineage(clean_catalog(t)), "BioSample")
-    members = cut_lineage(grouped.members)
+    grouped = un.group_units(clean_catalog(t), "BioSample")
     pins = t.nation.filter("n_nationkey % 5 = 0").select(
         F.col("n_nationkey").cast("bigint").alias("taxid"),
         F.concat(F.lit("GCF_"), F.col("n_nationkey")).alias("accession"),
     )
     return un.unit_fingerprints(
         grouped.table,
-        un.accession_sets(members),
+        un.accession_sets(grouped.members),
         group_by="biosample",
         processor_identity="demo:v1",
         fastq_identity=F.lit("archive"),

@@ -92,6 +92,10 @@ BIOSAMPLE_COLUMNS = (
     + ">>>, Links STRUCT<Link: ARRAY<STRUCT<_VALUE: STRING, _type: STRING, _target: STRING, _label: STRING>>>,"
     " Status STRUCT<_status: STRING, _when: STRING>, _corrupt STRING"
 )
+#: Tags of elements inside a text.
+NESTED = r"</?[A-Za-z][\w:.-]*(?:\s[^<>]*)?/?>"
+#: The entities that XML defines.
+ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
 _ID_KINDS = {
     "PRIMARY_ID": "primary",
     "SECONDARY_ID": "secondary_id",
@@ -131,14 +135,22 @@ def lossless_tree(xml: Column) -> Column:
 
 
 def record_text(chunk: Column, tag: str) -> Column:
-    """Text of the ``tag`` record in a chunk that ends before the end tag, or null."""
-    record = F.regexp_extract(chunk, rf"(?s)<{tag}(?:\s[^>]*)?>.*", 0)
-    return F.when(record != "", F.concat(record, F.lit(f"</{tag}>")))
+    """Text of the ``tag`` record in a chunk that begins after ``<tag``, or null.
+
+    A record ends at its end tag. Where a cut file lacks it, the text stays without one, so
+    the parser finds it malformed instead of taking half a record for a whole one.
+    """
+    end = f"</{tag}>"
+    begins = chunk.rlike(r"^(?:\s*/?>|\s+[^\s<])")
+    alone = F.regexp_extract(chunk, r"^[^<>]*/>", 0)
+    whole = F.concat(F.substring_index(chunk, end, 1), F.lit(end))
+    body = F.when(alone != "", alone).when(F.contains(chunk, F.lit(end)), whole).otherwise(chunk)
+    return F.when(begins, F.concat(F.lit(f"<{tag}"), body))
 
 
 def read_records(spark: SparkSession, path, tag: str) -> DataFrame:
     """One row per ``tag`` record with its text and position."""
-    chunks = spark.read.text(path, lineSep=f"</{tag}>")
+    chunks = spark.read.text(path, lineSep=f"<{tag}")
     return chunks.select(record_text(F.col("value"), tag).alias("xml"), read_position().alias(ORD)).filter(
         F.col("xml").isNotNull()
     )
@@ -158,7 +170,8 @@ def malformed_records(parsed: DataFrame, operator: str) -> DataFrame:
 
 
 def _clean(value: Column) -> Column:
-    return blank_to_null(squeeze(value))
+    """Squeezed text; of an element with nested elements, the text in all of them."""
+    return blank_to_null(squeeze(F.regexp_replace(value, NESTED, "")))
 
 
 def _id_record(kind: Column, e: Column) -> Column:
@@ -268,11 +281,17 @@ def _with_attributes(df: DataFrame) -> DataFrame:
 
 def layout_properties(xml: Column) -> Column:
     """Attributes of the layout element; the XML reader drops those of empty map values."""
-    text = F.regexp_extract(xml, r"(?s)<LIBRARY_LAYOUT>\s*<\w+\s([^>]*?)/?>", 1)
-    attribute = F.lit(r'(\w+)="([^"]*)"')
-    return F.map_from_arrays(
-        F.regexp_extract_all(text, attribute, F.lit(1)), F.regexp_extract_all(text, attribute, F.lit(2))
-    )
+    text = F.regexp_extract(xml, r"""(?s)<LIBRARY_LAYOUT>\s*<\w+\s((?:[^<>"']|"[^"]*"|'[^']*')*?)/?>""", 1)
+    attribute = r"""([\w:.-]+)\s*=\s*("[^"]*"|'[^']*')"""
+    quoted = F.regexp_extract_all(text, F.lit(attribute), F.lit(2))
+
+    def decoded(value: Column) -> Column:
+        value = F.substring(value, F.lit(2), F.length(value) - 2)
+        for entity, character in ENTITIES.items():
+            value = F.replace(value, F.lit(entity), F.lit(character))
+        return value
+
+    return F.map_from_arrays(F.regexp_extract_all(text, F.lit(attribute), F.lit(1)), F.transform(quoted, decoded))
 
 
 def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import fields
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,15 +46,23 @@ def collections_from_document(spark: SparkSession, path: str) -> Bundle:
     documents = spark.read.schema(wide).option("multiLine", True).json(path)
     found = {}
     for field in fields(Bundle):
-        if field.name not in ACCESSION_COLLECTIONS:
-            continue
         rows = documents.select(
             F.col("_metadata.file_path").alias("file"), F.posexplode(field.name).alias("pos", "row")
         ).select("row.*", F.struct("file", "pos").alias(ORD))
+        if "attributes" in rows.columns:
+            rows = rows.withColumn("attributes", _attribute_lists(F.col("attributes")))
         found[field.name] = rows
     return Bundle(**found)
 
 
+def _attribute_lists(text: Column) -> Column:
+    """JSON text of an object whose values are one text or a list, as a map of lists."""
+    one = F.from_json(text, "map<string,string>")
+    return F.transform_values(
+        one, lambda _, v: F.when(F.startswith(F.ltrim(v), F.lit("[")), F.coalesce(F.from_json(v, "array<string>"), F.array(v))).otherwise(F.array(v))
+    )
+
+
 def _loose(schema: T.StructType) -> T.StructType:
     """The schema with attribute maps left as text, where a value may be one or many."""
     return T.StructType(

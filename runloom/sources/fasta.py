@@ -102,11 +102,26 @@ def chromosome_sizes(spark: SparkSession, path) -> DataFrame:
     )
 
 
+def _listed(spark: SparkSession, path) -> list[str]:
+    """Every file of the paths by its status, files of no bytes included."""
+    found = []
+    for pattern in [path] if isinstance(path, str) else path:
+        location = spark._jvm.org.apache.hadoop.fs.Path(str(pattern))
+        system = location.getFileSystem(spark._jsc.hadoopConfiguration())
+        for status in system.globStatus(location) or []:
+            within = system.listFiles(status.getPath(), True)
+            while within.hasNext():
+                file = within.next().getPath()
+                if not file.getName().startswith(("_", ".")):
+                    found.append(file.toString())
+    return found
+
+
 def fasta_violations(spark: SparkSession, path) -> DataFrame:
     """Files with sequence before the first header, or without any sequence."""
     named = _named(sequence_pieces(spark, path))
     orphan = named.filter(F.col("seq").isNull() & (F.col("length") > 0)).select("file").distinct()
-    files = spark.read.format("binaryFile").load(path).select(F.col("path").alias("file"))
+    files = spark.createDataFrame([(f,) for f in _listed(spark, path)], "file STRING")
     with_header = named.filter(F.col("seq").isNotNull()).select(F.regexp_replace("file", "^file:/+", "/").alias("file"))
     empty = files.select(F.regexp_replace("file", "^file:/+", "/").alias("file")).join(with_header, "file", "left_anti")
     return violation_rows(orphan, "fasta", F.col("file"), F.lit("sequence before header")).unionByName(

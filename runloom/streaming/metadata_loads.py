@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ CURRENT = "current"
 
 def landed_records(spark: SparkSession, directory: str, tag: str) -> DataFrame:
     """Stream of ``tag`` records, with file and split, of the files that land in a folder."""
-    chunks = spark.readStream.option("lineSep", f"</{tag}>").text(directory)
+    chunks = spark.readStream.option("lineSep", f"<{tag}").text(directory)
     return chunks.select(
         record_text(F.col("value"), tag).alias("xml"),
         F.col("_metadata.file_path").alias("file"),
@@ -49,11 +50,13 @@ def _numbered(bundle: Bundle, batch: int) -> Bundle:
 
 
 class MetadataLoad:
-    """Cumulative metadata tables under ``directory``, one version per micro-batch.
+    """Cumulative metadata tables under ``directory``, one version per commit.
 
-    A batch reads the version before it, upserts its records and writes its own
-    version; the pointer to the current version moves last. A repeated batch rewrites
-    the same version from the same input, so a lost executor or driver does no harm.
+    All streams share one line of versions. A batch reads the newest version, upserts its
+    records and writes the next; the commit table ``(version, source, batch)`` gets its row
+    last. A batch whose source and number are committed is not applied again, so a repeated
+    batch, a lost executor or a lost driver does no harm. A source is a stream with its
+    checkpoint: a new checkpoint loads the same records again, into the same rows.
     """
 
     def __init__(self, spark: SparkSession, directory: str) -> None:
@@ -81,39 +84,47 @@ class MetadataLoad:
         """Completeness index of the newest version."""
         return self.spark.read.parquet(f"{self._version(self._pointer())}/index")
 
-    def _before(self, batch: int) -> Bundle:
-        versions = [] if self._pointer() is None else [
-            row[0]
-            for row in self.spark.read.parquet(f"{self.directory}/{CURRENT}").filter(F.col("version") < batch).agg(F.max("version")).collect()
-        ]
-        number = versions[0] if versions else None
-        return load_bundle(self.spark, self._version(number)) if number is not None else _numbered(Bundle().filled(self.spark), -1)
-
-    def apply(self, incoming: Bundle, batch: int) -> None:
-        """Upsert a bundle as version ``batch`` and refresh the completeness index."""
-        source = _numbered(incoming.filled(self.spark), batch)
-        save_bundle(self._before(batch).upserted_from(source), self._version(batch))
-        saved = load_bundle(self.spark, self._version(batch))
-        saved.completeness_index().write.mode("overwrite").parquet(f"{self._version(batch)}/index")
-        self.spark.createDataFrame([(batch,)], "version BIGINT").write.mode("append").parquet(f"{self.directory}/{CURRENT}")
-
-    def _parsed(self, records: DataFrame, columns: str, batch: int) -> DataFrame:
+    def committed(self, source: str, batch: int) -> bool:
+        """Whether a batch of a source is in the current version."""
+        if self._pointer() is None:
+            return False
+        commits = self.spark.read.parquet(f"{self.directory}/{CURRENT}")
+        return bool(commits.filter((F.col("source") == source) & (F.col("batch") == batch)).limit(1).count())
+
+    def apply(self, incoming: Bundle, batch: int, source: str = "batch") -> None:
+        """Upsert a bundle as the next version and refresh the completeness index."""
+        if self.committed(source, batch):
+            return
+        newest = self._pointer()
+        version = 0 if newest is None else newest + 1
+        arriving = _numbered(incoming.filled(self.spark), version)
+        save_bundle(self.current().upserted_from(arriving), self._version(version))
+        saved = load_bundle(self.spark, self._version(version))
+        saved.completeness_index().write.mode("overwrite").parquet(f"{self._version(version)}/index")
+        commit = self.spark.createDataFrame([(version, source, batch)], "version BIGINT, source STRING, batch BIGINT")
+        commit.write.mode("append").parquet(f"{self.directory}/{CURRENT}")
+
+    def _parsed(self, records: DataFrame, columns: str, batch: int, source: str) -> DataFrame:
         """Parse a micro-batch once into a table that all collections are cut from.
 
         The table is columnar, so each collection reads only its own part of it.
         """
-        path = f"{self.directory}/parsed/{batch:08d}"
+        name = hashlib.sha256(source.encode()).hexdigest()[:16]
+        path = f"{self.directory}/parsed/{name}-{batch:08d}"
         parse_records(placed(records), columns).write.mode("overwrite").parquet(path)
         return self.spark.read.parquet(path)
 
-    def apply_packages(self, records: DataFrame, batch: int, *, include_raw: bool = False) -> None:
+    def apply_packages(self, records: DataFrame, batch: int, source: str = "packages", *, include_raw: bool = False) -> None:
         """Upsert a micro-batch of package records."""
-        self.apply(packages_bundle(self._parsed(records, PACKAGE_COLUMNS, batch), include_raw=include_raw), batch)
+        if not self.committed(source, batch):
+            parsed = self._parsed(records, PACKAGE_COLUMNS, batch, source)
+            self.apply(packages_bundle(parsed, include_raw=include_raw), batch, source)
 
-    def apply_biosamples(self, records: DataFrame, batch: int, *, include_raw: bool = False) -> None:
+    def apply_biosamples(self, records: DataFrame, batch: int, source: str = "biosamples", *, include_raw: bool = False) -> None:
         """Upsert a micro-batch of BioSample records."""
-        table = biosample_table(self._parsed(records, BIOSAMPLE_COLUMNS, batch), include_raw=include_raw)
-        self.apply(Bundle(biosamples=table), batch)
+        if not self.committed(source, batch):
+            parsed = self._parsed(records, BIOSAMPLE_COLUMNS, batch, source)
+            self.apply(Bundle(biosamples=biosample_table(parsed, include_raw=include_raw)), batch, source)
 
     def _load(self, landing: str, tag: str, checkpoint: str, apply):
         records = landed_records(self.spark, landing, tag)
@@ -130,7 +141,7 @@ class MetadataLoad:
             landing,
             "EXPERIMENT_PACKAGE",
             checkpoint,
-            lambda df, n: self.apply_packages(df, n, include_raw=include_raw),
+            lambda df, n: self.apply_packages(df, n, f"packages:{checkpoint}", include_raw=include_raw),
         )
 
     def load_biosamples(self, landing: str, checkpoint: str, *, include_raw: bool = False):
@@ -139,5 +150,5 @@ class MetadataLoad:
             landing,
             "BioSample",
             checkpoint,
-            lambda df, n: self.apply_biosamples(df, n, include_raw=include_raw),
+            lambda df, n: self.apply_biosamples(df, n, f"biosamples:{checkpoint}", include_raw=include_raw),
         )

@@ -94,7 +94,7 @@ class Workspace:
         grouped = catalog.deduplicate_runs().processing_units(by=self.group_by)
         units = unit_fingerprints(
             grouped.table,
-            accession_sets(cut_lineage(grouped.members)),
+            accession_sets(grouped.members),
             group_by=self.group_by,
             processor_identity=identity,
             pins=pins,

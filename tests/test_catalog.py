@@ -1,3 +1,6 @@
+import hashlib
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,29 +8,27 @@ from runloom.operators.catalog import CatalogConflict, RunCatalog, first_conflic
 from runloom.operators.units import accession_sets, unit_fingerprints
 from runloom.sources.tables import load_runinfo_pages, read_catalog_csv, read_runinfo, runinfo_violations, read_text_csv
 
-RECORD = {
-    "Run": "SRR1", "Experiment": "SRX1", "SRA Sample": "SRS1", "BioSample": "SAMN1", "TaxID": "9606",
-    "ScientificName": "Homo sapiens", "LibraryStrategy": "ATAC-seq", "LibraryLayout": "PAIRED",
-    "Platform": "ILLUMINA", "bases": "100", "size_MB": "2",
-}
+COLUMNS = "Run Experiment BioSample TaxID ScientificName LibraryStrategy LibraryLayout Platform bases size_MB".split() + ["SRA Sample"]
+RECORD = dict(zip(COLUMNS, "DRR70 DRX7 SAMD9 4513 Hordeum RNA-Seq SINGLE BGISEQ 1500 20 DRS8".split()))
 
 
 def records():
-    return [RECORD, RECORD | {"Run": "SRR2", "bases": "200", "size_MB": "3"}]
+    """Two runs of one experiment; the second is half as large."""
+    return [RECORD, {**RECORD, "Run": "DRR71", "bases": "750", "size_MB": "10"}]
 
 
 def test_filter_and_units(spark):
     catalog = RunCatalog.from_records(spark, records())
-    kept = catalog.filter(F.col("LibraryStrategy") == "ATAC-seq", description="assay").filter(
-        lambda row: float(row["size_MB"]) >= 2, description="size"
+    kept = catalog.filter(F.col("LibraryStrategy") == "RNA-Seq", description="assay").filter(
+        lambda row: float(row["size_MB"]) >= 5, description="size"
     )
     units = kept.processing_units(by="experiment")
     unit = units.table.first()
-    assert (unit["unit_id"], unit["taxid"], unit["total_bases"], unit["total_size_gb"]) == ("SRX1", 9606, 300, 0.005)
+    assert (unit["unit_id"], unit["taxid"], unit["total_bases"], unit["total_size_gb"]) == ("DRX7", 4513, 2250, 0.03)
     packed = {r["kind"]: list(r["values"]) for r in units.packed().collect()}
-    assert packed["run_accessions"] == ["SRR1", "SRR2"] and packed["platform"] == ["ILLUMINA"]
+    assert packed["run_accessions"] == ["DRR70", "DRR71"] and packed["platform"] == ["BGISEQ"]
     sizes = {r["run"]: r["size_gb"] for r in units.run_sizes.collect()}
-    assert sizes == {"SRR1": 0.002, "SRR2": 0.003}
+    assert sizes == {"DRR70": 0.02, "DRR71": 0.01}
     assert kept.audit_with_counts()[-1].endswith("2 -> 2 rows")
 
 
@@ -35,7 +36,7 @@ def test_duplicates(spark):
     rows = records()
     assert RunCatalog.from_records(spark, [*rows, rows[0]]).deduplicate_runs().frame.count() == 2
     with pytest.raises(CatalogConflict, match="bases"):
-        RunCatalog.from_records(spark, [*rows, rows[0] | {"bases": "999"}]).deduplicate_runs()
+        RunCatalog.from_records(spark, [*rows, rows[0] | {"bases": "1501"}]).deduplicate_runs()
 
 
 def test_null_coalescing_and_order(spark):
@@ -44,7 +45,7 @@ def test_null_coalescing_and_order(spark):
     ]
     merged = RunCatalog.from_records(spark, rows).deduplicate_runs()
     assert [r["Run"] for r in merged.frame.orderBy("_ord").collect()] == ["B", "A"]
-    assert [r["Platform"] for r in merged.frame.collect()] == ["ILLUMINA"] * 2
+    assert [r["Platform"] for r in merged.frame.collect()] == ["BGISEQ"] * 2
     assert merged.columns == list(RECORD)
 
 
@@ -63,8 +64,8 @@ def test_ten_conflicts_in_report(spark):
 
 def test_transform(spark):
     catalog = RunCatalog.from_records(spark, records())
-    changed = catalog.transform(lambda df: df.filter("Run = 'SRR2'").withColumn("x", F.lit(1)), description="select SRR2")
-    assert changed.audit_with_counts()[-1] == "transform select SRR2: 2 -> 1 rows"
+    changed = catalog.transform(lambda df: df.filter("Run = 'DRR71'").withColumn("x", F.lit(1)), description="one run")
+    assert changed.audit_with_counts()[-1] == "transform one run: 2 -> 1 rows"
     with pytest.raises(TypeError):
         catalog.transform(lambda df: 5)
     with pytest.raises(ValueError):
@@ -82,12 +83,12 @@ def test_select_keeps_run(spark):
 
 
 def test_species_conflict_and_key_fallback(spark):
-    mixed = [RECORD, RECORD | {"Run": "SRR2", "TaxID": "10090"}]
+    mixed = [RECORD, RECORD | {"Run": "DRR71", "TaxID": "4530"}]
     with pytest.raises(CatalogConflict):
         RunCatalog.from_records(spark, mixed).processing_units()
-    loose = [RECORD | {"Experiment": ""}, RECORD | {"Run": "SRR2", "Experiment": None}]
+    loose = [RECORD | {"Experiment": ""}, RECORD | {"Run": "DRR71", "Experiment": None}]
     units = RunCatalog.from_records(spark, loose).processing_units().table
-    assert {r["unit_id"] for r in units.collect()} == {"SRR1", "SRR2"}
+    assert {r["unit_id"] for r in units.collect()} == {"DRR70", "DRR71"}
     renamed = [{**{k: v for k, v in RECORD.items() if k != "SRA Sample"}, "Sample": "SRS7"}]
     assert RunCatalog.from_records(spark, renamed).processing_units(by="sra_sample").table.first()["unit_id"] == "SRS7"
     with pytest.raises(ValueError):
@@ -97,32 +98,40 @@ def test_species_conflict_and_key_fallback(spark):
 def test_normalized_entities(spark):
     views = RunCatalog.from_records(spark, records()).normalized_entities()
     assert set(views) == {"runs", "experiments", "sra_samples", "biosamples"}
-    assert views["experiments"].first()["Run"] == "SRR1"
+    assert views["experiments"].first()["Run"] == "DRR70"
+
+
+def set_text(accessions):
+    accessions = list(accessions)
+    limbs = [0] * 4
+    for digest in (hashlib.sha256(a.encode()).hexdigest() for a in accessions):
+        limbs = [x ^ int(digest[15 * i : 15 * i + 15], 16) for i, x in enumerate(limbs)]
+    return f"set:{len(accessions)}:" + "".join(f"{x:015x}" for x in limbs)
 
 
 def test_hot_unit_is_chunked_without_loss(spark):
     rows = [RECORD | {"Run": f"R{i:03d}"} for i in range(250)] + [RECORD | {"Run": "Z", "Experiment": "SRX2"}]
     units = RunCatalog.from_records(spark, rows).processing_units()
     packed = units.packed(limit=40).filter("kind = 'run_accessions'").collect()
-    hot = [r for r in packed if r["unit_id"] == "SRX1"]
+    hot = [r for r in packed if r["unit_id"] == "DRX7"]
     assert len(hot) > 1 and {r["n_chunks"] for r in hot} == {7}
     assert sorted(v for r in hot for v in r["values"]) == [f"R{i:03d}" for i in range(250)]
-    sets = {r["unit_id"]: r for r in accession_sets(units.members, limit=40).collect()}
-    assert sets["SRX1"]["run_accessions"][0].startswith("set:250:")
-    assert sets["SRX2"]["run_accessions"] == ["Z"]
+    ordered = sorted(hot, key=lambda r: r["chunk"])
+    assert [len(r["values"]) for r in ordered] == [40] * 6 + [10]
+    assert [v for r in ordered for v in r["values"]] == [f"R{i:03d}" for i in range(250)]
+    sets = {r["unit_id"]: r for r in accession_sets(units.members).collect()}
+    assert sets["DRX7"]["run_accessions"] == [set_text(f"R{i:03d}" for i in range(250))]
+    assert sets["SRX2"]["run_accessions"] == [set_text(["Z"])]
 
 
 def test_fingerprint_equals_canonical_json(spark):
-    import hashlib
-    import json
-
     units = RunCatalog.from_records(spark, records()).processing_units(by="biosample")
     found = unit_fingerprints(
         units.table, accession_sets(units.members), group_by="biosample", processor_identity="p:é", fastq_identity=F.lit("x")
     ).first()
     identity = {
-        "group_by": "biosample", "unit_id": "SAMN1", "run_accessions": ["SRR1", "SRR2"], "experiment_accessions": ["SRX1"],
-        "sra_sample_accessions": ["SRS1"], "biosample_accessions": ["SAMN1"], "taxid": 9606, "genome_pin": None,
+        "group_by": "biosample", "unit_id": "SAMD9", "run_accessions": [set_text(["DRR70", "DRR71"])], "experiment_accessions": [set_text(["DRX7"])],
+        "sra_sample_accessions": [set_text(["DRS8"])], "biosample_accessions": [set_text(["SAMD9"])], "taxid": 4513, "genome_pin": None,
         "processor_identity": "p:é", "description_identity": None, "fastq_identity": "x",
     }
     text = json.dumps(identity, sort_keys=True, separators=(",", ":"))

@@ -274,3 +274,15 @@ def test_names(spark):
     assert rows.filter(names.url_file_name(F.col("url")) != F.col("expected")).count() == 0
     series = spark.createDataFrame([("GSE123456", "GSE123nnn"), ("gse12", "GSEnnn"), ("GSM1", None)], "a STRING, b STRING")
     assert series.filter(~names.series_bucket(F.col("a")).eqNullSafe(F.col("b"))).count() == 0
+
+
+def test_chunks_of_a_hot_unit_follow_each_other(spark):
+    rows = [("u", role, pos, f"{role}_{pos:03d}") for role in ("read1", "read2") for pos in range(25)] + [("v", "single", 0, "x")]
+    files = spark.createDataFrame(rows, "unit_id STRING, role STRING, run_pos INT, path STRING").repartition(5)
+    found = {}
+    for r in sorted(rd.merge_order(files, limit=4).collect(), key=lambda r: r["chunk"]):
+        found.setdefault((r["unit_id"], r["role"]), []).append(list(r["paths"]))
+    assert [len(c) for c in found["u", "read1"]] == [4] * 6 + [1]
+    for first, second in zip(found["u", "read1"], found["u", "read2"]):
+        assert [p[5:] for p in first] == [p[5:] for p in second]
+    assert sum(found["u", "read1"], []) == [f"read1_{k:03d}" for k in range(25)] and found["v", "single"] == [["x"]]
