@@ -422,10 +422,10 @@ def repeated_relations(links: DataFrame) -> DataFrame:
 def description_conflicts(rows: DataFrame, operator: str) -> DataFrame:
     """Experiments whose links are described differently, as violation rows.
 
-    Descriptions are compared through a count and an XOR of row digests, which
-    combine on the map side.
+    Descriptions are compared by content, whatever the order of their fields, through a
+    count and an XOR of row digests, which combine on the map side.
     """
-    content = F.xxhash64("field", "value", "field_ord", "value_ord")
+    content = F.xxhash64("field", "value")
     digests = rows.groupBy("experiment", "relation").agg(
         F.bit_xor(content).alias("_x"), F.count(F.lit(1)).alias("_n")
     )

@@ -103,7 +103,7 @@ class Workspace:
         require_none(unusable_names(units, "unit_id"))
         items = cut_lineage(units.withColumn("item_id", safe_identifier(F.col("unit_id"))))
         stamp = (created_at or datetime.now(timezone.utc)).isoformat()
-        digest = mf.items_digest(items, ["unit_id"]).select(
+        digest = mf.items_digest(items, [ORD, "unit_id"]).select(
             execution_name(F.lit(stamp), F.col("digest")).alias("name")
         )
         name = digest.first()["name"]
@@ -186,8 +186,21 @@ class Workspace:
         none = F.lit(None).cast("string")
         self._append(
             "events",
-            self._events(claimed, F.lit("claim"), seq + 1, none, force=True, retry_failed=True, reclaim=True),
+            self._events(
+                claimed,
+                F.lit("claim"),
+                seq + 1,
+                none,
+                force=F.col("archive_previous"),
+                retry_failed=retry_failed,
+                reclaim=reclaim_running,
+            ),
+        )
+        # Another build may have claimed a unit since the plan; the fold decides whose it is.
+        mine = self.states().select("unit_id", "claim_id").filter(
+            F.col("claim_id") == F.concat_ws("/", F.lit(execution_id), "unit_id")
         )
+        claimed = cut_lineage(claimed.join(mine, "unit_id", "left_semi"))
         work = inputs.join(claimed.select("unit_id"), "unit_id", "left_semi")
         facts = inputs.select("unit_id", F.col("genome.fasta").alias("fasta"))
         done = run_units(work, processor).join(facts, "unit_id").select("unit_id", "status", "error", "outputs", "metrics", "fasta")
@@ -209,7 +222,7 @@ class Workspace:
         recorded = listed.join(files, "path").withColumn("execution_id", F.lit(execution_id))
         self._append("outputs", recorded.select("execution_id", "unit_id", "role", "path", "size", "modified", "sha256"))
         self.sync_manifest(execution_id)
-        skipped = plan.filter("action <> 'claim'").select("unit_id", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("error"))
+        skipped = plan.join(claimed, "unit_id", "left_anti").select("unit_id", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("error"))
         return execution_id, outcomes.select("unit_id", "status", "error").unionByName(skipped)
 
     def manifest(self) -> DataFrame:
