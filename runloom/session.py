@@ -45,14 +45,11 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
     return spark
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Checkpoint ``df`` in the folder the cluster names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    The rows are frozen on shared storage, so a lost executor re-reads them instead
-    of recomputing a non-deterministic stage. A private folder is used only when the
-    session names none, which is the case in tests.
+    A private folder is made only where the session names none, which is the case in tests.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(
@@ -60,4 +57,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
             or context.getConf().get(CHECKPOINT_CONF)
             or tempfile.mkdtemp(prefix="spark-")
         )
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Checkpoint ``df`` in the shared folder.
+
+    The rows are frozen on shared storage, so a lost executor re-reads them instead
+    of recomputing a non-deterministic stage.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
