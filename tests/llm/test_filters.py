@@ -55,11 +55,11 @@ def test_base_counts(spark, docs):
 
 def test_cutoffs_are_certified(spark):
     n = 3000
-    rows = [("a", *([5] * 4 if k < 6 else [0] * 4)) for k in range(n)] + [("b", 0, 0, 0, 0)] * 40
+    rows = [("a", *([5] * 4 if k < 5 else [0] * 4)) for k in range(n)] + [("b", 0, 0, 0, 0)] * 40
     found = {(r["stratum"], r["rule"]): r["cutoff"] for r in choose_cutoffs(spark.createDataFrame(rows, "stratum string, symbols int, capitals int, lines int, repeats int")).collect()}
     alpha, level = 0.02 / 4, 0.05 / 8
     cdf = lambda x: sum(math.comb(n, i) * alpha**i * (1 - alpha) ** (n - i) for i in range(x + 1))
-    assert cdf(0) < level and cdf(6) < level
+    assert cdf(0) < level and cdf(5) < level < cdf(6)
     assert {found["a", r] for r in RULES} == {0}
     assert {found["b", r] for r in RULES} == {None}
 
@@ -186,9 +186,17 @@ def test_pipeline_by_brute_force(spark):
     clean = corpus_pipeline.decontamination(spark, unique, SMALL)
     leaks = {r["doc_id"] for r in q.op3_decontamination(spark, SMALL).collect()}
     assert {r["doc_id"] for r in clean.collect()} == {ids[r] for r in roots} - leaks
-    safe = corpus_pipeline.secret_scan(spark, clean, SMALL)
-    assert safe.columns == docs.columns and safe.count() == clean.count()
-    pattern = r'AKIA[A-Z0-9]{16}|token = "[0-9a-f]{40}"|password=[0-9a-f]{18}'
-    assert clean.filter(F.col("text").rlike(pattern)).count() and not safe.filter(F.col("text").rlike(pattern)).count()
+    secret = ' token = "97ffa88d7c5f5655e365004e29bd123cdabd722a"'
+    planted = clean.withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.concat("text", F.lit(secret))).otherwise(F.col("text")))
+    before = {r["doc_id"]: (r["text"], r["n_chars"]) for r in clean.collect()}
+    safe = corpus_pipeline.secret_scan(spark, planted, SMALL)
+    assert safe.columns == docs.columns
+    for r in safe.collect():
+        text, n_chars = before.pop(r["doc_id"])
+        if r["doc_id"] % 2 == 0:
+            assert r["text"] == text + ' token = "[SECRET]"' and r["n_chars"] == len(r["text"])
+        else:
+            assert (r["text"], r["n_chars"]) == (text, n_chars)
+    assert not before
     packed = corpus_pipeline.run(spark, SMALL)
     assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in safe.collect()}
