@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 #: Most labelled rows of each class that a classifier is fitted on, and the longest text
 #: (bytes) among them. Every document is scored as a whole, whatever its length.
 SAMPLE_ROWS, SAMPLE_TEXT_BYTES = 4000, 1 << 16
+HASHES = 1 << 40
 
 
 def remainder(key: str, modulus: int) -> Column:
@@ -29,8 +30,10 @@ def labelled_sample(
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull() & (remainder(key, modulus) != held))
     keys = known.groupBy(F.col(key).alias("_key")).agg(F.max(label).cast("int").alias("_label"))
     counts = {r["_label"]: r["count"] for r in keys.groupBy("_label").count().collect()}
-    order = F.xxhash64("_key")
-    parts = [keys.filter(F.col("_label") == y).orderBy(order, "_key").limit(rows) for y in (0, 1)]
+    order = F.pmod(F.xxhash64("_key"), F.lit(HASHES))
+    # Twice the wanted share of the hashes leaves enough keys, and few to sort.
+    share = {y: int(HASHES * min(1.0, 2 * rows / max(1, counts.get(y, 0)))) for y in (0, 1)}
+    parts = [keys.filter((F.col("_label") == y) & (order < F.lit(share[y]))).orderBy(order, "_key").limit(rows) for y in (0, 1)]
     chosen = F.broadcast(parts[0].union(parts[1]))
     wanted = docs.select(F.col(key).alias("_doc"), F.col(text).alias("_text")).filter(F.octet_length("_text") <= SAMPLE_TEXT_BYTES)
     found = wanted.join(chosen, F.col("_doc") == F.col("_key")).select("_key", "_text", "_label").toArrow()

@@ -246,6 +246,26 @@ def count_words(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.col(text).alias("text")).mapInArrow(counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def frequent_words(counts: DataFrame, most: int = HEAD_WORDS) -> list[tuple[str, int]]:
+    """At most ``most`` of the most frequent words, by count and then by word.
+
+    A histogram of the logarithms of the counts says from which step on the words fit; only
+    those are fetched, so no task sends its own list of candidates to the driver.
+    """
+    step = F.floor(F.log2("c") * 32)
+    by_step = sorted(counts.groupBy(step.alias("step")).count().collect(), key=lambda r: -r["step"])
+    total, least = 0, None
+    for r in by_step:
+        total += r["count"]
+        if total > most:
+            break
+        least = r["step"]
+    if least is None:
+        return []
+    rows = counts.filter(step >= F.lit(least)).collect()
+    return sorted(((r.word, r.c) for r in rows), key=lambda x: (-x[1], x[0]))
+
+
 class Vocabulary:
     """What every task knows: counts and classes of the most frequent words."""
 
@@ -325,7 +345,7 @@ def score_documents(docs: DataFrame, text: str = "text", key: str = "doc_id", mo
     training = rows.filter(~F.col("held_out"))
     counts = stored(count_words(training, "text"), "word-counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    head = [(r.word, r.c) for r in counts.orderBy(F.desc("c"), "word").limit(HEAD_WORDS).collect()]
+    head = frequent_words(counts)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(head))
     shape_n, shape_v = np.zeros(CLASSES), np.zeros(CLASSES)
     for kind, tokens, words in _shape_totals(counts, vocabulary):
