@@ -30,6 +30,8 @@ GRID_STEP, GRID_SIZE = 10, 100
 #: Permitted false rejection of good documents per stratum by all rules, and its risk.
 TOTAL_ALPHA, DELTA = 0.02, 0.05
 WINDOW = 5
+#: Strata up to which the table of cutoffs is broadcast (some 100 bytes a row).
+BROADCAST_STRATA = 10_000
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -171,9 +173,16 @@ def judge_quality(
     good = labels.groupBy(F.col(key).alias("_label_key")).agg(F.max(label).alias("_label")).filter("_label = 1")
     holdout = measured.drop("_row").join(good, F.col("_key") == F.col("_label_key"), "left_semi")
     cutoffs = choose_cutoffs(holdout.select(F.col("_stratum").alias("stratum"), *[c.alias(r) for r, c in level_of.items()]))
-    by_rule = cutoffs.groupBy(F.col("stratum").alias("_of")).agg(
-        *[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES]
+    by_rule = stored(
+        cutoffs.groupBy(F.col("stratum").alias("_of")).agg(
+            *[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in RULES]
+        ),
+        "quality-cutoffs",
     )
+    # A row per stratum: sent to the tasks where they are few, so no text moves to the task
+    # of its stratum; with more strata than that, none holds a large share.
+    if by_rule.count() <= BROADCAST_STRATA:
+        by_rule = F.broadcast(by_rule)
     failed = (F.col("_m_words") < 10) | (100 * F.col("_m_repeats") > 20 * F.col("_m_words"))
     verdicts = [F.coalesce(level_of[r] > F.col(f"_cut_{r}"), F.lit(False)) for r in RULES]
     rejected = verdicts[0] | verdicts[1] | verdicts[2] | verdicts[3]
