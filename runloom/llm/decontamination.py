@@ -60,43 +60,59 @@ def template_of(tokens: str) -> Column:
     return F.transform(tokens, placeholder)
 
 
-def _with_windows(texts: DataFrame, keep: list[str]) -> DataFrame:
-    """Add ``windows``, the hashes of the template windows by place.
+def _split(texts: DataFrame, keep: list[str]) -> DataFrame:
+    """Add ``tokens`` and ``template``."""
+    split = texts.select(*keep, tokens_of(F.col("text")).alias("tokens"))
+    return split.select("*", template_of("tokens").alias("template"))
+
+
+def _windows(form: str) -> Column:
+    """``(place, hash)`` of each window of a column of tokens, as an array.
 
-    They are exploded with ``posexplode_outer``: the inner form makes the optimizer derive a
+    Arrays are exploded in the outer form: the inner form makes the optimizer derive a
     filter on the array's size and push it below these steps, written out in full, which
     evaluates all of them again for each element.
     """
-    split = texts.select(*keep, tokens_of(F.col("text")).alias("tokens"))
-    hashed = split.select("*", template_of("tokens").alias("template"))
-    places = F.size("template") - (WINDOW - 1)
+    places = F.size(form) - (WINDOW - 1)
+    made = F.transform(F.sequence(F.lit(0), places - 1), lambda i: F.struct(i.alias("place"), _window_hash(form, i).alias("hash")))
+    return F.when(places > 0, made).otherwise(F.array().cast("array<struct<place:int,hash:bigint>>"))
+
+
+def _window_hash(form: str, i: Column) -> Column:
     # Elements by place: slice() would copy the whole array for each window.
-    windows = F.transform(F.sequence(F.lit(0), places - 1), lambda i: F.xxhash64(*[F.get("template", i + k) for k in range(WINDOW)]))
-    none = F.array().cast("array<bigint>")
-    return hashed.select(*keep, "tokens", "template", F.when(places > 0, windows).otherwise(none).alias("windows"))
-
-
-def template_index(benchmark: DataFrame) -> DataFrame:
-    """``(hash, item_id, item_place)``: the first place of each qualified template window."""
-    items = _with_windows(benchmark, ["item_id"])
-    places = items.select("item_id", "template", F.posexplode_outer("windows").alias("item_place", "hash"))
-    slot = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT))
-    plain = F.size(F.filter(F.slice("template", F.col("item_place") + 1, F.lit(WINDOW)), lambda t: ~F.array_contains(slot, t)))
-    first = F.min(F.struct("item_id", "item_place"))
-    found = places.filter(plain >= LEAST_PLAIN).groupBy("hash").agg(first.alias("at"))
-    return found.select("hash", "at.item_id", "at.item_place")
-
-
-def _slots(tokens: str, template: str, low: Column, high: Column) -> Column:
-    """Places, types and values of the placeholders between two places, as an array."""
-    slot = F.array(F.lit(NUMBER), F.lit(NAME), F.lit(UNIT))
-    n = high - low
-    both = F.arrays_zip(
-        F.sequence(F.lit(0), n - 1).alias("at"),
-        F.slice(F.col(template), low + 1, n).alias("kind"),
-        F.slice(F.col(tokens), low + 1, n).alias("value"),
-    )
-    return F.filter(both, lambda s: F.array_contains(slot, s["kind"]))
+    return F.xxhash64(*[F.get(form, i + k) for k in range(WINDOW)])
+
+
+def _is_slot(token: Column) -> Column:
+    return token.isin(NUMBER, NAME, UNIT)
+
+
+def item_texts(benchmark: DataFrame) -> DataFrame:
+    """``(item_id, text_id, class_id, tokens, template)`` of the distinct items.
+
+    Items with one and the same whole template are a class.
+    """
+    ids = [F.xxhash64("tokens").alias("text_id"), F.xxhash64("template").alias("class_id")]
+    return _split(benchmark, ["item_id"]).select("item_id", *ids, "tokens", "template").dropDuplicates(["item_id", "text_id"])
+
+
+def template_index(texts: DataFrame) -> DataFrame:
+    """``(hash, owner, item_place)``: all places of each qualified template window in all classes."""
+    classes = texts.dropDuplicates(["class_id"]).select(F.col("class_id").alias("owner"), "template", F.inline_outer(_windows("template")))
+    classes = classes.withColumnRenamed("place", "item_place")
+    plain = F.size(F.filter(F.slice("template", F.col("item_place") + 1, F.lit(WINDOW)), lambda t: ~_is_slot(t)))
+    return classes.filter(plain >= LEAST_PLAIN).select("hash", "owner", "item_place")
+
+
+def _cut(form: str, low: Column, n: Column) -> Column:
+    return F.slice(F.col(form), low + 1, n)
+
+
+def _slot_pairs() -> Column:
+    """Distinct values (in the item, in the document) of the placeholders that both have at a place."""
+    both = F.arrays_zip("here_kinds", "here", "there_kinds", "there")
+    slots = F.filter(both, lambda s: _is_slot(s["here_kinds"]) & (s["here_kinds"] == s["there_kinds"]))
+    return F.array_distinct(F.transform(slots, lambda s: F.struct(F.lower(s["there"]).alias("there"), F.lower(s["here"]).alias("here"))))
 
 
 def find_leaks(
@@ -110,60 +126,40 @@ def find_leaks(
     """``(key, item_id, kind, n_windows, first_token, end_token)`` of each leaked item.
 
     One row for each document, item and alignment of the two. A window that several items
-    share counts for the first of them. Null and empty texts, and items shorter than a
-    window, match nothing. Repeated rows (same key and text) count once; a null key is a
-    key. Either table may be empty. Only the named columns are read.
+    share counts for each of them. Null and empty texts, and items shorter than a window,
+    match nothing. Repeated rows (same key and text) count once; a null key is a key.
+    Either table may be empty. Only the named columns are read.
     """
-    items = benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text"))
-    index = stored(template_index(items), "template-index")
+    texts = stored(item_texts(benchmark.select(F.col(item).alias("item_id"), F.col(item_text).alias("text"))), "item-texts")
+    index = stored(template_index(texts), "template-index")
     if index.count() <= BROADCAST_ROWS:
         index = F.broadcast(index)
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("print"))
-    windows = _with_windows(rows, ["key", "print"]).select("key", "print", F.posexplode_outer("windows").alias("place", "hash"))
-    matched = windows.join(index, "hash").select("key", "print", "item_id", (F.col("place") - F.col("item_place")).alias("shift"), "place")
+    windows = _split(rows, ["key", "print"]).select("key", "print", F.inline_outer(_windows("template")))
+    matched = windows.join(index, "hash").select("key", "print", "owner", (F.col("place") - F.col("item_place")).alias("shift"), "place")
     spans = stored(
-        matched.groupBy("key", "print", "item_id", "shift").agg(
-            F.countDistinct("place").alias("n_windows"), F.min("place").alias("low"), (F.max("place") + WINDOW).alias("high")
-        ),
+        matched.groupBy("key", "print", "owner", "shift").agg(F.countDistinct("place").alias("n_windows"), F.min("place").alias("low"), F.max("place").alias("last")),
         "template-spans",
     )
     wanted = spans.select(F.col("key").alias("k"), F.col("print").alias("p")).distinct()
     leaking = rows.join(wanted, F.col("key").eqNullSafe(F.col("k")) & (F.col("print") == F.col("p")), "left_semi").dropDuplicates(["key", "print"])
-    doc_side = _with_windows(leaking, ["key", "print"]).select(F.col("key").alias("k"), F.col("print").alias("p"), "tokens", "template")
-    item_side = _with_windows(items, ["item_id"]).select(F.col("item_id").alias("i"), F.col("tokens").alias("item_tokens"), F.col("template").alias("item_template"))
-    item_side = item_side.dropDuplicates(["i"])
-    aligned = (
-        spans.join(doc_side, F.col("key").eqNullSafe(F.col("k")) & (F.col("print") == F.col("p")))
-        .join(item_side, F.col("item_id") == F.col("i"))
-        .select(
-            "key",
-            "item_id",
-            "n_windows",
-            "low",
-            "high",
-            _slots("tokens", "template", F.col("low"), F.col("high")).alias("here"),
-            _slots("item_tokens", "item_template", F.col("low") - F.col("shift"), F.col("high") - F.col("shift")).alias("there"),
-        )
-    )
-    pairs = F.flatten(
-        F.transform(
-            "there",
-            lambda t: F.transform(
-                F.filter("here", lambda h: (h["at"] == t["at"]) & (h["kind"] == t["kind"])),
-                lambda h: F.struct(F.lower(t["value"]).alias("there"), F.lower(h["value"]).alias("here")),
-            ),
-        )
+    doc_side = _split(leaking, ["key", "print"]).select(F.col("key").alias("k"), F.col("print").alias("p"), "tokens", "template")
+    n, item_low = F.col("last") - F.col("low") + WINDOW, F.col("low") - F.col("shift")
+    here = spans.join(doc_side, F.col("key").eqNullSafe(F.col("k")) & (F.col("print") == F.col("p"))).select(
+        "key", "print", "owner", "shift", "n_windows", "low", "last", _cut("tokens", F.col("low"), n).alias("here"), _cut("template", F.col("low"), n).alias("here_kinds")
     )
-    compared = aligned.withColumn("pairs", F.array_distinct(pairs))
-    values = F.size(F.array_distinct(F.transform("pairs", lambda p: p["there"])))
+    aligned = here.join(texts, F.col("owner") == F.col("class_id"))
+    aligned = aligned.withColumn("there", _cut("tokens", item_low, n)).withColumn("there_kinds", _cut("template", item_low, n))
+    compared = aligned.withColumn("pairs", _slot_pairs())
+    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["there"]))) == F.size("pairs")
     same = F.forall("pairs", lambda p: p["there"] == p["here"])
-    return compared.filter(values == F.size("pairs")).select(
+    return compared.filter(consistent).select(
         F.col("key").alias(key),
         "item_id",
         F.when(same, "exact").otherwise("parameters").alias("kind"),
         "n_windows",
         F.col("low").alias("first_token"),
-        F.col("high").alias("end_token"),
+        (F.col("last") + WINDOW).alias("end_token"),
     )
 
 

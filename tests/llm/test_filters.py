@@ -148,6 +148,16 @@ def test_parameters_and_contradictions(spark):
     assert found[7] == (11, "parameters") and not {3, 4, 6, 8} & set(found)
 
 
+def test_items_of_one_template(spark):
+    """A verbatim copy is found under its own item, also where an earlier item contradicts it."""
+    first = "If 7 boxes weigh as much as 7 bags then how many bags weigh as much as three boxes and one bag?"
+    items = [(k, first.replace("7 boxes", f"{k} boxes")) for k in (7, 8, 9)]
+    docs = [(k, "Read this. " + text) for k, text in items]
+    tables = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    found = {(r["doc_id"], r["item_id"]): r["kind"] for r in find_leaks(*tables).collect()}
+    assert all(found.get((k, k)) == "exact" for k in (7, 8, 9))
+
+
 def test_leaks_of_the_table(spark, docs):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     tokens = lambda t: re.findall(r"[^\W\d_]+|\d+", t.lower())
