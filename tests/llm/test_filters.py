@@ -158,6 +158,14 @@ def test_items_of_one_template(spark):
     assert all(found.get((k, k)) == "exact" for k in (7, 8, 9))
 
 
+def test_verbatim_windows_beside_a_contradiction(spark):
+    text = "If 7 boxes weigh as much as 7 bags then how many bags weigh as much as 7 boxes and one bag?"
+    docs = [(1, text.replace("7 boxes and", "8 boxes and")), (2, text.replace("7 boxes w", "6 boxes w").replace("7 boxes and", "8 boxes and"))]
+    items = spark.createDataFrame([(11, text)], "item_id long, text string")
+    found = {r["doc_id"]: (r["item_id"], r["kind"], r["n_windows"], r["first_token"], r["end_token"]) for r in find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert found == {1: (11, "exact", 10, 0, 17), 2: (11, "exact", 8, 2, 17)}
+
+
 def test_leaks_of_the_table(spark, docs):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     tokens = lambda t: re.findall(r"[^\W\d_]+|\d+", t.lower())
