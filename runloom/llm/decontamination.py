@@ -3,7 +3,8 @@
 A text becomes a list of tokens; numbers, names (capitals inside a sentence) and units
 after a number become typed placeholders, every other token its lower-case form. Windows
 of eight template tokens with at least five plain words are hashed on the side of the
-benchmark, and so are the tokens themselves; the windows of all documents are joined to
+benchmark, and so are the tokens themselves in lower case, with any number of slots, so
+that copies in other case or wrapping and items full of slots are found; the windows of all documents are joined to
 them by hash. Windows whose tokens are the item's leak it ("exact") whatever stands beside
 them. Others are judged by runs of adjacent windows: a run leaks an item too ("parameters")
 if each value of a placeholder in the item stands for one value throughout the run.
@@ -61,9 +62,9 @@ def template_of(tokens: str) -> Column:
 
 
 def _split(texts: DataFrame, keep: list[str]) -> DataFrame:
-    """Add ``tokens``, ``template`` and ``plain``, the tokens without placeholders."""
+    """Add ``tokens``, ``template`` and ``plain``, the lower-case tokens without placeholders."""
     split = texts.select(*keep, tokens_of(F.col("text")).alias("tokens"))
-    return split.select("*", template_of("tokens").alias("template"), F.transform("tokens", F.lower).alias("plain"))
+    return split.select("*", template_of("tokens").alias("template"), F.transform("tokens", lambda t: F.lower(F.translate(t, NAME_MARK, ""))).alias("plain"))
 
 
 def _windows(form: str) -> Column:
@@ -112,12 +113,13 @@ def item_texts(benchmark: DataFrame) -> DataFrame:
 def window_index(texts: DataFrame) -> DataFrame:
     """``(hash, exact, owner, item_place)``: all places of the windows of all items.
 
-    The qualified template windows have classes as owners, the exact ones texts.
+    The qualified template windows have classes as owners; the exact ones, with any number
+    of slots, have texts. Empty arrays leave a row without a hash, which joins nothing.
     """
     classes = texts.dropDuplicates(["class_id"]).select(F.lit(False).alias("exact"), F.col("class_id").alias("owner"), "template", F.inline_outer(_windows("template")))
     plain = F.size(F.filter(F.slice("template", F.col("place") + 1, F.lit(WINDOW)), lambda t: ~_is_slot(t)))
-    copies = texts.dropDuplicates(["text_id"]).select(F.lit(True).alias("exact"), F.col("text_id").alias("owner"), "template", F.inline_outer(_windows("plain")))
-    found = classes.filter(plain >= LEAST_PLAIN).union(copies.filter(plain >= LEAST_PLAIN))
+    copies = texts.dropDuplicates(["text_id"]).select(F.lit(True).alias("exact"), F.col("text_id").alias("owner"), F.inline_outer(_windows("plain")))
+    found = classes.filter(plain >= LEAST_PLAIN).drop("template").union(copies)
     return found.select("hash", "exact", "owner", F.col("place").alias("item_place"))
 
 

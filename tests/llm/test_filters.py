@@ -166,6 +166,21 @@ def test_verbatim_windows_beside_a_contradiction(spark):
     assert found == {1: (11, "exact", 10, 0, 17), 2: (11, "exact", 8, 2, 17)}
 
 
+def test_other_case_and_wrapping(spark):
+    full = "On 3 May 1995 Anna Berg paid 120 dollars to Carl Dahl in Oslo, 310 euros to Eva Falk in Rome and 75 pounds to Gro Holm."
+    docs = [
+        (1, ITEM.upper()),
+        (2, ITEM.lower()),
+        (3, "See: " + ITEM.title()),
+        (4, ITEM.replace(" Oslo", "\nOslo").replace(" Hamar", "\n  Hamar")),
+        (5, "He wrote: " + full),
+        (6, "A train leaves the hall at noon and runs many miles to the south before lunch."),
+    ]
+    items = spark.createDataFrame([(10, ITEM), (12, full)], "item_id long, text string")
+    found = {r["doc_id"]: (r["item_id"], r["kind"]) for r in find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert found == {k: (10, "exact") for k in (1, 2, 3, 4)} | {5: (12, "exact")}
+
+
 def test_leaks_of_the_table(spark, docs):
     items = spark.read.parquet(f"{SMALL}/benchmark.parquet")
     tokens = lambda t: re.findall(r"[^\W\d_]+|\d+", t.lower())
