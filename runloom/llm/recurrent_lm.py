@@ -9,8 +9,8 @@ vocabulary, and the shares are exact counts over all training documents.
 The network is trained in numpy by back-propagation through windows of fixed length; the
 state is carried from window to window of a document, in training without a gradient
 across the border, in scoring exactly. Training starts on a bounded sample; then every
-task trains on its own part of the training documents (a fixed share of them, so the work
-grows with the input) and the weights are averaged, weighted by tokens.
+task trains on its own part of all training documents and the weights are averaged,
+weighted by tokens.
 
 Counts of frequent words are known to every task (a bounded table); those of the rest come
 by a join of each document's distinct rare words with the count table.
@@ -37,9 +37,8 @@ END, CLASSES = FREQUENT, FREQUENT + 1 + SHAPES
 START = CLASSES
 HIDDEN, WINDOW = 24, 16
 TRAIN_LANES, SCORE_LANES = 128, 512
-#: Documents of the sample that training starts on, passes over it, and the share of the
-#: training documents that the tasks train on.
-SAMPLE_DOCS, SAMPLE_PASSES, SHARE = 600, 4, 8
+#: Documents of the sample that training starts on, and passes over it.
+SAMPLE_DOCS, SAMPLE_PASSES = 600, 4
 FIRST_RATE, TASK_RATE = 0.01, 0.002
 #: Words whose counts every task knows; words that a task counts before it hands them on.
 HEAD_WORDS, COUNTED_WORDS = 100_000, 200_000
@@ -299,7 +298,7 @@ def _sample(docs: DataFrame, key: str, text: str) -> list[str]:
 
 
 def train_network(training: DataFrame, vocabulary, key: str, text: str) -> np.ndarray:
-    """Weights after the sample and one averaged pass of all tasks over their share."""
+    """Weights after the sample and one averaged pass of all tasks over all training documents."""
     network = GatedNetwork()
     sample = [vocabulary.value.classes(words_of(t))[0] for t in _sample(training, key, text)]
     for _ in range(SAMPLE_PASSES):
@@ -320,8 +319,7 @@ def train_network(training: DataFrame, vocabulary, key: str, text: str) -> np.nd
             weights = pa.array([own.weights.astype(np.float64)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([weights, pa.array([tokens], pa.int64())], ["weights", "tokens"])
 
-    share = training.filter(F.pmod(F.xxhash64(text), F.lit(SHARE)) == 0).select(text)
-    parts = share.mapInArrow(trained, "weights array<double>, tokens long")
+    parts = training.select(text).mapInArrow(trained, "weights array<double>, tokens long")
     cells = parts.select("tokens", F.posexplode("weights").alias("place", "weight"))
     mean = (F.sum(F.col("weight") * F.col("tokens")) / F.sum("tokens")).alias("weight")
     rows = cells.groupBy("place").agg(mean).toArrow()

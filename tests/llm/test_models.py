@@ -69,6 +69,21 @@ def test_language_model(spark):
     assert model > base
 
 
+def test_all_training_documents_reach_the_weights(spark):
+    from runloom.llm import recurrent_lm as lm
+
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").filter(F.pmod(F.xxhash64("text"), F.lit(8)) != 0)
+    docs = docs.select("doc_id", "text").orderBy("doc_id").limit(40).coalesce(1)
+    vocabulary = spark.sparkContext.broadcast(lm.Vocabulary([("", 40), ("the", 9)]))
+    classes = lambda texts: [vocabulary.value.classes(lm.words_of(t))[0] for t in texts]
+    expected = GatedNetwork()
+    for _ in range(lm.SAMPLE_PASSES):
+        expected.train(classes(lm._sample(docs, "doc_id", "text")), lm.FIRST_RATE)
+    expected = GatedNetwork(expected.weights)
+    expected.train(classes([r["text"] for r in docs.collect()]), lm.TASK_RATE)
+    assert np.allclose(lm.train_network(docs, vocabulary, "doc_id", "text"), expected.weights, atol=1e-5)
+
+
 def test_frequent_words_and_shapes(spark):
     counts = spark.createDataFrame([(f"w{k}", max(1, 1000 // (k + 1))) for k in range(3000)], "word string, c long")
     found = frequent_words(counts, 100)
