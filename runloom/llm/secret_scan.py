@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false findings.
 
-Candidates are long runs of key characters and values behind a credential's name. Each is
+Candidates are long runs of key characters, values behind a credential's name in the same
+or the next word, and passwords in URLs. Each is
 described by its length, the transitions between kinds of characters, the part of it that
 dictionary words cover, its document's path, and the words before it. A random forest
 trained on labelled findings decides which candidates are secrets.
@@ -25,7 +26,11 @@ TREES, DEPTH, SEED, THRESHOLD = 24, 8, 7, 0.5
 CREDENTIAL = r"(?i)(pass(word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|auth|credential|bearer|private)"
 BENIGN = r"(?i)(commit|sha\d*|md5|hash|checksum|digest|uuid|revision|version|build|etag|isbn|serial)"
 RUN = r"[A-Za-z0-9_\-/+.]{15,}[A-Za-z0-9_/+]={0,2}"
-ASSIGNED = r"(?i:pass(?:word|wd)?|pwd|secret|token|api_?key)[\"']?[=:][\"']?([^\s\"',;]{8,})"
+#: A credential's name with a suffix, as in secret_key, and the signs that assign a value.
+NAME = r"(?i:pass(?:word|wd|phrase)?|pwd|secret|token|api_?key|access_?key|auth|credential|bearer|private)[A-Za-z0-9_\-]{0,40}[\"'`]?"
+SIGN = r"(?:=>|:=|==|[=:])"
+ASSIGNED = NAME + SIGN + r"[\"'`]?([^\s\"'`,;]{8,})"
+URL_PASSWORD = r"://[^\s/:@]*:([^\s/@]{8,})@"
 #: Forms of issued keys, and texts that stand for a key.
 ISSUED = (
     r"^((AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[baprs]-[A-Za-z0-9-]{10,}|sk_(live|test)_[A-Za-z0-9]{16,}"
@@ -60,6 +65,13 @@ SEEDS = [
 ]
 
 
+def _is_assigned(word: Column, before: Column, before2: Column) -> Column:
+    """Whether a word follows a credential's name and a sign of assignment."""
+    like = lambda c, p: F.coalesce(F.regexp_like(c, F.lit(p)), F.lit(False))
+    named = like(before, f"{NAME}$")
+    return like(before, f"{NAME}{SIGN}$") | (like(before, f"^{SIGN}$") & like(before2, f"{NAME}$")) | (named & like(word, f"^{SIGN}[^=:]"))
+
+
 def candidates(docs: DataFrame, key: str, text: str, path: str | None) -> DataFrame:
     """``(key, print, place, word, before, before2, path, value)``, one row per candidate.
 
@@ -67,15 +79,19 @@ def candidates(docs: DataFrame, key: str, text: str, path: str | None) -> DataFr
     """
     where = F.coalesce(F.col(path).cast("string"), F.lit("")) if path else F.lit("")
     rows = docs.select(F.col(key).alias("key"), F.xxhash64(F.col(text)).alias("print"), where.alias("path"), F.split(F.coalesce(F.col(text), F.lit("")), BLANKS).alias("words"))
-    ascii_run = F.lit(f"(?:{RUN})|(?:{ASSIGNED})")
+    inside = F.lit(f"(?:{RUN})|(?:{ASSIGNED})|(?:{URL_PASSWORD})")
 
     def found(word: Column, i: Column) -> Column:
         before = [F.when(i >= k, F.get("words", i - k)) for k in (1, 2)]
         hit = F.struct(i.alias("place"), word.alias("word"), *[F.coalesce(b, F.lit("")).alias(n) for b, n in zip(before, ("before", "before2"))])
-        return F.when((F.length(word) >= 12) & F.regexp_like(word, ascii_run), hit)
+        return F.when((F.length(word) >= 8) & (F.regexp_like(word, inside) | _is_assigned(word, *before)), hit)
 
     hits = rows.select("key", "print", "path", F.explode_outer(F.array_compact(F.transform("words", found))).alias("hit"))
-    values = F.array_distinct(F.array_union(F.regexp_extract_all("hit.word", F.lit(f"({RUN})"), F.lit(1)), F.regexp_extract_all("hit.word", F.lit(ASSIGNED), F.lit(1))))
+    # The whole next word is the value, without quotes around it and separators behind it.
+    bare = F.regexp_replace(F.regexp_replace("hit.word", f"^{SIGN}?[\"'`]*", ""), "[\"'`,;]+$", "")
+    follows = _is_assigned(F.col("hit.word"), F.col("hit.before"), F.col("hit.before2")) & (F.length(bare) >= 8)
+    parts = [F.regexp_extract_all("hit.word", F.lit(p), F.lit(1)) for p in (f"({RUN})", ASSIGNED, URL_PASSWORD)]
+    values = F.array_distinct(F.concat(*parts, F.when(follows, F.array(bare)).otherwise(F.array().cast("array<string>"))))
     return hits.select("key", "print", "path", "hit.*", F.explode_outer(values).alias("value")).filter(F.col("value").isNotNull())
 
 
@@ -107,7 +123,7 @@ def features(dictionary: list[str] = DICTIONARY) -> dict[str, Column]:
         "path_config": flag(F.regexp_like("path", F.lit(r"(?i)(config|setting|deploy|prod|secret|\.env|\.ya?ml|\.pem)"))),
         "near_credential": flag(F.regexp_like(near, F.lit(CREDENTIAL))),
         "near_benign": flag(F.regexp_like(near, F.lit(BENIGN))),
-        "assigned": flag(F.regexp_like(near, F.lit("[=:][\"']?$"))),
+        "assigned": flag(F.regexp_like(near, F.lit("[=:]\\s*[\"']?$"))),
         "placeholder": flag(F.regexp_like(v, F.lit(PLACEHOLDER))),
     }
 

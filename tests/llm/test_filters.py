@@ -15,7 +15,7 @@ import corpus_pipeline
 from runloom.llm import queries as q
 from runloom.llm.decontamination import find_leaks
 from runloom.llm.quality_rules import RULES, choose_cutoffs, judge_quality
-from runloom.llm.secret_scan import ISSUED, scan_secrets, train_forest
+from runloom.llm.secret_scan import ISSUED, candidates, redact_secrets, scan_secrets, train_forest
 from runloom.llm.simhash_dedup import fingerprint_links, position_triples, simhash_components
 from tools.check_queries import canonical
 
@@ -205,6 +205,26 @@ def test_secrets(spark):
     assert train_forest(spark.createDataFrame([], schema)).getNumTrees == 24
 
 
+def test_short_and_separate_values_are_candidates(spark):
+    texts = {
+        "password: hunter2hunter": "hunter2hunter",
+        'password = "Tr0ub4dor&3xyz"': "Tr0ub4dor&3xyz",
+        "password: Sup3rS3cret!": "Sup3rS3cret!",
+        "auth=Zx81kLp02Xv9": "Zx81kLp02Xv9",
+        "secret_key=Zx81kLp02Xv9": "Zx81kLp02Xv9",
+        "private_key=Zx81kLp02Xv9": "Zx81kLp02Xv9",
+        "passphrase=Zx81kLp02Xv9": "Zx81kLp02Xv9",
+        "postgres://app:S3cr3tPw9@db": "S3cr3tPw9",
+    }
+    rows = [(k, f"use {t} here", "config/a.env") for k, t in enumerate(texts)] + [(99, "the password was forgotten completely yesterday", "a.md")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    found = {(r["key"], r["value"]) for r in candidates(docs, "doc_id", "text", "source").collect()}
+    assert {(k, v) for k, v in enumerate(texts.values())} <= found and 99 not in {k for k, _ in found}
+    clean = {r["doc_id"]: r["text"] for r in redact_secrets(docs).collect()}
+    kept = [k for k, v in enumerate(texts.values()) if v in clean[k]]
+    assert not kept, kept
+
+
 def test_pipeline_by_brute_force(spark):
     """Each stage on what its predecessor kept, against plain code."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
