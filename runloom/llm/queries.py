@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import public_tokenizers
-
 from .decontamination import find_leaks
+from .importance_resampling import resample
 from .packing import pack_documents
 from .quality_classifier import score_quality
 from .quality_rules import judge_quality
@@ -17,12 +16,19 @@ from .toxicity import score_toxicity
 from .warc import archive_pages
 
 
+def tokenizer_path(name):
+    """Where a vocabulary lies; imported here, since only two operators need the package."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_token_counts(spark, folder):
-    return count_tokens(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return count_tokens(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
 def op2_packing(spark, folder):
-    return pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pack_documents(table(spark, folder, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
 def op3_decontamination(spark, folder):
@@ -57,6 +63,10 @@ def op10_quality_classifier(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op13_importance_resampling(spark, folder):
+    return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 #: The same base counts and tests; a document's windows are compared as text.
 QUALITY_SQL = r"""
 WITH docs AS (
@@ -130,6 +140,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 WARC_SQL = """
 WITH pages_read AS (
@@ -143,4 +154,45 @@ SELECT page_id, payload_bytes, p.payload_digest,
 FROM pages_read p LEFT JOIN firsts f ON f.payload_digest = p.payload_digest
 """
 
-ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL, "op8_warc": WARC_SQL}
+#: Words by a pattern, CRC-32 bit by bit once for each distinct word.
+RESAMPLING_SQL = r"""
+WITH docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents
+), aims AS (
+    SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark
+), vocabulary AS (
+    SELECT DISTINCT word FROM (SELECT unnest(words) AS word FROM docs UNION ALL SELECT unnest(words) FROM aims) AS w
+), spelled AS (
+    SELECT word, list_transform(range(0, strlen(word)), lambda i: ('0x' || substr(hex(encode(word)), (2 * i + 1)::BIGINT, 2))::BIGINT) AS bytes
+    FROM vocabulary
+), hashed AS (
+    SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, bytes), lambda crc, byte:
+        list_reduce(list_prepend(xor(crc, byte), range(0, 8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295) % 10000 AS bucket
+    FROM spelled
+), features AS (
+    SELECT row, doc_id, len(words)::BIGINT AS n_features, unnest(CASE WHEN len(words) > 0 THEN words ELSE [NULL] END) AS word
+    FROM (SELECT row_number() OVER () AS row, * FROM docs) AS d
+), s AS (SELECT bucket, count(*) AS s FROM features JOIN hashed USING (word) GROUP BY bucket
+), t AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(words) AS word FROM aims) AS w JOIN hashed USING (word) GROUP BY bucket
+), gains AS (
+    SELECT b.bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+    FROM range(0, 10000) AS b(bucket) LEFT JOIN s ON s.bucket = b.bucket LEFT JOIN t ON t.bucket = b.bucket
+), weights AS (
+    SELECT row, any_value(doc_id) AS doc_id, any_value(n_features) AS n_features,
+           CASE WHEN any_value(n_features) = 0 THEN 0 ELSE floor(sum(gain)::DOUBLE / any_value(n_features))::BIGINT END AS weight
+    FROM features LEFT JOIN hashed USING (word) LEFT JOIN gains USING (bucket) GROUP BY row
+), scores AS (
+    SELECT doc_id, n_features, weight, weight + floor(-1000 * ln(-ln(((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT)
+        + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM weights
+), ranked AS (
+    SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place FROM scores
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * (SELECT count(*) FROM scores WHERE n_features >= 20) // 100 THEN place END AS rank
+FROM ranked
+"""
+
+ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL, "op8_warc": WARC_SQL, "op13_importance_resampling": RESAMPLING_SQL}
