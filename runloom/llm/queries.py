@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .decontamination import find_leaks
+from .html_extraction import extract_main_text
 from .importance_resampling import resample
 from .packing import pack_documents
 from .quality_classifier import score_quality
@@ -63,6 +64,10 @@ def op10_quality_classifier(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_html_extraction(spark, folder):
+    return extract_main_text(table(spark, folder, "pages"))
+
+
 def op13_importance_resampling(spark, folder):
     return resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -140,6 +145,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_classifier": op10_quality_classifier,
+    "op12_html_extraction": op12_html_extraction,
     "op13_importance_resampling": op13_importance_resampling,
 }
 WARC_SQL = """
