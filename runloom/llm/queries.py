@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .conversation_repair import repair_report
 from .decontamination import find_leaks
 from .html_extraction import extract_main_text
 from .importance_resampling import resample
@@ -64,6 +65,10 @@ def op10_quality_classifier(spark, folder):
     return score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op11_conversation_repair(spark, folder):
+    return repair_report(table(spark, folder, "conversations"))
+
+
 def op12_html_extraction(spark, folder):
     return extract_main_text(table(spark, folder, "pages"))
 
@@ -145,6 +150,7 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_html_extraction": op12_html_extraction,
     "op13_importance_resampling": op13_importance_resampling,
 }
