@@ -5,9 +5,9 @@ one linear scan finds the contiguous region of highest sum. The weights come fro
 pages: those of the table that mark their article themselves (one ``article`` element),
 all of which are counted, and a few fixed pages of other layouts. A token's feature is its
 tag, or the block and link a word stands in, together with the kind of part around it
-(menu, header, footer, side part, advert, notice, form, comments, or none), so the
-same tag may be cheap in prose and dear in a menu. Blocks of such parts inside the region
-are left out.
+(menu, header, footer, side part, advert, notice, form, comments, or none) and whether it
+stands in an ``article`` or ``main`` element, so the same tag may be cheap in prose and dear
+in a menu. Blocks of such parts inside the region are left out.
 
 Only counts of features, a few hundred rows, come to the driver; texts never do.
 """
@@ -133,6 +133,7 @@ class Open(NamedTuple):
     marked: bool
     block: str
     link: bool
+    inside: str
 
 
 class Page:
@@ -141,7 +142,7 @@ class Page:
     def __init__(self, source: str, parts: bool = True) -> None:
         self.blocks: list[Block] = []
         self.parts = parts
-        self.open = [Open("", "", False, "body", False)]
+        self.open = [Open("", "", False, "body", False, "")]
         self.names: Counter = Counter()
         self.tags: list[tuple[str, bool]] = []
         self.current: Block | None = None
@@ -180,7 +181,7 @@ class Page:
             if not raw.strip():
                 return
             block = top.block if top.block in KNOWN else "other"
-            self.current = Block(feature=f"w {block}{'/a' if top.link else ''} {top.part}", part=top.part, marked=top.marked)
+            self.current = Block(feature=f"w {block}{'/a' if top.link else ''} {top.part} {top.inside}", part=top.part, marked=top.marked)
         self.current.pieces.append(markup.unescape(raw))
 
     def _flush(self) -> None:
@@ -191,8 +192,8 @@ class Page:
             self.tags = []
             self.blocks.append(block)
 
-    def _tag(self, name: str, label: str, part: str, marked: bool) -> None:
-        feature = f"t {label if name in KNOWN else 'other'} {part}"
+    def _tag(self, name: str, label: str, part: str, marked: bool, inside: str) -> None:
+        feature = f"t {label if name in KNOWN else 'other'} {part} {inside}"
         if name in INLINE and self.current is not None:
             self.current.inline.append(feature)
             if name == "br":
@@ -243,10 +244,11 @@ class Page:
             named = ""
         top, part = self.open[-1], self._part_of(name, named)
         marked = top.marked or main or name == "article"
-        self._tag(name, name, part, marked)
+        inside = name if name in ("article", "main") else top.inside
+        self._tag(name, name, part, marked, inside)
         if name not in VOID:
             self.names[name] += 1
-            self.open.append(Open(name, part, marked, top.block if name in INLINE else name, top.link or name == "a"))
+            self.open.append(Open(name, part, marked, top.block if name in INLINE else name, top.link or name == "a", inside))
 
     def _end(self, name: str) -> None:
         if name in VOID:
@@ -258,30 +260,55 @@ class Page:
         for index in range(len(self.open) - 1, 0, -1):
             closed = self.open[index]
             if closed.name == name:
-                self._tag(name, f"/{name}", closed.part, closed.marked)
+                self._tag(name, f"/{name}", closed.part, closed.marked, closed.inside)
                 return self._pop_to(index)
             if name in INLINE and closed.name not in INLINE:
                 return
 
 
 def feature_counts(source: str) -> Counter:
-    """``(feature, inside the article)`` counts of a labelled page; each tag and word counts one."""
+    """``(feature, inside the article)`` counts of a labelled page; each tag and word counts one.
+
+    What stands in an ``article`` or ``main`` element counts with and without saying so.
+    """
     page, counts = Page(source), Counter()
+
+    def add(feature: str, inside: bool, n: int = 1) -> None:
+        counts[feature, inside] += n
+        if not feature.endswith(" "):
+            counts[feature[: feature.rindex(" ") + 1], inside] += n
+
     for block in page.blocks:
         inside = block.marked and not block.part
         for feature, marked in block.before:
-            counts[feature, marked] += 1
+            add(feature, marked)
         for feature in block.inline:
-            counts[feature, inside] += 1
-        counts[block.feature, inside] += block.words
+            add(feature, inside)
+        add(block.feature, inside, block.words)
     for feature, marked in page.tags:
-        counts[feature, marked] += 1
+        add(feature, marked)
     return counts
 
 
-def weights_from(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
+class Weights(dict):
+    """Weights of features; those never seen take that of the feature elsewhere, or a default."""
+
+    def __missing__(self, feature: str) -> float:
+        kind, _, part, inside = feature.split(" ")
+        word = kind == "w"
+        if inside:
+            elsewhere = self[feature[: feature.rindex(" ") + 1]]
+            weight = elsewhere if word and part else max(elsewhere, 2.0 if word else -TAG_LEAST)
+        elif part:
+            weight = WORD_LEAST if word else -2.0
+        else:
+            weight = 0.5 if word else -1.0
+        return self.setdefault(feature, weight)
+
+
+def weights_from(counts: dict[tuple[str, bool], int]) -> Weights:
     """Weights of all features: log odds of standing in an article, words above and tags below zero."""
-    weights = {}
+    weights = Weights()
     for feature in {f for f, _ in counts}:
         odds = math.log((counts.get((feature, True), 0) + 1) / (counts.get((feature, False), 0) + 1))
         if feature.startswith("w "):
@@ -291,7 +318,7 @@ def weights_from(counts: dict[tuple[str, bool], int]) -> dict[str, float]:
     return weights
 
 
-def best_region(blocks: list[Block], weights: dict[str, float]) -> tuple[int, int]:
+def best_region(blocks: list[Block], weights: Weights) -> tuple[int, int]:
     """First and past-last block of the contiguous region with the highest sum.
 
     One scan: a region goes on while its sum with the tags up to the next block is
@@ -299,9 +326,8 @@ def best_region(blocks: list[Block], weights: dict[str, float]) -> tuple[int, in
     """
     best, found, total, start = -math.inf, (0, 0), -math.inf, 0
     for index, block in enumerate(blocks):
-        word = weights.get(block.feature, WORD_LEAST if block.part else 0.5)
-        own = block.words * word + sum(weights.get(f, -1.0) for f in block.inline)
-        carried = total + sum(weights.get(f, -1.0) for f, _ in block.before)
+        own = block.words * weights[block.feature] + sum(weights[f] for f in block.inline)
+        carried = total + sum(weights[f] for f, _ in block.before)
         if carried > 0:
             total = carried + own
         else:
@@ -311,7 +337,7 @@ def best_region(blocks: list[Block], weights: dict[str, float]) -> tuple[int, in
     return found
 
 
-def main_text(source: str | None, weights: dict[str, float]) -> str:
+def main_text(source: str | None, weights: Weights) -> str:
     """The blocks of the best region outside other parts, joined by line feeds."""
     for parts in (True, False):
         page = Page(source or "", parts)
@@ -321,7 +347,7 @@ def main_text(source: str | None, weights: dict[str, float]) -> str:
     return "\n".join(b.text for b in page.blocks[first:last] if not b.part)
 
 
-def learned_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
+def learned_weights(pages: DataFrame, html: str = "html") -> Weights:
     """Weights from every page with exactly one ``article`` element and the fixed pages."""
     marks = F.regexp_count(F.col(html), F.lit(r"(?i)<article[\s>]"))
     labelled = pages.filter(marks == 1).select(F.col(html).alias("_html"))
@@ -345,7 +371,7 @@ def learned_weights(pages: DataFrame, html: str = "html") -> dict[str, float]:
 
 
 def extract_main_text(
-    pages: DataFrame, *, key: str = "page_id", url: str = "url", html: str = "html", weights: dict[str, float] | None = None
+    pages: DataFrame, *, key: str = "page_id", url: str = "url", html: str = "html", weights: Weights | None = None
 ) -> DataFrame:
     """One row per page: ``page_id``, ``url``, ``text`` and ``n_chars`` (code points).
 
