@@ -29,7 +29,8 @@ UNITS = (
     "percent degrees usd eur gbp kmh mph"
 ).split()
 NAME_MARK = "\ue000"
-TOKEN = NAME_MARK + r"?\p{L}[\p{L}\p{M}]*|\p{N}+(?:[.,:/]\p{N}+)*|[%$€£]"
+# Possessive repeats: the others recurse once for each part of a number, however many.
+TOKEN = NAME_MARK + r"?\p{L}[\p{L}\p{M}]*|\p{N}++(?:[.,:/]\p{N}++)*+|[%$€£]"
 NUMBER, NAME, UNIT = "\ue001", "\ue002", "\ue003"
 
 

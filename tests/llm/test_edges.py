@@ -22,6 +22,7 @@ PLAIN = (
     "The river runs past the old mill and under three small bridges before it meets the sea. "
     "Each spring the water rises, and people from the village carry stones to the weak places of the bank."
 )
+NUMBERS = " ".join(["version " + "1." * 100_000 + "0", "0." + "123456789" * 10_000, ",".join("10.0.%d.7" % (k % 256) for k in range(20_000)), "7/" * 50_000])
 ROWS = [
     (1, PLAIN, "en", "a", len(PLAIN)),
     (1, PLAIN, "en", "a", len(PLAIN)),
@@ -33,6 +34,7 @@ ROWS = [
     (None, "a text without an id <|endoftext|> é", None, "d", None),
     (None, None, None, None, None),
     (7, "one", "xx", "d", 3),
+    (8, NUMBERS, "en", "d", len(NUMBERS)),
 ]
 CLASHES = ["key", "print", "_row", "_key", "_text", "_source", "value", "word", "row", "windows", "hash", "u", "score", "kept", "features", "label"]
 
@@ -122,7 +124,7 @@ def test_stages_keep_rows_and_columns(docs, benchmark, labels):
     assert ids.count(1) == 1 and 2 not in ids and 3 in ids and 4 not in ids
     clean = drop_leaking(docs, benchmark)
     assert clean.columns == docs.columns
-    assert {r.doc_id for r in clean.collect()} == {3, 4, 5, 6, 7, None} and clean.count() == 7
+    assert {r.doc_id for r in clean.collect()} == {3, 4, 5, 6, 7, 8, None} and clean.count() == 8
     kept = judge_quality(docs, labels, keep_columns=True)
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} >= {1, 2}
     secret = docs.withColumn("text", F.concat_ws(" ", "text", F.lit('token = "97ffa88d7c5f5655e365004e29bd123cdabd722a"')))
