@@ -83,9 +83,9 @@ def package_text(t: Tables) -> DataFrame:
     return t.orders.select(
         _say(
             '<EXPERIMENT_PACKAGE><EXPERIMENT accession="SRX', key, '"><TITLE>', F.col("o_orderpriority"), " &amp; ", F.col("o_orderstatus"),
-            '</TITLE><STUDY_REF accession="SRP', F.col("o_custkey"), '"/><DESIGN><DESIGN_DESCRIPTION>of <i>order</i> ', key,
+            " &lt;", F.col("o_orderstatus"), '&gt; in &lt;b or <b>c</b>&#62;d</TITLE><STUDY_REF accession="SRP', F.col("o_custkey"), '"/><DESIGN><DESIGN_DESCRIPTION>of <i>order</i> ', key,
             "</DESIGN_DESCRIPTION><LIBRARY_DESCRIPTOR><LIBRARY_LAYOUT><SINGLE note='a&lt;", key % 7,
-            '\' /></LIBRARY_LAYOUT></LIBRARY_DESCRIPTOR></DESIGN></EXPERIMENT><SAMPLE accession="SRS', F.col("o_custkey"),
+            ' &#51;00\' /></LIBRARY_LAYOUT></LIBRARY_DESCRIPTOR></DESIGN></EXPERIMENT><SAMPLE accession="SRS', F.col("o_custkey"),
             '"><IDENTIFIERS><EXTERNAL_ID namespace="BioSample">SAMN', F.col("o_custkey"), '</EXTERNAL_ID></IDENTIFIERS></SAMPLE><RUN_SET runs="1"><RUN accession="SRR',
             key, '" total_spots="', key * 3, '"/></RUN_SET></EXPERIMENT_PACKAGE>',
         ).alias("value")
@@ -94,11 +94,11 @@ def package_text(t: Tables) -> DataFrame:
 
 @query(
     "scanned_experiments",
-    """SELECT 'SRX' || o_orderkey AS accession, o_orderpriority || ' & ' || o_orderstatus AS title, 'SRP' || o_custkey AS study_accession,
-    'of order ' || o_orderkey AS description, 'SINGLE' AS layout, 'a<' || (o_orderkey % 7) AS note FROM orders""",
+    """SELECT 'SRX' || o_orderkey AS accession, o_orderpriority || ' & ' || o_orderstatus || ' <' || o_orderstatus || '> in <b or c>d' AS title, 'SRP' || o_custkey AS study_accession,
+    'of order ' || o_orderkey AS description, 'SINGLE' AS layout, 'a<' || (o_orderkey % 7) || ' 300' AS note FROM orders""",
 )
 def scanned_experiments(t: Tables) -> DataFrame:
-    """Experiments of package XML: entities, nested text, attributes in single quotes."""
+    """Experiments of package XML: entities, escaped and real tags in texts, attributes in single quotes."""
     bundle = ax.read_packages(t.spark, _written(t, "packages", package_text(t)))
     library = F.col("library")
     return bundle.experiments.select(
@@ -129,14 +129,14 @@ def biosample_text(t: Tables) -> DataFrame:
     return t.customer.select(
         _say(
             '<BioSample accession="SAMN', key, '" id="', key, '"><Ids><Id db="SRA">SRS', key, '</Id></Ids><Description><Title>', F.col("c_name"),
-            '</Title></Description><Attributes><Attribute attribute_name="segment">', F.col("c_mktsegment"), "</Attribute>", second, "</Attributes></BioSample>",
+            ' &lt;i&gt;&#x21;</Title></Description><Attributes><Attribute attribute_name="segment">', F.col("c_mktsegment"), "</Attribute>", second, "</Attributes></BioSample>",
         ).alias("value")
     )
 
 
 @query(
     "scanned_biosamples",
-    """SELECT 'SAMN' || c_custkey AS accession, 'SRS' || c_custkey AS sra_sample, c_name AS title,
+    """SELECT 'SAMN' || c_custkey AS accession, 'SRS' || c_custkey AS sra_sample, c_name || ' <i>!' AS title,
     c_mktsegment || CASE WHEN c_custkey % 2 = 0 THEN '|again ' || c_custkey ELSE '' END AS segment FROM customer""",
 )
 def scanned_biosamples(t: Tables) -> DataFrame:

@@ -92,10 +92,11 @@ BIOSAMPLE_COLUMNS = (
     + ">>>, Links STRUCT<Link: ARRAY<STRUCT<_VALUE: STRING, _type: STRING, _target: STRING, _label: STRING>>>,"
     " Status STRUCT<_status: STRING, _when: STRING>, _corrupt STRING"
 )
-#: Tags of elements inside a text.
-NESTED = r"</?[A-Za-z][\w:.-]*(?:\s[^<>]*)?/?>"
-#: The entities that XML defines.
-ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&amp;": "&"}
+#: Tags of presentation inside a text; the archive's own elements have capitals. They are
+#: taken out before parsing, where an escaped ``<`` is still told from a tag.
+PRESENTATION = (
+    r"</?(?:[a-z][a-z0-9]*|(?i:i|b|u|p|a|em|strong|su[bp]|br|hr|span|font|tt|small|big|div|[uod]l|li|h[1-6]))(?:\s[^<>]*)?/?>"
+)
 _ID_KINDS = {
     "PRIMARY_ID": "primary",
     "SECONDARY_ID": "secondary_id",
@@ -159,7 +160,7 @@ def read_records(spark: SparkSession, path, tag: str) -> DataFrame:
 def parse_records(records: DataFrame, columns: str) -> DataFrame:
     """Typed struct ``r`` of each record; text that is not well formed sets ``_corrupt``."""
     options = {"columnNameOfCorruptRecord": "_corrupt", "ignoreNamespace": "true", "mode": "PERMISSIVE"}
-    return records.withColumn("r", F.from_xml("xml", columns, options))
+    return records.withColumn("r", F.from_xml(F.regexp_replace("xml", PRESENTATION, ""), columns, options))
 
 
 def malformed_records(parsed: DataFrame, operator: str) -> DataFrame:
@@ -170,8 +171,8 @@ def malformed_records(parsed: DataFrame, operator: str) -> DataFrame:
 
 
 def _clean(value: Column) -> Column:
-    """Squeezed text; of an element with nested elements, the text in all of them."""
-    return blank_to_null(squeeze(F.regexp_replace(value, NESTED, "")))
+    """Squeezed text, or null for none."""
+    return blank_to_null(squeeze(value))
 
 
 def _id_record(kind: Column, e: Column) -> Column:
@@ -185,13 +186,11 @@ def _id_record(kind: Column, e: Column) -> Column:
 
 
 def _identifiers(container: Column) -> Column:
-    groups = [
-        F.coalesce(
-            F.transform(container[tag], lambda e, k=kind: _id_record(F.lit(k), e)),
-            F.array().cast(NO_IDENTIFIERS),
-        )
-        for tag, kind in _ID_KINDS.items()
-    ]
+    def group(tag: str, kind: str) -> Column:
+        # A lambda with a second parameter would get the position of the element in it.
+        return F.coalesce(F.transform(container[tag], lambda e: _id_record(F.lit(kind), e)), F.array().cast(NO_IDENTIFIERS))
+
+    groups = [group(tag, kind) for tag, kind in _ID_KINDS.items()]
     return F.filter(F.concat(*groups), lambda i: i["value"].isNotNull())
 
 
@@ -280,18 +279,16 @@ def _with_attributes(df: DataFrame) -> DataFrame:
 
 
 def layout_properties(xml: Column) -> Column:
-    """Attributes of the layout element; the XML reader drops those of empty map values."""
-    text = F.regexp_extract(xml, r"""(?s)<LIBRARY_LAYOUT>\s*<\w+\s((?:[^<>"']|"[^"]*"|'[^']*')*?)/?>""", 1)
-    attribute = r"""([\w:.-]+)\s*=\s*("[^"]*"|'[^']*')"""
-    quoted = F.regexp_extract_all(text, F.lit(attribute), F.lit(2))
-
-    def decoded(value: Column) -> Column:
-        value = F.substring(value, F.lit(2), F.length(value) - 2)
-        for entity, character in ENTITIES.items():
-            value = F.replace(value, F.lit(entity), F.lit(character))
-        return value
-
-    return F.map_from_arrays(F.regexp_extract_all(text, F.lit(attribute), F.lit(1)), F.transform(quoted, decoded))
+    """Attributes of the layout element; the XML reader drops those of empty map values.
+
+    Each attribute becomes an element of its own, so the reader decodes its references.
+    """
+    text = F.regexp_extract(xml, r"""(?s)<LIBRARY_LAYOUT>\s*<\w+\s((?:[^<>"']++|"[^"]*"|'[^']*')*+)>""", 1)
+    pairs = F.regexp_extract_all(text, F.lit(r"""([\w:.-]+\s*=\s*(?:"[^"]*"|'[^']*'))"""), F.lit(1))
+    elements = F.transform(pairs, lambda p: F.regexp_replace(p, r"""(?s)^([\w:.-]+)\s*=\s*["'](.*)["']$""", "<e><k>$1</k><v>$2</v></e>"))
+    read = F.from_xml(F.concat(F.lit("<r>"), F.array_join(elements, ""), F.lit("</r>")), "e ARRAY<STRUCT<k: STRING, v: STRING>>")["e"]
+    entries = F.transform(F.coalesce(read, F.array().cast("array<struct<k:string,v:string>>")), lambda e: F.struct(e["k"], F.coalesce(e["v"], F.lit(""))))
+    return F.map_from_entries(entries)
 
 
 def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
