@@ -4,19 +4,17 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
+from itertools import groupby
 from typing import Any
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
-from pyspark.sql.window import Window
 
 from ..functions.text import bounded_error
-from ..ordering import global_ordinal, group_sizes, keep_last
-from ..session import cut_lineage
+from ..ordering import keep_last
 
 # The statuses of a unit, those of a unit being worked on, the phases
 # that decide a status, and the age after which a claim counts as abandoned.
@@ -61,10 +59,10 @@ FOLD_COLUMNS = (
     f" is_last BOOLEAN, {STATE_COLUMNS}"
 )
 
-EXIT_COLUMNS = (
-    "unit_id STRING, chunk BIGINT, entry STRING, exit STRING, attempts INT, carried BOOLEAN"
-)
-CHUNK_EVENTS = 1_000_000
+FOLD_NAMES = tuple(part.split()[0] for part in FOLD_COLUMNS.split(","))
+#: Unordered events of one unit that are held in memory, and the sequence numbers that
+#: share an entry of the state store when there are more.
+HELD_EVENTS, BUCKET_NUMBERS = 10_000, 1_024
 
 State = dict[str, Any]
 
@@ -89,7 +87,6 @@ def _claim(state: State, event: State, stale_seconds: float) -> State:
         "status": "downloading",
         "phase": "resolving-genome",
         "attempts": state["attempts"] + 1 if same else 1,
-        "carried": same and state.get("carried", False),
         "fingerprint": event["fingerprint"],
         "execution_id": event["execution_id"],
         "claim_id": event["claim_id"],
@@ -200,7 +197,7 @@ def advance(state: State, event: State, stale_seconds: float = STALE_SECONDS) ->
 
 
 def state_to_text(state: State) -> str:
-    """State as JSON text, for the state store and for hand-over between pieces."""
+    """State as JSON text, for the state store."""
     return json.dumps(
         {k: {"at": v.isoformat()} if isinstance(v, datetime) else v for k, v in state.items()},
         sort_keys=True,
@@ -215,127 +212,120 @@ def state_from_text(text: str) -> State:
     }
 
 
-def _fold_pieces(pieces: DataFrame, stale_seconds: float, *, exits_only: bool) -> DataFrame:
-    """Fold rows that arrive sorted by unit, chunk and sequence.
-
-    Every piece starts from the state in its ``entry`` column. The result is one verdict
-    row per event or, with ``exits_only``, the final state of each piece.
-    """
-    columns = EXIT_COLUMNS if exits_only else FOLD_COLUMNS
-    schema = to_arrow_schema(StructType.fromDDL(columns))
-
-    def leave(held: State, event: State, state: State) -> State:
-        if not exits_only:
-            return held | {"is_last": event["is_final"]}
-        left = {k: v for k, v in state.items() if k not in ("attempts", "carried")}
-        return {
-            "unit_id": event["unit_id"],
-            "chunk": event["chunk"],
-            "entry": event["entry"],
-            "exit": state_to_text(left),
-            "attempts": state.get("attempts", 0),
-            "carried": bool(state.get("carried")),
-        }
-
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = previous = None
-        state: State = {}
-        for batch in batches:
-            out = []
-            for event in batch.to_pylist():
-                same = previous is not None and all(event[k] == previous[k] for k in ("unit_id", "chunk"))
-                if previous is not None and not same:
-                    out.append(leave(held, previous, state))
-                elif same and not exits_only:
-                    out.append(held)
-                if not same:
-                    state = state_from_text(event["entry"])
-                    if state:
-                        state |= {"attempts": event["base"], "carried": True}
-                state, held = advance(state, event, stale_seconds)
-                previous = event
-            yield pa.RecordBatch.from_pylist(out, schema=schema)
-        if previous is not None:
-            yield pa.RecordBatch.from_pylist([leave(held, previous, state)], schema=schema)
-
-    return pieces.mapInArrow(fold, columns)
-
-
-def fold_events(
-    events: DataFrame, stale_seconds: float = STALE_SECONDS, *, chunk_events: int = CHUNK_EVENTS
-) -> DataFrame:
-    """Verdict and resulting state for every event, in sequence order per unit.
+class UnitStateProcessor(StatefulProcessor):
+    """Folds the events of one unit; one verdict row per event.
 
-    A unit with up to ``chunk_events`` events is folded by one task, which streams over
-    sorted rows and holds one state. Larger units are cut into chunks that are folded in
-    parallel, see ``_fold_hot_units``. The row with ``is_last`` carries the final state.
+    The state of a unit is one entry of the state store, and one state is held in memory
+    while its events pass by in order of their sequence numbers. Input that arrives
+    ``in_order`` is folded as it comes. Other input is put in order first: up to
+    ``held_events`` in memory, more by way of the state store, where every
+    ``BUCKET_NUMBERS`` sequence numbers share an entry, so that one entry at a time is
+    read back and sorted. With a stale age, a timer per accepted claim reports units that
+    are still active when it fires. A unit may start from a state of a snapshot.
     """
-    complete = with_event_defaults(events)
-    hot = group_sizes(complete, ["unit_id"]).filter(F.col("_n") > chunk_events).select("unit_id")
-    whole = {
-        "chunk": F.lit(0).cast("bigint"),
-        "entry": F.lit("{}"),
-        "base": F.lit(0),
-        "is_final": F.lit(True),
-    }
-    if hot.limit(1).count() == 0:
-        ordered = complete.repartition("unit_id").sortWithinPartitions("unit_id", "seq")
-        return _fold_pieces(ordered.withColumns(whole), stale_seconds, exits_only=False)
-    cold = complete.join(hot, "unit_id", "left_anti")
-    ordered = cold.repartition("unit_id").sortWithinPartitions("unit_id", "seq")
-    large = complete.join(hot, "unit_id", "left_semi")
-    return _fold_pieces(ordered.withColumns(whole), stale_seconds, exits_only=False).unionByName(
-        _fold_hot_units(large, stale_seconds, chunk_events)
-    )
-
 
-def _fold_hot_units(events: DataFrame, stale_seconds: float, chunk_events: int) -> DataFrame:
-    """Fold units of any size in pieces of at most ``chunk_events`` consecutive events.
+    def __init__(
+        self, stale_seconds: float = STALE_SECONDS, *, in_order: bool = False, report_stale: bool = False, held_events: int = HELD_EVENTS
+    ) -> None:
+        self.stale_seconds = stale_seconds
+        self.in_order = in_order
+        self.report_stale = report_stale
+        self.held_events = held_events
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.state = handle.getValueState("state", "json STRING")
+        self.held = handle.getMapState("held", "bucket BIGINT", "events STRING")
+
+    def _load(self) -> State:
+        return state_from_text(self.state.get()[0]) if self.state.exists() else {}
+
+    def _put_aside(self, events: list[State]) -> set[int]:
+        events.sort(key=lambda e: e["seq"])
+        buckets = set()
+        for bucket, group in groupby(events, key=lambda e: e["seq"] // BUCKET_NUMBERS):
+            lines = "\n".join(map(state_to_text, group))
+            earlier = self.held.getValue((bucket,))[0] + "\n" if self.held.containsKey((bucket,)) else ""
+            self.held.updateValue((bucket,), (earlier + lines,))
+            buckets.add(bucket)
+        return buckets
+
+    def _ordered(self, events: Iterator[State]) -> Iterator[State]:
+        if self.in_order:
+            yield from events
+            return
+        waiting: list[State] = []
+        buckets: set[int] = set()
+        for event in events:
+            waiting.append(event)
+            if len(waiting) >= self.held_events:
+                buckets |= self._put_aside(waiting)
+                waiting = []
+        if buckets:
+            buckets |= self._put_aside(waiting)
+            for bucket in sorted(buckets):
+                lines = self.held.getValue((bucket,))[0].split("\n")
+                self.held.removeKey((bucket,))
+                yield from sorted(map(state_from_text, lines), key=lambda e: e["seq"])
+        else:
+            yield from sorted(waiting, key=lambda e: e["seq"])
+
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        before = {k: v.replace(tzinfo=timezone.utc) if isinstance(v, datetime) else v for k, v in initialState.asDict().items()}
+        self.state.update((state_to_text({k: before[k] for k in STATE_NAMES}),))
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        state, last = self._load(), None
+        events = (row.asDict() | {"ts": row["ts"] and row["ts"].replace(tzinfo=timezone.utc)} for row in rows)
+        for event in self._ordered(events):
+            if last is not None:
+                yield last
+            state, verdict = advance(state, event, self.stale_seconds)
+            if self.report_stale and verdict["accepted"] and event["kind"] == "claim":
+                now = timerValues.getCurrentProcessingTimeInMs()
+                self.handle.registerTimer(now + int(self.stale_seconds * 1000))
+            last = Row(**{name: verdict.get(name) for name in FOLD_NAMES})
+        if last is not None:
+            yield Row(**(last.asDict() | {"is_last": True}))
+        if state:
+            self.state.update((state_to_text(state),))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        state = self._load()
+        if state.get("status") not in ACTIVE:
+            return
+        age = timedelta(seconds=self.stale_seconds)
+        due = datetime.fromtimestamp(expiredTimerInfo.getExpiryTimeInMs() / 1000, timezone.utc)
+        verdict = {"unit_id": key[0], "ts": due, "kind": "stale", "accepted": True, "is_last": False, "reason": f"claim is older than {age}"} | state
+        yield Row(**{name: verdict.get(name) for name in FOLD_NAMES})
+
+    def close(self) -> None:
+        pass
+
+
+def fold_events(events: DataFrame, stale_seconds: float = STALE_SECONDS, *, snapshot: DataFrame | None = None) -> DataFrame:
+    """Verdict and resulting state for every event, in sequence order per unit.
 
-    All pieces are folded at once, first from an empty state. Then every piece whose
-    predecessor left another state than it assumed is folded again, until nothing
-    changes; the result is then the sequential one. An accepted claim replaces the
-    state, so what a piece leaves rarely depends on its entry and few rounds are needed.
-    The attempts counter does depend on the past; pieces count relative to their entry
-    and the sums are formed over one row per piece.
+    The rows of a unit reach its task sorted by sequence number and pass through one state
+    in memory, however many they are: who owns a unit depends on every claim before, so
+    they cannot be judged apart. With a ``snapshot`` (``unit_id`` and the state's columns)
+    units start from there. The row with ``is_last`` carries the final state.
     """
-    numbered = global_ordinal(events, ["unit_id", "seq"])
-    pieces = cut_lineage(
-        numbered.withColumn("chunk", F.floor(F.col("ordinal") / F.lit(chunk_events))).drop("ordinal")
-    )
-    key = ["unit_id", "chunk"]
-    by_piece = Window.partitionBy("unit_id").orderBy("chunk")
-
-    def run(entries: DataFrame, *, exits_only: bool) -> DataFrame:
-        rows = pieces.join(entries, key)
-        ordered = rows.repartition(*key).sortWithinPartitions(*key, "seq")
-        return _fold_pieces(ordered, stale_seconds, exits_only=exits_only)
-
-    entries = pieces.select(*key).distinct().withColumns(
-        {"entry": F.lit("{}"), "base": F.lit(0), "is_final": F.lit(False)}
-    )
-    exits = cut_lineage(run(entries, exits_only=True))
-    while True:
-        expected = exits.withColumn("_expected", F.coalesce(F.lag("exit").over(by_piece), F.lit("{}")))
-        wrong = cut_lineage(expected.filter(F.col("_expected") != F.col("entry")))
-        if wrong.limit(1).count() == 0:
-            break
-        again = wrong.select(
-            *key, F.col("_expected").alias("entry"), F.lit(0).alias("base"), F.lit(False).alias("is_final")
-        )
-        exits = cut_lineage(
-            exits.join(wrong.select(*key), key, "left_anti").unionByName(run(again, exits_only=True))
-        )
-    islands = exits.withColumn("_island", F.sum((~F.col("carried")).cast("int")).over(by_piece))
-    within = Window.partitionBy("unit_id", "_island").orderBy("chunk")
-    totals = islands.withColumn("_total", F.sum("attempts").over(within))
-    settled = totals.select(
-        *key,
-        "entry",
-        F.coalesce(F.lag("_total").over(by_piece), F.lit(0)).cast("int").alias("base"),
-        F.lead("chunk").over(by_piece).isNull().alias("is_final"),
+    rows = with_event_defaults(events)
+    # The manager of streaming queries sets up what a state store needs, in batches as well.
+    assert events.sparkSession.streams is not None
+    tasks = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The operator asks for this very partitioning and an order that begins with the unit,
+    # so Spark adds neither a shuffle nor a sort that would undo the order of the numbers.
+    ordered = rows.repartition(tasks, "unit_id").sortWithinPartitions("unit_id", "seq")
+    start = None if snapshot is None else snapshot.select("unit_id", *STATE_NAMES).groupBy("unit_id")
+    return ordered.groupBy("unit_id").transformWithState(
+        statefulProcessor=UnitStateProcessor(stale_seconds, in_order=True),
+        outputStructType=StructType.fromDDL(FOLD_COLUMNS),
+        outputMode="append",
+        timeMode="None",
+        initialState=start,
     )
-    return run(settled, exits_only=False)
 
 
 def with_event_defaults(events: DataFrame) -> DataFrame:

@@ -409,14 +409,49 @@ def fold_input(t: Tables) -> DataFrame:
     )
 
 
-@query("state_fold")
+#: The fold as a recursion: step i takes the i-th event of every unit.
+SQL_FOLD = """
+E AS (SELECT CAST(user_id AS VARCHAR) AS unit_id, event_id AS seq, ts, k,
+    CASE event_type WHEN 'signup' THEN 'requeue' WHEN 'view' THEN 'claim' WHEN 'click' THEN 'phase' WHEN 'purchase' THEN 'succeed' WHEN 'error' THEN 'fail' END AS kind,
+    CAST(k % 2 AS VARCHAR) AS claim, CAST(k % 3 AS VARCHAR) AS print, CASE WHEN k % 2 = 0 THEN 'processing' ELSE 'downloading-input' END AS payload,
+    row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, count(*) OVER (PARTITION BY user_id) AS n
+  FROM (SELECT *, CAST(regexp_extract(props, '[0-9]+') AS BIGINT) AS k FROM events)),
+F AS (
+  SELECT DISTINCT unit_id, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS seq, CAST(NULL AS VARCHAR) AS kind, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS VARCHAR) AS status,
+    CAST(NULL AS VARCHAR) AS phase, CAST(NULL AS INTEGER) AS attempts, CAST(NULL AS VARCHAR) AS fingerprint, CAST(NULL AS VARCHAR) AS claim_id, CAST(NULL AS TIMESTAMP) AS started, false AS is_last FROM E
+  UNION ALL
+  SELECT unit_id, i, seq, kind, reason,
+    CASE WHEN reason IS NOT NULL THEN status WHEN kind = 'claim' THEN 'downloading' WHEN kind = 'requeue' THEN 'pending' WHEN kind = 'succeed' THEN 'succeeded' WHEN kind = 'fail' THEN 'failed'
+      WHEN payload = 'processing' THEN 'running' ELSE 'downloading' END,
+    CASE WHEN reason IS NOT NULL THEN phase WHEN kind = 'claim' THEN 'resolving-genome' WHEN kind = 'requeue' THEN 'interrupted' WHEN kind = 'succeed' THEN 'completed' WHEN kind = 'fail' THEN 'failed'
+      ELSE payload END,
+    CASE WHEN reason IS NOT NULL OR kind <> 'claim' THEN attempts WHEN same THEN attempts + 1 ELSE 1 END,
+    CASE WHEN reason IS NULL AND kind = 'claim' THEN print ELSE fingerprint END,
+    CASE WHEN reason IS NOT NULL THEN claim_id WHEN kind = 'claim' THEN claim WHEN kind = 'requeue' THEN NULL ELSE claim_id END,
+    CASE WHEN reason IS NULL AND kind = 'claim' THEN ts ELSE started END,
+    i = n
+  FROM (SELECT *, CASE
+      WHEN kind = 'claim' AND same AND k % 11 <> 0 AND status = 'succeeded' THEN 'reusable success'
+      WHEN kind = 'claim' AND same AND k % 11 <> 0 AND status = 'failed' AND k % 4 <> 0 THEN 'failed before, retry not requested'
+      WHEN kind = 'claim' AND busy AND k % 7 <> 0 AND epoch(ts) - epoch(started) <= 7200 THEN 'already running'
+      WHEN kind = 'requeue' AND status IS NULL THEN 'no state to requeue'
+      WHEN kind = 'requeue' AND NOT busy THEN 'not active'
+      WHEN kind IN ('phase', 'succeed', 'fail') AND (status IS NULL OR claim_id IS DISTINCT FROM claim) THEN 'claim was replaced'
+      WHEN kind = 'phase' AND NOT busy THEN 'not allowed while ' || status END AS reason
+    FROM (SELECT E.*, F.status, F.phase, F.attempts, F.fingerprint, F.claim_id, F.started,
+        F.status IS NOT NULL AND F.fingerprint = E.print AS same, coalesce(F.status IN ('downloading', 'ready', 'submitted', 'running'), false) AS busy
+      FROM F JOIN E ON E.unit_id = F.unit_id AND E.i = F.i + 1))
+)"""
+
+
+@query("state_fold", f"WITH RECURSIVE {SQL_FOLD} SELECT unit_id, seq, kind, reason IS NULL AS accepted, reason, status, phase, attempts, claim_id, is_last FROM F WHERE i > 0")
 def state_fold(t: Tables) -> DataFrame:
     """Verdict and state after every event."""
     folded = st.fold_events(fold_input(t), stale_seconds=7_200)
     return folded.select("unit_id", "seq", "kind", "accepted", "reason", "status", "phase", "attempts", "claim_id", "is_last")
 
 
-@query("folded_states")
+@query("folded_states", f"WITH RECURSIVE {SQL_FOLD} SELECT unit_id, status, phase, attempts, fingerprint, claim_id FROM F WHERE is_last AND status IS NOT NULL")
 def folded_states(t: Tables) -> DataFrame:
     """Final state of every unit after the fold."""
     return st.final_states(st.fold_events(fold_input(t), stale_seconds=7_200)).select(

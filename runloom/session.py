@@ -14,6 +14,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # transformWithState keeps its state in this store only.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -35,10 +37,6 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         # The test tables are small: keep all cores busy after a shuffle.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
     )
     spark = configure(builder.getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")

@@ -1,93 +1,36 @@
-"""Unit state fold as a stream: the same transitions, kept in Spark's state store."""
+"""Unit state fold as a stream: the processor of the batch fold on Spark's state store."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from datetime import datetime, timedelta, timezone
-
-from pyspark.sql import DataFrame, Row
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
-from ..operators.state import (
-    ACTIVE,
-    FOLD_COLUMNS,
-    STALE_SECONDS,
-    advance,
-    state_from_text,
-    state_to_text,
-    with_event_defaults,
-)
-
-_FOLD = [part.split()[0] for part in FOLD_COLUMNS.split(",")]
-
-
-class UnitStateProcessor(StatefulProcessor):
-    """Folds the events of one unit; one verdict row per event.
-
-    The events of a micro-batch are ordered by sequence number. With a stale age, a
-    timer per accepted claim reports units that are still active when it fires.
-    """
-
-    def __init__(self, stale_seconds: float = STALE_SECONDS, report_stale: bool = False) -> None:
-        self.stale_seconds = stale_seconds
-        self.report_stale = report_stale
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("state", "json STRING")
-
-    def _load(self) -> dict:
-        return state_from_text(self.state.get()[0]) if self.state.exists() else {}
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        state = self._load()
-        events = sorted((row.asDict() for row in rows), key=lambda e: e["seq"])
-        for position, event in enumerate(events):
-            event["ts"] = event["ts"].replace(tzinfo=timezone.utc)
-            state, verdict = advance(state, event, self.stale_seconds)
-            verdict["is_last"] = position == len(events) - 1
-            if self.report_stale and verdict["accepted"] and event["kind"] == "claim":
-                now = timerValues.getCurrentProcessingTimeInMs()
-                self.handle.registerTimer(now + int(self.stale_seconds * 1000))
-            yield Row(**{name: verdict.get(name) for name in _FOLD})
-        if state:
-            self.state.update((state_to_text(state),))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        state = self._load()
-        if state.get("status") not in ACTIVE:
-            return
-        age = timedelta(seconds=self.stale_seconds)
-        due = datetime.fromtimestamp(expiredTimerInfo.getExpiryTimeInMs() / 1000, timezone.utc)
-        verdict = {
-            "unit_id": key[0],
-            "ts": due,
-            "kind": "stale",
-            "accepted": True,
-            "is_last": False,
-            "reason": f"claim is older than {age}",
-        } | state
-        yield Row(**{name: verdict.get(name) for name in _FOLD})
-
-    def close(self) -> None:
-        pass
+from ..operators.state import FOLD_COLUMNS, HELD_EVENTS, STALE_SECONDS, STATE_NAMES, UnitStateProcessor, with_event_defaults
 
 
 def fold_event_stream(
-    events: DataFrame, stale_seconds: float = STALE_SECONDS, *, report_stale: bool = False
+    events: DataFrame,
+    stale_seconds: float = STALE_SECONDS,
+    *,
+    snapshot: DataFrame | None = None,
+    report_stale: bool = False,
+    held_events: int = HELD_EVENTS,
 ) -> DataFrame:
     """Streaming counterpart of ``operators.state.fold_events``.
 
-    The state of each unit is one row in the RocksDB state store; no history is held.
+    The state of each unit is one row in the RocksDB state store; no history is held. The
+    events of a micro-batch are put in order by the processor; the source must deliver
+    micro-batches in order. Units of a ``snapshot`` start from its states.
     """
+    start = None if snapshot is None else snapshot.select("unit_id", *STATE_NAMES).groupBy("unit_id")
     return (
         with_event_defaults(events)
         .groupBy("unit_id")
         .transformWithState(
-            statefulProcessor=UnitStateProcessor(stale_seconds, report_stale),
+            statefulProcessor=UnitStateProcessor(stale_seconds, report_stale=report_stale, held_events=held_events),
             outputStructType=StructType.fromDDL(FOLD_COLUMNS),
             outputMode="append",
             timeMode="ProcessingTime" if report_stale else "None",
+            initialState=start,
         )
     )

@@ -153,15 +153,14 @@ def test_state_fold(spark):
     assert st.archived_states(folded).count() == 2 and st.rejected_events(folded).count() == 6
 
 
-@pytest.mark.parametrize("chunk", [10**6, 70, 13])
-def test_state_fold_over_many_units_equals_plain_loop(spark, chunk):
+def test_state_fold_over_many_units_equals_plain_loop(spark):
     from runloom.plans.registry import Tables
     from runloom.plans.work_queries import fold_input
 
     # A third of all events belong to one unit.
     unit = F.when(F.col("seq") % 3 == 0, F.lit("hot")).otherwise(F.col("unit_id"))
     events = st.with_event_defaults(fold_input(Tables(spark, "/root/testdata/sf0.001"))).withColumn("unit_id", unit)
-    found = {(r["unit_id"], r["seq"]): r for r in st.fold_events(events, 7_200, chunk_events=chunk).collect()}
+    found = {(r["unit_id"], r["seq"]): r for r in st.fold_events(events, 7_200).collect()}
     assert len(found) == events.count()
     states, last = {}, {}
     for row in sorted(events.collect(), key=lambda r: r["seq"]):
@@ -190,6 +189,36 @@ def test_state_stream_equals_batch(spark, tmp_path):
     assert spark.read.parquet(out).select(*columns).orderBy("seq").collect() == batch
 
 
+def test_stream_puts_unordered_events_in_order(spark, tmp_path):
+    """More events than are held, in one micro-batch, last first and with gaps over several buckets."""
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    story = [e | {"seq": e["seq"] * 400} for e in STORY]
+    events = spark.createDataFrame(story, st.EVENT_COLUMNS)
+    events.orderBy(F.desc("seq")).coalesce(1).write.parquet(source)
+    stream = fold_event_stream(spark.readStream.schema(st.EVENT_COLUMNS).parquet(source), held_events=3)
+    query = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    columns = ["seq", "accepted", "reason", "status", "phase", "attempts", "claim_id", "is_last"]
+    batch = st.fold_events(events).select(*columns).orderBy("seq").collect()
+    assert spark.read.parquet(out).select(*columns).orderBy("seq").collect() == batch and len(batch) == len(STORY)
+
+
+@pytest.mark.parametrize("cut", [1, 6, 9, 13])
+def test_fold_from_a_snapshot_equals_the_whole(spark, tmp_path, cut):
+    events = spark.createDataFrame(STORY, st.EVENT_COLUMNS)
+    before, after = events.filter(F.col("seq") <= cut), events.filter(F.col("seq") > cut)
+    snapshot = st.final_states(st.fold_events(before))
+    columns = ["seq", "accepted", "reason", "status", "phase", "attempts", "claim_id", "started_at", "genome", "result", "error", "archived_status"]
+    whole = st.fold_events(events).filter(F.col("seq") > cut).select(*columns).orderBy("seq").collect()
+    assert st.fold_events(after, snapshot=snapshot).select(*columns).orderBy("seq").collect() == whole
+    if cut == 9:
+        after.coalesce(1).write.parquet(str(tmp_path / "in"))
+        stream = fold_event_stream(spark.readStream.schema(st.EVENT_COLUMNS).parquet(str(tmp_path / "in")), snapshot=snapshot)
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert spark.read.parquet(str(tmp_path / "out")).select(*columns).orderBy("seq").collect() == whole
+
+
 def test_summary_with_unknown_unit(spark):
     states = spark.createDataFrame([("a", "submitted")], "unit_id STRING, status STRING")
     asked = spark.createDataFrame([("a",), ("b",)], "unit_id STRING")
