@@ -3,12 +3,17 @@
 It ties the operators together: a catalog becomes an execution of fingerprinted items,
 only work that is new, changed or broken is processed, and every step is appended to
 the event table from which states, manifest and reports are derived.
+
+Events and manifests are numbered by commit logs, so builds at the same time never share a
+number. States are folded from the newest snapshot and the events after it; units without
+new events are taken from the snapshot as they are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +28,7 @@ from .operators.requests import unusable_names
 from .operators.units import accession_sets, unit_fingerprints
 from .ordering import ORD
 from .session import cut_lineage
+from .sources.commit_log import CommitLog
 from .sources.files import stat_paths, with_sha256
 from .violations import require_none
 
@@ -39,6 +45,8 @@ MANIFEST = (
     "unit_id STRING, fingerprint STRING, execution_id STRING, processor_identity STRING, status STRING,"
     f" phase STRING, attempts INT, artifacts MAP<STRING, STRUCT<path: STRING, size: BIGINT, modified: TIMESTAMP, sha256: STRING>>, error STRING, schema_version INT, {ORD} STRING"
 )
+#: New events from which on a snapshot of the states is written, if it has fewer units.
+SNAPSHOT_EVENTS = 1_000
 RESULT = "outputs MAP<STRING, STRING>, metrics STRING, fasta STRING"
 
 
@@ -49,6 +57,8 @@ class Workspace:
         self.spark = spark
         self.directory = directory.rstrip("/")
         self.group_by = group_by
+        self.event_log = CommitLog(spark, f"{self.directory}/events")
+        self.manifest_log = CommitLog(spark, f"{self.directory}/manifest")
 
     def _path(self, table: str) -> str:
         return f"{self.directory}/{table}"
@@ -70,9 +80,64 @@ class Workspace:
         """Load a run table from CSV and merge its duplicates."""
         return RunCatalog.from_csv(self.spark, path).deduplicate_runs()
 
+    def append_events(self, events: DataFrame) -> int:
+        """Append events; their sequence number is that of the commit, which is returned.
+
+        A unit has at most one event in a commit.
+        """
+        path = self.event_log.fresh_path()
+        st.with_event_defaults(events.withColumn("seq", F.lit(None).cast("bigint"))).write.parquet(path)
+        rows = self.spark.read.schema(st.EVENT_COLUMNS).parquet(path).count()
+        return self.event_log.append({"path": path, "rows": rows})
+
+    def _events_of(self, entries: dict[int, dict]) -> DataFrame:
+        parts = [
+            self.spark.read.schema(st.EVENT_COLUMNS).parquet(e["path"]).withColumn("seq", F.lit(n).cast("bigint"))
+            for n, e in entries.items()
+            if e["rows"]
+        ]
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], st.EVENT_COLUMNS)
+
+    def events(self) -> DataFrame:
+        """All events, in order of ``seq``."""
+        return self._events_of({n: self.event_log.entry(n) for n in range(self.event_log.size())})
+
+    def _snapshot(self) -> tuple[int, dict | None]:
+        """Commits that the newest snapshot covers, and what it says."""
+        names = self.event_log.files.names("snapshots")
+        return (int(names[-1][:12]), self.event_log.files.read(f"snapshots/{names[-1]}")) if names else (0, None)
+
+    def _states(self) -> tuple[DataFrame, int, dict[int, dict], dict | None]:
+        covered, snapshot = self._snapshot()
+        end = self.event_log.size()
+        fresh = {n: self.event_log.entry(n) for n in range(covered, end)}
+        schema = f"unit_id STRING, {st.STATE_COLUMNS}"
+        before = self.spark.createDataFrame([], schema) if snapshot is None else self.spark.read.schema(schema).parquet(snapshot["path"])
+        if not any(e["rows"] for e in fresh.values()):
+            return before, end, fresh, snapshot
+        events = self._events_of(fresh)
+        moved = events.select("unit_id").distinct()
+        start = None if snapshot is None else before.join(moved, "unit_id", "left_semi")
+        folded = st.final_states(st.fold_events(events, snapshot=start))
+        return before.join(moved, "unit_id", "left_anti").unionByName(folded), end, fresh, snapshot
+
     def states(self) -> DataFrame:
-        """Current state per unit, folded from the event table."""
-        return st.final_states(st.fold_events(self.table("events", st.EVENT_COLUMNS)))
+        """Current state per unit: the newest snapshot, moved on by the events after it."""
+        return self._states()[0]
+
+    def take_snapshot(self, least_events: int = SNAPSHOT_EVENTS) -> bool:
+        """Write a snapshot of the states if enough events came since the last.
+
+        That is when the new events are as many as the units of the last snapshot, so
+        writing snapshots costs no more than writing the events did.
+        """
+        states, end, fresh, snapshot = self._states()
+        if sum(e["rows"] for e in fresh.values()) < max(least_events, snapshot["units"] if snapshot else 0):
+            return False
+        path = self.event_log.fresh_path()
+        states.write.parquet(path)
+        units = self.spark.read.parquet(path).count()
+        return self.event_log.files.create(f"snapshots/{end:012d}.json", {"path": path, "units": units})
 
     def items(self, execution_id: str) -> DataFrame:
         """Items of one execution."""
@@ -122,13 +187,8 @@ class Workspace:
     def _valid_outputs(self) -> DataFrame:
         """Units whose recorded outputs are intact; only changed files are hashed."""
         current = self.outputs()
-        genomes = (
-            self.table("events", st.EVENT_COLUMNS)
-            .filter("kind = 'succeed'")
-            .groupBy("unit_id")
-            .agg(F.max_by("payload", "seq").alias("payload"))
-            .select("unit_id", F.from_json("payload", RESULT)["fasta"].alias("fasta"))
-        )
+        done = self.states().filter("status = 'succeeded'")
+        genomes = done.select("unit_id", F.from_json("result", RESULT)["fasta"].alias("fasta"))
         named = current.select("path").unionByName(genomes.select(F.col("fasta").alias("path"))).filter("path IS NOT NULL")
         found = cut_lineage(stat_paths(named))
         same = current.select("path", "size", "modified").distinct()
@@ -147,20 +207,10 @@ class Workspace:
             reclaim_running=reclaim_running,
         )
 
-    def _events(self, units: DataFrame, kind, seq: int, payload, **flags) -> DataFrame:
+    def _events(self, units: DataFrame, kind, payload, **flags) -> DataFrame:
         named = {name: F.lit(flags.get(name, False)) for name in ("force", "retry_failed", "reclaim")}
-        return st.with_event_defaults(
-            units.withColumns(
-                {
-                    "seq": F.lit(seq).cast("bigint"),
-                    "ts": F.current_timestamp(),
-                    "kind": kind,
-                    "claim_id": F.concat_ws("/", "execution_id", "unit_id"),
-                    "payload": payload,
-                    **named,
-                }
-            )
-        )
+        claim = F.concat_ws("/", "execution_id", "unit_id")
+        return units.withColumns({"ts": F.current_timestamp(), "kind": kind, "claim_id": claim, "payload": payload, **named})
 
     def build(
         self,
@@ -182,14 +232,11 @@ class Workspace:
             self.plan(execution_id, retry_failed=retry_failed, reclaim_running=reclaim_running)
         )
         claimed = plan.filter("action = 'claim'").withColumn("execution_id", F.lit(execution_id))
-        seq = self.table("events", st.EVENT_COLUMNS).agg(F.max("seq")).first()[0] or 0
         none = F.lit(None).cast("string")
-        self._append(
-            "events",
+        self.append_events(
             self._events(
                 claimed,
                 F.lit("claim"),
-                seq + 1,
                 none,
                 force=F.col("archive_previous"),
                 retry_failed=retry_failed,
@@ -208,12 +255,10 @@ class Workspace:
         outcomes = self.table(f"outcomes/{execution_id}", OUTCOMES)
         result = F.to_json(F.struct("outputs", "metrics", "fasta"))
         succeeded = F.col("status") == "succeeded"
-        self._append(
-            "events",
+        self.append_events(
             self._events(
                 outcomes.join(claimed.select("unit_id", "execution_id", "fingerprint"), "unit_id"),
                 F.when(succeeded, F.lit("succeed")).otherwise(F.lit("fail")),
-                seq + 2,
                 F.when(succeeded, result).otherwise(F.col("error")),
             ),
         )
@@ -222,14 +267,18 @@ class Workspace:
         recorded = listed.join(files, "path").withColumn("execution_id", F.lit(execution_id))
         self._append("outputs", recorded.select("execution_id", "unit_id", "role", "path", "size", "modified", "sha256"))
         self.sync_manifest(execution_id)
+        self.take_snapshot()
         skipped = plan.join(claimed, "unit_id", "left_anti").select("unit_id", F.lit("skipped").alias("status"), F.lit(None).cast("string").alias("error"))
         return execution_id, outcomes.select("unit_id", "status", "error").unionByName(skipped)
 
     def manifest(self) -> DataFrame:
         """The newest manifest."""
-        versions = self.table("manifest_versions", "number BIGINT")
-        number = versions.agg(F.max("number")).first()[0]
-        return self.spark.createDataFrame([], MANIFEST) if number is None else self.table(f"manifest/{number:08d}", MANIFEST)
+        return self._manifest_before(self.manifest_log.size())
+
+    def _manifest_before(self, number: int) -> DataFrame:
+        if number == 0:
+            return self.spark.createDataFrame([], MANIFEST)
+        return self.spark.read.schema(MANIFEST).parquet(self.manifest_log.entry(number - 1)["path"])
 
     def sync_manifest(self, execution_id: str) -> None:
         """Write the manifest with the items of an execution replacing their earlier rows."""
@@ -248,11 +297,13 @@ class Workspace:
         )
         current = rows.withColumns({"schema_version": F.lit(SCHEMA_VERSION), ORD: F.concat_ws("/", "execution_id", "unit_id")})
         columns = [f.name for f in self.spark.createDataFrame([], MANIFEST).schema]
-        merged = mf.sync_manifest(self.manifest(), current.select(*columns))
-        number = self.table("manifest_versions", "number BIGINT").agg(F.max("number")).first()[0]
-        number = 0 if number is None else number + 1
-        merged.write.mode("overwrite").parquet(self._path(f"manifest/{number:08d}"))
-        self._append("manifest_versions", self.spark.createDataFrame([(number,)], "number BIGINT"))
+        current = cut_lineage(current.select(*columns))
+        while True:
+            # Another build may commit its manifest first; then ours goes on top of it.
+            number, path = self.manifest_log.size(), self.manifest_log.fresh_path()
+            mf.sync_manifest(self._manifest_before(number), current).write.parquet(path)
+            if self.manifest_log.append_at(number, {"path": path}):
+                return
 
     def status(self, execution_id: str | None = None) -> dict[str, DataFrame]:
         """Status tables of one execution or of the whole workspace."""
@@ -261,6 +312,5 @@ class Workspace:
 
     def requeue(self, unit_ids: Iterable[str], reason: str) -> None:
         """Put abandoned units back to pending and invalidate their claims."""
-        seq = self.table("events", st.EVENT_COLUMNS).agg(F.max("seq")).first()[0] or 0
         units = self.spark.createDataFrame([(u, "") for u in unit_ids], "unit_id STRING, execution_id STRING")
-        self._append("events", self._events(units, F.lit("requeue"), seq + 1, F.lit(reason)))
+        self.append_events(self._events(units, F.lit("requeue"), F.lit(reason)))

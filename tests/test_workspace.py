@@ -1,11 +1,13 @@
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from runloom.operators.catalog import RunCatalog
 from runloom.operators.process import ProcessingResult
-from runloom.operators.state import FOLD_COLUMNS
+from runloom.operators.state import FOLD_COLUMNS, final_states, fold_events
 from runloom.streaming.unit_states import fold_event_stream
 from runloom.workspace import Workspace
 
@@ -56,6 +58,44 @@ def test_build_resume_and_rebuild(spark, tmp_path):
     assert workspace.status(second)["units"].count() == 3
 
 
+EVENT = "unit_id STRING, kind STRING, claim_id STRING, fingerprint STRING, payload STRING, ts TIMESTAMP"
+
+
+def test_states_from_snapshots_equal_the_whole_fold(spark, tmp_path):
+    workspace = Workspace(spark, str(tmp_path / "w"))
+    assert workspace.states().isEmpty() and workspace.events().isEmpty() and not workspace.take_snapshot()
+    rounds = [
+        [("a", "claim", "1", "f", None), ("b", "claim", "1", "f", None), ("c", "fail", "9", "f", "x")],
+        [("a", "succeed", "1", "f", "{}"), ("b", "phase", "1", "f", "processing"), ("d", "claim", "2", "f", None)],
+        [("b", "fail", "0", "f", "late"), ("d", "fail", "2", "f", "no"), ("c", "claim", "3", "g", None)],
+        [("a", "claim", "4", "g", None), ("d", "claim", "5", "f", None)],
+    ]
+    taken = []
+    for rows in rounds:
+        events = spark.createDataFrame([(*r, datetime(2024, 1, 1)) for r in rows], EVENT)
+        assert workspace.append_events(events) == len(taken)
+        plain = lambda df: sorted(map(tuple, df.collect()), key=repr)
+        assert plain(workspace.states()) == plain(final_states(fold_events(workspace.events())))
+        taken.append(workspace.take_snapshot(least_events=3))
+        assert plain(workspace.states()) == plain(final_states(fold_events(workspace.events())))
+    # The third snapshot knows four units, and two events are too few for a fourth.
+    assert taken == [True, True, True, False]
+    assert workspace._snapshot()[0] == 3 and {n: e["rows"] for n, e in workspace._states()[2].items()} == {3: 2}
+
+
+def test_two_builds_never_share_a_number(spark, tmp_path):
+    workspaces = [Workspace(spark, str(tmp_path / "w")) for _ in range(2)]
+    event = spark.createDataFrame([("a", "claim", "1", "f", None, datetime(2024, 1, 1))], EVENT)
+
+    def append(workspace):
+        return [workspace.append_events(event) for _ in range(4)]
+
+    with ThreadPoolExecutor(2) as pool:
+        numbers = [n for part in pool.map(append, workspaces) for n in part]
+    assert sorted(numbers) == list(range(8))
+    assert [r["seq"] for r in workspaces[0].events().orderBy("seq").collect()] == list(range(8))
+
+
 def test_stale_claim_timer(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
 
