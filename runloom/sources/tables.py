@@ -9,6 +9,7 @@ from ..functions.identity import short_digest
 from ..functions.values import blank_to_null
 from ..ordering import ORD
 from ..violations import require_none, violation_rows
+from .csv_records import read_csv_table
 
 # Texts that mean null in a catalog file, and the alias columns of a
 # run-info payload.
@@ -26,17 +27,9 @@ def read_position() -> Column:
     )
 
 
-def read_text_csv(spark: SparkSession, path, *, quoted_breaks: bool = True) -> DataFrame:
-    """CSV files as text columns with their read position.
-
-    Line breaks inside quotes keep Spark from splitting a file; a table in few large
-    files without them should be read with ``quoted_breaks=False``.
-    """
-    raw = spark.read.csv(
-        path, header=True, multiLine=quoted_breaks, escape='"', encoding="UTF-8", enforceSchema=False
-    )
-    columns = [F.col(f"`{c}`").alias(c.removeprefix("﻿")) for c in raw.columns]
-    return raw.select(*columns, read_position().alias(ORD))
+def read_text_csv(spark: SparkSession, path) -> DataFrame:
+    """CSV files as text columns with their read position; large files are read in splits."""
+    return read_csv_table(spark, path)
 
 
 def nulls_from_markers(df: DataFrame) -> DataFrame:
@@ -79,9 +72,9 @@ def infer_types(df: DataFrame) -> dict[str, str]:
     }
 
 
-def read_catalog_csv(spark: SparkSession, path, *, quoted_breaks: bool = True) -> DataFrame:
+def read_catalog_csv(spark: SparkSession, path) -> DataFrame:
     """A run table from CSV: null markers removed, types inferred from all rows."""
-    text = nulls_from_markers(read_text_csv(spark, path, quoted_breaks=quoted_breaks))
+    text = nulls_from_markers(read_text_csv(spark, path))
     kinds = infer_types(text)
     return text.select(*[F.col(f"`{c}`").cast(kinds[c]).alias(c) for c in kinds], ORD)
 
@@ -125,11 +118,8 @@ def load_runinfo_pages(spark: SparkSession, paths: list[str], *, strict: bool =
     """Union of run-info pages as a deduplicated catalog; no rows is an error."""
     from ..operators.catalog import RunCatalog
 
-    pages = [read_runinfo(spark, path, strict=strict) for path in paths]
-    table = pages[0]
-    for page in pages[1:]:
-        table = table.unionByName(page, allowMissingColumns=True)
-    if table.limit(1).count() == 0:
+    table = read_runinfo(spark, paths, strict=strict)
+    if table.isEmpty():
         raise ValueError("the run-info pages contain no runs")
     return RunCatalog(table, audit=("created from records",)).deduplicate_runs(strict=strict)
 

@@ -33,7 +33,7 @@ from .sources.files import stat_paths, with_sha256
 from .violations import require_none
 
 SCHEMA_VERSION = 3
-EXECUTIONS = "execution_id STRING, created_at STRING, query STRING, group_by STRING, processor_identity STRING"
+EXECUTIONS = "execution_id STRING, created_at STRING, query STRING, group_by STRING, processor_identity STRING, audit ARRAY<STRING>"
 ITEMS = (
     "execution_id STRING, item_id STRING, unit_id STRING, fingerprint STRING, taxid BIGINT, scientific_name STRING,"
     " total_bases BIGINT, total_size_gb DOUBLE, run_accessions ARRAY<STRING>, experiment_accessions ARRAY<STRING>,"
@@ -151,17 +151,28 @@ class Workspace:
         processor_id: str | None = None,
         pins: DataFrame | None = None,
         descriptions: DataFrame | None = None,
+        sources: DataFrame | None = None,
         query: str | None = None,
         created_at: datetime | None = None,
     ) -> str:
-        """Fingerprint the units of a catalog and store them as an execution."""
+        """Fingerprint the units of a catalog and store them as an execution.
+
+        ``sources`` is ``(unit_id, source)``: what the unit's input is taken from, such as
+        a provider's name and settings or the URLs of its files. It is part of the unit's
+        identity, so input from elsewhere is new work. The catalog's audit trail is stored
+        with the execution.
+        """
         identity = processor_identity(processor, processor_id)
         grouped = catalog.deduplicate_runs().processing_units(by=self.group_by)
+        table = grouped.table
+        if sources is not None:
+            table = table.join(sources.select("unit_id", F.col("source").cast("string").alias("_source")), "unit_id", "left")
         units = unit_fingerprints(
-            grouped.table,
+            table,
             accession_sets(grouped.members),
             group_by=self.group_by,
             processor_identity=identity,
+            fastq_identity=None if sources is None else F.col("_source"),
             pins=pins,
             descriptions=descriptions,
         )
@@ -174,7 +185,7 @@ class Workspace:
         name = digest.first()["name"]
         columns = [part.split(":")[0].split()[0] for part in ITEMS.split(", ")]
         self._append("items", items.withColumn("execution_id", F.lit(name)).select(*columns))
-        row = [(name, stamp, query, self.group_by, identity)]
+        row = [(name, stamp, query, self.group_by, identity, list(catalog.audit_with_counts()))]
         self._append("executions", self.spark.createDataFrame(row, EXECUTIONS))
         return name
 

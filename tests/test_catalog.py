@@ -1,6 +1,9 @@
 import hashlib
 import json
 
+import csv
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -170,3 +173,27 @@ def test_runinfo(spark, tmp_path):
     with pytest.raises(ValueError, match="header"):
         read_runinfo(spark, str(headless))
     assert load_runinfo_pages(spark, [str(good), str(good)]).frame.count() == 1
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_splits_of_a_file_equal_the_whole(spark, tmp_path, ending):
+    """Breaks, quotes and separators in quotes, cut anywhere by twenty and more splits."""
+    chance = random.Random(8)
+    texts = ["plain", "", 'say "hi"', "two\nlines", 'a,b\n"c"\n\nd', "x" * 90, '"', "\n", "é\n,", " pad "]
+    rows = [[f"R{k}", chance.choice(texts), chance.choice(texts), str(k)] for k in range(400)]
+    for name, head in (("one.csv", ["Run", "A", "B", "n"]), ("two.csv", ["Run", "B", "A", "extra"])):
+        with open(tmp_path / name, "w", newline="", encoding="utf-8-sig") as file:
+            csv.writer(file, lineterminator=ending).writerows([head, *rows])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        lines = spark.read.text(str(tmp_path / "one.csv"), lineSep="\n")
+        assert lines.select("_metadata.file_block_start").distinct().count() >= 20
+        table = read_text_csv(spark, [str(tmp_path / "one.csv"), str(tmp_path / "two.csv")])
+        got = table.orderBy("_ord").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    clean = lambda v: v or None
+    assert [(r["Run"], r["A"] or None, r["B"] or None, r["n"], r["extra"]) for r in got] == [
+        (a, clean(b), clean(c), d, None) for a, b, c, d in rows
+    ] + [(a, clean(c), clean(b), None, d) for a, b, c, d in rows]

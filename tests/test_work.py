@@ -1,3 +1,6 @@
+import importlib
+import linecache
+import sys
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -272,6 +275,27 @@ def test_processor(spark, tmp_path):
     assert described.filter("unit_id = 'a'").first()["context"]["description"] == "{}"
 
 
+def test_changed_code_is_another_processor(tmp_path, monkeypatch):
+    monkeypatch.syspath_prepend(str(tmp_path))
+    code = tmp_path / "made_processor.py"
+
+    def identity(text, build=lambda m: m.work):
+        code.write_text(text)
+        sys.modules.pop("made_processor", None)
+        importlib.invalidate_caches()
+        linecache.clearcache()
+        return pr.processor_identity(build(importlib.import_module("made_processor")))
+
+    plain = "def work(fastq, genome, context):\n    return 1\n"
+    first = identity(plain)
+    assert first == identity(plain) and first.startswith("work@")
+    assert identity(plain.replace("1", "2")) != first
+    kind = "class Work:\n    def __init__(self, config):\n        self.config = config\n    def __call__(self, *parts):\n        return None\n"
+    made = [identity(kind, lambda m, c=c: m.Work(c)) for c in ({"a": 1}, {"a": 1}, {"a": 2})]
+    assert made[0] == made[1] != made[2] and made[0].startswith("Work@")
+    assert pr.processor_identity(len).startswith("len@") and pr.processor_identity(len) != pr.processor_identity(max)
+
+
 def test_requests(spark):
     ids = spark.createDataFrame([(" A1 ", 3), ("A1", 1), ("77", 0), ("", 5), ("B2", 2), ("C3", 4)], f"id STRING, {ORD} BIGINT")
     plan = rq.request_ids(ids)

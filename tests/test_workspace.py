@@ -9,7 +9,7 @@ from runloom.operators.catalog import RunCatalog
 from runloom.operators.process import ProcessingResult
 from runloom.operators.state import FOLD_COLUMNS, final_states, fold_events
 from runloom.streaming.unit_states import fold_event_stream
-from runloom.workspace import Workspace
+from runloom.workspace import EXECUTIONS, Workspace
 
 
 def test_build_resume_and_rebuild(spark, tmp_path):
@@ -56,6 +56,12 @@ def test_build_resume_and_rebuild(spark, tmp_path):
     _, outcome = build("ok", processor_id="v1", descriptions=described)
     assert outcome == {"SRX1": "succeeded", "SRX2": "skipped", "SRX3": "skipped"}
     assert workspace.status(second)["units"].count() == 3
+    sources = lambda url: spark.createDataFrame([("SRX1", url)], "unit_id STRING, source STRING")
+    audits = [r["audit"] for r in workspace.table("executions", EXECUTIONS).collect()]
+    assert all(a[0] == "created from records" for a in audits) and len(audits) == 4
+    names = [workspace.create_execution(catalog, processor, processor_id="v1", sources=sources(u)) for u in ("ftp://a", "ftp://a", "ftp://b")]
+    prints = [{r["unit_id"]: r["fingerprint"] for r in workspace.items(n).collect()} for n in names]
+    assert prints[0] == prints[1] and prints[0]["SRX1"] != prints[2]["SRX1"] and prints[0]["SRX2"] == prints[2]["SRX2"]
 
 
 EVENT = "unit_id STRING, kind STRING, claim_id STRING, fingerprint STRING, payload STRING, ts TIMESTAMP"
