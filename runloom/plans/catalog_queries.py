@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.values import lenient_float
@@ -15,9 +15,17 @@ from .registry import Tables, query
 
 ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
 
-SQL_C = """
+# A name that only equal lines share, so that no line of the table contradicts another.
+WHOLE_LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+_WHOLE_SQL = " || '-' || ".join(
+    [f"CAST({c} AS VARCHAR)" for c in WHOLE_LINE] + [f"CAST(CAST(round({c} * 100) AS BIGINT) AS VARCHAR)" for c in ("l_quantity", "l_extendedprice")]
+)
+
+
+def _sql_c(run: str) -> str:
+    return f"""
 C AS (
-  SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS Run,
+  SELECT {run} AS Run,
          'SRX' || CAST(l_orderkey AS VARCHAR) AS Experiment,
          'SRS' || CAST(l_partkey AS VARCHAR) AS Sample,
          'SAMN' || CAST(l_suppkey AS VARCHAR) AS BioSample,
@@ -27,10 +35,13 @@ C AS (
          l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice, l_quantity
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)
 """
+
+
+SQL_C = _sql_c("CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)")
 CONFLICT_COLUMNS = ("Experiment", "Sample", "BioSample", "TaxID", "ScientificName", "bases", "size_MB", "LibraryStrategy", "LibraryLayout")
 _ORDER_SQL = ", ".join(ORDER)
 SQL_CLEAN = (
-    SQL_C
+    _sql_c(_WHOLE_SQL)
     + ", K AS (SELECT Run FROM C GROUP BY Run HAVING "
     + " AND ".join(f"min({c}) = max({c})" for c in CONFLICT_COLUMNS)
     + "), R AS (SELECT C.*, row_number() OVER (PARTITION BY Run ORDER BY "
@@ -42,13 +53,13 @@ _CONFLICT_LIST = "concat_ws(',', " + ", ".join(
 ) + ")"
 
 
-def catalog_view(t: Tables) -> DataFrame:
+def catalog_view(t: Tables, run: Column | None = None) -> DataFrame:
     """The line items as a run table; see ``SQL_C`` for the same view in SQL."""
     joined = t.lineitem.join(t.supplier, F.col("l_suppkey") == F.col("s_suppkey")).join(
         t.nation, F.col("s_nationkey") == F.col("n_nationkey")
     )
     return joined.select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("Run"),
+        (F.concat_ws("-", "l_orderkey", "l_linenumber") if run is None else run).alias("Run"),
         F.concat(F.lit("SRX"), F.col("l_orderkey")).alias("Experiment"),
         F.concat(F.lit("SRS"), F.col("l_partkey")).alias("Sample"),
         F.concat(F.lit("SAMN"), F.col("l_suppkey")).alias("BioSample"),
@@ -63,8 +74,9 @@ def catalog_view(t: Tables) -> DataFrame:
 
 
 def clean_catalog(t: Tables) -> DataFrame:
-    """The run table without the runs that contradict themselves."""
-    return cat.without_conflicts(cat.merge_duplicates(catalog_view(t)))
+    """The run table of all lines, equal ones merged; no run contradicts itself."""
+    cents = [F.round(F.col(c) * 100).cast("bigint") for c in ("l_quantity", "l_extendedprice")]
+    return cat.without_conflicts(cat.merge_duplicates(catalog_view(t, F.concat_ws("-", *WHOLE_LINE, *cents))))
 
 
 @query(
@@ -168,22 +180,25 @@ def unit_summaries(t: Tables) -> DataFrame:
     return table.drop(ORD).withColumn("total_size_gb", F.round("total_size_gb", 6))
 
 
-_MEMBER_UNION = " UNION ALL ".join(
-    f"SELECT BioSample AS unit_id, '{kind}' AS kind, {column} AS value, {_ORDER_SQL} FROM CC"
-    for kind, column in (
-        ("run_accessions", "Run"),
-        ("experiment_accessions", "Experiment"),
-        ("sra_sample_accessions", "Sample"),
-        ("biosample_accessions", "BioSample"),
-        ("library_strategy", "LibraryStrategy"),
-        ("library_layout", "LibraryLayout"),
+MEMBER_SQL = {
+    "run_accessions": "Run",
+    "experiment_accessions": "Experiment",
+    "sra_sample_accessions": "Sample",
+    "biosample_accessions": "BioSample",
+    "library_strategy": "LibraryStrategy",
+    "library_layout": "LibraryLayout",
+}
+
+
+def _members_sql(unit: str) -> str:
+    return " UNION ALL ".join(
+        f"SELECT {unit} AS unit_id, '{kind}' AS kind, {column} AS value, {_ORDER_SQL} FROM CC" for kind, column in MEMBER_SQL.items()
     )
-)
 
 
 @query(
     "unit_members",
-    f"""WITH {SQL_CLEAN}, U AS ({_MEMBER_UNION}),
+    f"""WITH {SQL_CLEAN}, U AS ({_members_sql("BioSample")}),
     V AS (SELECT *, row_number() OVER (PARTITION BY unit_id, kind, value ORDER BY {_ORDER_SQL}) AS rn FROM U)
     SELECT unit_id, kind, value, l_orderkey AS first_order, l_linenumber AS first_line FROM V WHERE rn = 1""",
 )
@@ -233,17 +248,13 @@ def oversized(t: Tables) -> DataFrame:
 
 @query(
     "packed_experiment_lists",
-    f"""WITH {SQL_CLEAN}, U AS (SELECT Experiment AS unit_id, 'run_accessions' AS kind, Run AS value, {_ORDER_SQL} FROM CC
-      UNION ALL SELECT Experiment, 'biosample_accessions', BioSample, {_ORDER_SQL} FROM CC),
+    f"""WITH {SQL_CLEAN}, U AS ({_members_sql("Experiment")}),
     V AS (SELECT *, row_number() OVER (PARTITION BY unit_id, kind, value ORDER BY {_ORDER_SQL}) AS rn FROM U)
-    SELECT unit_id, kind, string_agg(value, ',' ORDER BY {_ORDER_SQL}) AS listed, 1 AS n_chunks FROM V WHERE rn = 1 GROUP BY unit_id, kind""",
+    SELECT unit_id, kind, string_agg(value, ',' ORDER BY {_ORDER_SQL}, value) AS listed, 1 AS n_chunks FROM V WHERE rn = 1 GROUP BY unit_id, kind""",
 )
 def packed_experiment_lists(t: Tables) -> DataFrame:
     """Ordered arrays per experiment, in bounded chunks."""
-    members = un.unit_members(clean_catalog(t), "Experiment").filter(
-        F.col("kind").isin("run_accessions", "biosample_accessions")
-    )
-    packed = pack_ordered(members, ["unit_id", "kind"], "value")
+    packed = pack_ordered(un.unit_members(clean_catalog(t), "Experiment"), ["unit_id", "kind"], "value")
     return packed.select("unit_id", "kind", F.array_join("values", ",").alias("listed"), "n_chunks")
 
 

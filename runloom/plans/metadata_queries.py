@@ -430,24 +430,23 @@ _TISSUE = "CASE WHEN role = 'user' THEN 'Tissue' ELSE role END"
 
 @query(
     "folded_attributes",
-    f"""WITH V AS (SELECT conv_id, turn, {_TISSUE} AS field, CASE WHEN turn % 3 = 0 THEN '[' || role || '] ' || upper(lang) WHEN turn % 3 = 1 THEN lower(lang) || '  ' ELSE 'Not  Provided' END AS value
-      FROM conversations JOIN (SELECT doc_id, lang FROM documents) ON doc_id = conv_id),
-    K AS (SELECT *, CASE WHEN field = 'Tissue' THEN lower(regexp_replace(trim(regexp_replace(value, ' +', ' ', 'g')), '^[[][^]]+[]] *', '')) ELSE trim(regexp_replace(value, ' +', ' ', 'g')) END AS cmp
-      FROM V WHERE lower(trim(regexp_replace(value, ' +', ' ', 'g'))) <> 'not provided')
+    f"""WITH V AS (SELECT conv_id, turn, {_TISSUE} AS field, unnest([CASE WHEN turn % 3 = 0 THEN '[' || role || '] ' || text WHEN turn % 3 = 1 THEN text || '  ' ELSE text END, 'Not  Provided']) AS value
+      FROM conversations),
+    K AS (SELECT *, CASE WHEN field = 'Tissue' THEN lower(regexp_replace(trim(regexp_replace(value, '\\s+', ' ', 'g')), '^[[][^]]+[]] *', '')) ELSE trim(regexp_replace(value, '\\s+', ' ', 'g')) END AS cmp
+      FROM V WHERE lower(trim(regexp_replace(value, '\\s+', ' ', 'g'))) <> 'not provided')
     SELECT conv_id, field, arg_min(value, turn) AS value, CAST(min(turn) AS BIGINT) AS first_turn FROM K GROUP BY conv_id, field, cmp""",
 )
 def folded_attributes(t: Tables) -> DataFrame:
-    """Repeated values of a field, without placeholders and equivalent copies."""
-    langs = t.documents.select(F.col("doc_id").alias("conv_id"), "lang")
-    value = (
-        F.when(F.col("turn") % 3 == 0, F.concat(F.lit("["), "role", F.lit("] "), F.upper("lang")))
-        .when(F.col("turn") % 3 == 1, F.concat(F.lower("lang"), F.lit("  ")))
-        .otherwise(F.lit("Not  Provided"))
+    """The texts of each role in a conversation, without placeholders and equivalent copies."""
+    text = (
+        F.when(F.col("turn") % 3 == 0, F.concat(F.lit("["), "role", F.lit("] "), "text"))
+        .when(F.col("turn") % 3 == 1, F.concat("text", F.lit("  ")))
+        .otherwise(F.col("text"))
     )
-    rows = t.conversations.join(langs, "conv_id").select(
+    rows = t.conversations.select(
         "conv_id",
         F.when(F.col("role") == "user", F.lit("Tissue")).otherwise(F.col("role")).alias("field"),
-        value.alias("value"),
+        F.explode(F.array(text, F.lit("Not  Provided"))).alias("value"),
         F.col("turn").alias("ord"),
         F.lit(False).alias("keep_missing"),
     )

@@ -536,13 +536,13 @@ def manifest_rows(t: Tables) -> DataFrame:
 
 @query(
     "synced_manifest",
-    f"""WITH {_MANIFEST_SQL}, P AS (SELECT CAST(c_custkey AS VARCHAR) AS unit_id, 'e1' AS execution_id, 'succeeded' AS status FROM customer WHERE c_custkey % 3 = 0)
+    f"""WITH {_MANIFEST_SQL}, P AS (SELECT CAST(c_custkey AS VARCHAR) AS unit_id, 'e1' AS execution_id, 'succeeded' AS status FROM customer)
     SELECT unit_id, execution_id, status FROM M UNION ALL SELECT * FROM P WHERE unit_id NOT IN (SELECT unit_id FROM M)""",
 )
 def synced_manifest(t: Tables) -> DataFrame:
     """Cumulative manifest after the current execution."""
     position = F.col("unit_id").cast("bigint").alias(ORD)
-    previous = t.customer.filter("c_custkey % 3 = 0").select(F.col("c_custkey").cast("string").alias("unit_id")).select(
+    previous = t.customer.select(F.col("c_custkey").cast("string").alias("unit_id")).select(
         "unit_id", F.lit("e1").alias("execution_id"), F.lit("succeeded").alias("status"), position
     )
     current = current_manifest(t).select("unit_id", "execution_id", "status", position)
@@ -638,12 +638,12 @@ def publish_problems(t: Tables) -> DataFrame:
 @query(
     "merged_dataset",
     """SELECT c_custkey AS experiment, c_custkey % 2 = 0 AS requested_by_latest_execution, CASE WHEN c_custkey % 2 = 0 THEN 'new' ELSE 'old' END AS origin
-    FROM customer WHERE c_custkey % 2 = 0 OR c_custkey % 3 = 0""",
+    FROM customer""",
 )
 def merged_dataset(t: Tables) -> DataFrame:
     """Published records of all executions with a flag for the latest."""
     keys = t.customer.select(F.col("c_custkey").alias("experiment"), F.col("c_custkey").alias(ORD))
-    old = keys.filter("experiment % 3 = 0").withColumn("origin", F.lit("old"))
+    old = keys.filter("experiment % 3 = 0 OR experiment % 2 = 1").withColumn("origin", F.lit("old"))
     new = keys.filter("experiment % 2 = 0").withColumn("origin", F.lit("new"))
     return mf.merge_dataset(old, new).drop(ORD)
 
