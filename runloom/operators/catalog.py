@@ -67,8 +67,29 @@ def merge_duplicates(df: DataFrame, key: str = RUN) -> DataFrame:
     return grouped.select(*kept, conflicts.alias("_conflicts"))
 
 
+def contradictions(df: DataFrame, key: str = RUN) -> DataFrame:
+    """``(key, _conflicts)`` of the keys whose copies differ.
+
+    Non-null values are compared by the bounds of two independent 64-bit hashes, so the
+    aggregate works on integers in place and neither sorts nor carries a value. Values that
+    differ and agree in both hashes are not to be expected before some 2^64 values of one key.
+    """
+    values = [c for c in df.columns if c not in (key, ORD)]
+
+    def bounds(c: str) -> list[Column]:
+        column = F.col(f"`{c}`")
+        first = F.when(column.isNotNull(), F.xxhash64(column))
+        second = F.when(column.isNotNull(), F.xxhash64(F.lit("second"), column))
+        return [pick(h).alias(f"{name} {c}") for h, n in ((first, 1), (second, 2)) for pick, name in ((F.min, f"lo{n}"), (F.max, f"hi{n}"))]
+
+    grouped = df.groupBy(F.col(f"`{key}`").alias(key)).agg(F.count(F.lit(1)).alias("_n"), *[b for c in values for b in bounds(c)])
+    differ = [F.when((F.col(f"`lo1 {c}`") != F.col(f"`hi1 {c}`")) | (F.col(f"`lo2 {c}`") != F.col(f"`hi2 {c}`")), F.lit(c)) for c in values]
+    names = F.array_compact(F.array(*differ)) if differ else F.array().cast("array<string>")
+    return grouped.select(F.col(f"`{key}`").alias(key), names.alias("_conflicts")).filter(F.size("_conflicts") > 0)
+
+
 def conflict_rows(merged: DataFrame, key: str = RUN) -> DataFrame:
-    """Violations of ``merge_duplicates``: the key and its contradicting columns."""
+    """Violations of ``merge_duplicates`` or ``contradictions``: the key and its contradicting columns."""
     return violation_rows(
         merged.filter(F.size("_conflicts") > 0),
         "deduplicate_runs",
@@ -265,7 +286,7 @@ class RunCatalog:
 
     def conflicts(self) -> DataFrame:
         """Duplicate runs with contradictory values, as violation rows."""
-        return conflict_rows(merge_duplicates(self._frame))
+        return conflict_rows(contradictions(self._frame))
 
     def deduplicate_runs(self, *, strict: bool = True) -> RunCatalog:
         """Merge duplicate runs, filling nulls from the other copies.

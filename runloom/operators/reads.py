@@ -262,31 +262,23 @@ def valid_read_sets(manifests: DataFrame, files: DataFrame) -> DataFrame:
     an inventory with ``path``, ``size``, ``sha256``. Every listed file must exist and
     not be empty, every checksum must name a listed file and match.
     """
-    lists = F.concat(*[F.coalesce(F.col(c), F.array().cast("array<string>")) for c in ("read1", "read2", "single")])
-    problem = layout_problem(F.col("layout"), F.col("read1"), F.col("read2"), F.col("single"))
-    flat = manifests.select(
-        "unit_id",
-        problem.isNull().alias("_layout_ok"),
-        F.explode_outer(F.array_distinct(F.concat(lists, F.map_keys("checksums")))).alias("path"),
-        lists.alias("_lists"),
-        "checksums",
+    lists = [F.coalesce(F.col(c), F.array().cast("array<string>")) for c in ("read1", "read2", "single")]
+    none = F.lit(None).cast("string")
+    listed = F.transform(F.concat(*lists), lambda path: F.struct(path.alias("path"), F.lit(True).alias("listed"), none.alias("expected")))
+    summed = F.transform(
+        F.coalesce(F.map_entries("checksums"), F.array().cast("array<struct<key:string,value:string>>")),
+        lambda e: F.struct(e["key"].alias("path"), F.lit(False).alias("listed"), e["value"].alias("expected")),
     )
-    entries = flat.select(
-        "unit_id",
-        "_layout_ok",
-        "path",
-        F.array_contains("_lists", F.col("path")).alias("_listed"),
-        F.try_element_at("checksums", F.col("path")).alias("_expected"),
-    )
-    actual = files.select("path", "size", "sha256")
-    good = (
-        F.col("_layout_ok")
-        & F.col("_listed")
-        & (F.col("size") > 0)
-        & (F.col("_expected").isNull() | (F.col("_expected") == F.col("sha256")))
+    # A row per entry, not per list: what a set holds is carried once, however long it is.
+    problem = layout_problem(F.col("layout"), F.col("read1"), F.col("read2"), F.col("single"))
+    tagged = manifests.select("unit_id", problem.isNull().alias("sound"), F.explode_outer(F.concat(listed, summed)).alias("e"))
+    entries = tagged.groupBy("unit_id", F.col("e.path").alias("path")).agg(
+        F.bool_and("sound").alias("sound"), F.bool_or("e.listed").alias("listed"), F.min("e.expected").alias("low"), F.max("e.expected").alias("high")
     )
+    matches = F.col("low").isNull() | ((F.col("low") == F.col("sha256")) & (F.col("high") == F.col("sha256")))
+    good = F.col("sound") & F.col("listed") & (F.col("size") > 0) & matches
     return (
-        entries.join(actual, "path", "left")
+        entries.join(files.select("path", "size", "sha256"), "path", "left")
         .groupBy("unit_id")
         .agg(F.bool_and(F.coalesce(good, F.lit(False))).alias("valid"))
     )

@@ -85,7 +85,7 @@ def clean_catalog(t: Tables) -> DataFrame:
 )
 def run_conflicts(t: Tables) -> DataFrame:
     """Duplicate runs with contradicting columns."""
-    return cat.conflict_rows(cat.merge_duplicates(catalog_view(t))).select("key", "detail")
+    return cat.conflict_rows(cat.contradictions(catalog_view(t))).select("key", "detail")
 
 
 @query(

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.catalog import RunCatalog
+from ..operators.reads import valid_read_sets
 from ..session import shared_folder
 from ..sources import archive_xml as ax
 from ..sources.bundles import collections_from_document
 from ..sources.fasta import chromosome_sizes, fasta_violations
+from ..sources.files import read_manifests
 from ..sources.tables import read_runinfo
 from ..streaming.metadata_loads import MetadataLoad
 from .registry import Tables, query
@@ -222,3 +224,24 @@ def loaded_metadata(t: Tables) -> DataFrame:
     bundle = load.current()
     kinds = [bundle.experiments.select(F.lit("experiment").alias("kind"), "accession"), bundle.biosamples.select(F.lit("biosample").alias("kind"), "accession")]
     return kinds[0].unionByName(kinds[1])
+
+
+@query(
+    "read_set_validity",
+    """SELECT 'U' || o_orderkey AS unit_id, o_custkey % 4 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 6 <> 1 AND o_orderkey % 17 <> 3 AS valid FROM orders""",
+)
+def read_set_validity(t: Tables) -> DataFrame:
+    """Whether cached read sets are intact, from manifests that are written and scanned."""
+    files = t.customer.select(
+        _say("/c/", F.col("c_custkey"), ".fq").alias("path"), F.when(F.col("c_custkey") % 4 == 0, 0).otherwise(9).alias("size"), F.sha2("c_name", 256).alias("sha256")
+    )
+    own, key = _say("/c/", F.col("o_custkey"), ".fq"), F.col("o_orderkey")
+    named = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    manifest = F.struct(
+        _say("U", key).alias("unit_id"),
+        F.when(key % 6 == 1, F.lit("paired")).otherwise(F.lit("single")).alias("layout"),
+        F.array(own).alias("single"),
+        F.create_map(F.when(key % 17 == 3, _say(own, ".other")).otherwise(own), F.when(key % 5 == 0, F.lit("x")).otherwise(F.sha2("c_name", 256))).alias("checksums"),
+    )
+    path = _written(t, "manifests", named.select(F.to_json(manifest).alias("value")))
+    return valid_read_sets(read_manifests(t.spark, path, documents=False), files)

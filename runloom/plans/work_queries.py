@@ -195,29 +195,6 @@ def mixed_layout_decisions(t: Tables) -> DataFrame:
     )
 
 
-@query(
-    "read_set_validity",
-    """SELECT 'U' || o_orderkey AS unit_id, o_custkey % 4 <> 0 AND o_orderkey % 5 <> 0 AND o_orderkey % 6 <> 1 AS valid FROM orders""",
-)
-def read_set_validity(t: Tables) -> DataFrame:
-    """Whether cached read sets are intact."""
-    path = F.concat(F.lit("/c/"), F.col("c_custkey"), F.lit(".fq"))
-    files = t.customer.select(
-        path.alias("path"), F.when(F.col("c_custkey") % 4 == 0, 0).otherwise(9).alias("size"), F.sha2("c_name", 256).alias("sha256")
-    )
-    own = F.concat(F.lit("/c/"), F.col("o_custkey"), F.lit(".fq"))
-    named = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
-    manifests = named.select(
-        F.concat(F.lit("U"), "o_orderkey").alias("unit_id"),
-        F.when(F.col("o_orderkey") % 6 == 1, F.lit("paired")).otherwise(F.lit("single")).alias("layout"),
-        F.array().cast("array<string>").alias("read1"),
-        F.array().cast("array<string>").alias("read2"),
-        F.array(own).alias("single"),
-        F.create_map(own, F.when(F.col("o_orderkey") % 5 == 0, F.lit("x")).otherwise(F.sha2("c_name", 256))).alias("checksums"),
-    )
-    return rd.valid_read_sets(manifests, files)
-
-
 @query(
     "unit_mapping",
     """SELECT regexp_replace(c_name, '[^A-Za-z0-9._-]+', '_', 'g') AS id, c_name || '.bam' AS bam, c_name || '.json' AS metadata, 'GCF_' || c_nationkey AS genome, 'ATAC' AS assay, 'placeholder-' || sha256(c_name) AS source FROM customer""",

@@ -528,25 +528,38 @@ def read_biosamples(spark: SparkSession, path, *, include_raw: bool = False, str
     return biosample_table(parsed, include_raw=include_raw)
 
 
+def family_records(spark: SparkSession, path) -> DataFrame:
+    """Sample (rank 0) and series (rank 1) records of family files, in one reading.
+
+    Files are cut where a sample begins; a series stands before the first sample or after
+    the end of another, in the same piece. So no piece is larger than a sample and the
+    series beside it, whichever comes first in the file.
+    """
+    pieces = spark.read.text(path, lineSep="<Sample").select("value", read_position().alias("_at"))
+    series = F.regexp_extract_all("value", F.lit(r"(?s)(<Series(?:\s[^<>]*)?>.*?</Series>)"), F.lit(1))
+    sample = F.array_compact(F.array(record_text(F.col("value"), "Sample")))
+    both = F.concat(
+        F.transform(sample, lambda xml: F.struct(F.lit(0).alias("rank"), xml.alias("xml"))),
+        F.transform(series, lambda xml: F.struct(F.lit(1).alias("rank"), xml.alias("xml"))),
+    )
+    rows = pieces.select("_at", F.posexplode(both).alias("nth", "record"))
+    order = F.struct("_at.file", F.col("record.rank").alias("kind"), "_at.split", "_at.row", "nth")
+    return rows.select(F.col("record.xml").alias("xml"), order.alias(ORD))
+
+
 def read_supplementary(spark: SparkSession, path, *, series: str | None = None) -> DataFrame:
     """Supplementary files declared by the samples and series of family files.
 
     A URL keeps its first position and the owner that declared it last.
     """
     columns = "_iid STRING, `Supplementary-Data` ARRAY<STRING>, _corrupt STRING"
-    found = None
-    for rank, tag in enumerate(("Sample", "Series")):
-        parsed = parse_records(read_records(spark, path, tag), columns)
-        part = parsed.select(
-            F.coalesce(blank_to_null(F.col("r._iid")), F.lit(series)).alias("geo_accession"),
-            F.struct(f"{ORD}.file", F.lit(rank).alias("kind"), f"{ORD}.split", f"{ORD}.row").alias("_at"),
-            F.posexplode(F.col("r")["Supplementary-Data"]).alias("item", "url"),
-        )
-        found = part if found is None else found.unionByName(part)
-    listed = found.select(
-        "geo_accession", _clean(F.col("url")).alias("url"), F.struct("_at.*", "item").alias(ORD)
-    ).filter(F.col("url").isNotNull())
-    return distinct_supplementary(listed)
+    listed = parse_records(family_records(spark, path), columns).select(
+        F.coalesce(blank_to_null(F.col("r._iid")), F.lit(series)).alias("geo_accession"),
+        ORD,
+        F.posexplode(F.col("r")["Supplementary-Data"]).alias("item", "url"),
+    )
+    named = listed.select("geo_accession", _clean(F.col("url")).alias("url"), F.struct(f"{ORD}.*", "item").alias(ORD))
+    return distinct_supplementary(named.filter(F.col("url").isNotNull()))
 
 
 def distinct_supplementary(listed: DataFrame) -> DataFrame:

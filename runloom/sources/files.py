@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 BLOCK = 8 * 1024 * 1024
 
 
-def _plain_path(column: str):
+def _plain_path(column):
     return F.regexp_replace(column, "^file:/+", "/")
 
 
@@ -31,6 +31,17 @@ def file_inventory(spark: SparkSession, path, *, glob: str | None = None) -> Dat
     )
 
 
+def read_manifests(spark: SparkSession, path, *, documents: bool = True) -> DataFrame:
+    """Manifests of cached read sets: ``unit_id, layout, read1, read2, single, checksums, file``.
+
+    One JSON document per file, or one per line without ``documents``. A text that is no
+    such document has no layout and no files, so its set counts as broken.
+    """
+    columns = "unit_id STRING, layout STRING, read1 ARRAY<STRING>, read2 ARRAY<STRING>, single ARRAY<STRING>, checksums MAP<STRING, STRING>"
+    rows = spark.read.schema(columns).option("multiLine", documents).json(path)
+    return rows.select("*", _plain_path(F.col("_metadata.file_path")).alias("file"))
+
+
 def with_sha256(inventory: DataFrame) -> DataFrame:
     """Add the SHA-256 of each file, read in blocks by the task that owns the row.
 

@@ -7,7 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from runloom.operators.catalog import CatalogConflict, RunCatalog, first_conflicts, merge_duplicates
+from runloom.operators.catalog import CatalogConflict, RunCatalog, contradictions, first_conflicts, merge_duplicates
 from runloom.operators.units import accession_sets, unit_fingerprints
 from runloom.sources.tables import load_runinfo_pages, read_catalog_csv, read_runinfo, runinfo_violations, read_text_csv
 
@@ -197,3 +197,15 @@ def test_splits_of_a_file_equal_the_whole(spark, tmp_path, ending):
     assert [(r["Run"], r["A"] or None, r["B"] or None, r["n"], r["extra"]) for r in got] == [
         (a, clean(b), clean(c), d, None) for a, b, c, d in rows
     ] + [(a, clean(c), clean(b), None, d) for a, b, c, d in rows]
+
+
+def test_hashes_find_the_conflicts_that_values_show(spark):
+    chance = random.Random(2)
+    rows = [(f"R{chance.randrange(60)}", chance.choice(["a", "b", None, ""]), chance.choice([1, 2, None]), chance.choice([0.5, None]), k) for k in range(150)]
+    table = spark.createDataFrame(rows, "Run STRING, A STRING, `B c` INT, D DOUBLE, _ord INT")
+    plain = lambda df: sorted((r["Run"], list(r["_conflicts"])) for r in df.collect())
+    found = plain(contradictions(table))
+    assert found == plain(merge_duplicates(table).filter(F.size("_conflicts") > 0)) and len(found) > 20
+    plan = contradictions(table)._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    assert contradictions(table.select("Run", "_ord")).isEmpty() and contradictions(table.limit(0)).isEmpty()

@@ -11,7 +11,7 @@ from runloom.sources import archive_xml as ax
 from runloom.sources.assemblies import read_reports
 from runloom.sources.bundles import collections_from_document, load_bundle, save_bundle, save_ndjson, shape_violations
 from runloom.sources.fasta import chromosome_sizes, fasta_violations, write_sizes
-from runloom.sources.files import hashed_inventory
+from runloom.sources.files import hashed_inventory, read_manifests
 from runloom.sources.qc import read_qc_summaries
 from runloom.operators.bundle import Bundle
 from runloom.streaming.metadata_loads import MetadataLoad
@@ -217,6 +217,12 @@ def test_inventory_and_read_sets(spark, tmp_path):
         "unit_id STRING, layout STRING, read1 ARRAY<STRING>, read2 ARRAY<STRING>, single ARRAY<STRING>, checksums MAP<STRING,STRING>",
     )
     assert {r["unit_id"] for r in rd.valid_read_sets(manifests, files).filter("valid").collect()} == {"ok"}
+    (tmp_path / "m").mkdir()
+    (tmp_path / "m/1.json").write_text(json.dumps({"unit_id": "ok", "layout": "single", "single": [path], "checksums": {path: good}}, indent=1))
+    (tmp_path / "m/2.json").write_text("{ no manifest")
+    (tmp_path / "m/3.json").write_text(json.dumps({"unit_id": "twice", "layout": "single", "single": [path, path], "checksums": None}))
+    found = rd.valid_read_sets(read_manifests(spark, str(tmp_path / "m")), files).collect()
+    assert {r["unit_id"]: r["valid"] for r in found} == {"ok": True, None: False, "twice": True}
 
 
 def test_qc_reports(spark, tmp_path):
@@ -284,3 +290,25 @@ def test_incremental_load(spark, tmp_path):
     load.apply(Bundle(), 0, f"packages:{tmp_path / 'cp'}")
     assert sorted(titles()) == both and isinstance(load.current(), Bundle)
     assert load.current().runs.filter(F.col("accession") == "DRR12").count() == 1
+
+
+def test_a_family_file_is_not_one_row(spark, tmp_path):
+    series = '<Series iid="GSE1"><Title>t</Title><Supplementary-Data>ftp://h/all.tar</Supplementary-Data></Series>'
+    samples = [f'<Sample iid="GSM{k}"><Supplementary-Data>ftp://h/{k % 7}.txt</Supplementary-Data><Series-Ref ref="GSE1"/></Sample>' for k in range(500)]
+    for name, parts in (("first.xml", [series, *samples]), ("last.xml", [*samples, series])):
+        (tmp_path / name).write_text("<MINiML>\n" + "\n".join(parts) + "\n</MINiML>")
+        rows = ax.family_records(spark, str(tmp_path / name))
+        assert rows.count() == 501 and rows.agg(F.max(F.length("xml"))).first()[0] < 200
+        files = {r["filename"]: r["geo_accession"] for r in ax.read_supplementary(spark, str(tmp_path / name)).collect()}
+        assert files == {f"{k}.txt": f"GSM{max(n for n in range(500) if n % 7 == k)}" for k in range(7)} | {"all.tar": "GSE1"}
+
+
+def test_texts_and_references_survive(spark, tmp_path):
+    package_file(tmp_path / "p.xml", FIRST.replace("Roots", "loss of &lt;gene&gt; in <i>a</i> &lt;b or c&gt;d &#945; Roots"))
+    bundle = ax.read_packages(spark, str(tmp_path / "p.xml"))
+    assert bundle.experiments.first()["title"].startswith("loss of <gene> in a <b or c>d \u03b1 Roots")
+    kinds = [i["kind"] for df in (bundle.sra_samples, bundle.studies) for r in df.collect() for i in r["identifiers"]]
+    assert kinds and all(isinstance(k, str) and not k.isdigit() for k in kinds)
+    xml = "<LIBRARY_LAYOUT><PAIRED NOMINAL_LENGTH='&#51;00' note=\"a &amp; 'b'\"" + " " * 20_000 + "/></LIBRARY_LAYOUT>"
+    read = spark.createDataFrame([(xml,), ("<LIBRARY_LAYOUT><SINGLE/></LIBRARY_LAYOUT>",), (None,)], "xml STRING").select(ax.layout_properties(F.col("xml")).alias("p"))
+    assert [r["p"] for r in read.collect()][:2] == [{"NOMINAL_LENGTH": "300", "note": "a & 'b'"}, {}]
