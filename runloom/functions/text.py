@@ -22,6 +22,15 @@ SPACE_CHARACTERS = (
 ENTITY_ROUNDS = 5
 TAG_PATTERN = r"</?[A-Za-z][^>]*>"
 
+# Entities whose characters are decoded without a table, and what must be
+# left to a reader of markup: other entities, elements with content of their own kind,
+# white space that only some readers know.
+SIMPLE_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39;": "'", "&nbsp;": "\xa0", "&amp;": "&"}
+OTHER_ENTITY = r"&(?:[A-Za-z]|#)"
+WELL_FORMED_TAG = r"""</?[A-Za-z][A-Za-z0-9]*+(?:\s++[A-Za-z_:][\w:.-]*+(?:\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'<>=`]++))?+)*+\s*+/?>"""
+RAW_ELEMENTS = r"(?i)</?(?:script|style|textarea|title|xmp|iframe|noembed|noframes|noscript|plaintext)"
+ODD_SPACE = "[\x1c-\x1f]"
+
 # Texts that stand for "no value" in attribute tables.
 PLACEHOLDERS = (
     "",
@@ -132,10 +141,43 @@ def _plain_text_batch(values: pd.Series) -> pd.Series:
     return plain_texts(values)
 
 
+def _simply_decoded(value: Column) -> Column:
+    """Text after rounds of decoding the entities that need no table.
+
+    The ampersand's own entity is decoded last in a round, so one round never decodes
+    what it has just made, as with a decoder that reads from left to right.
+    """
+    for _ in range(ENTITY_ROUNDS):
+        for entity, character in SIMPLE_ENTITIES.items():
+            value = F.replace(value, F.lit(entity), F.lit(character))
+    return value
+
+
+def plain_in_jvm(value: Column) -> Column:
+    """Text without markup where built-in functions can tell it, else null.
+
+    That is where only entities of ``SIMPLE_ENTITIES`` occur and each ``<`` of a text with
+    tags begins a well-formed tag of an element whose content is text like any other.
+    """
+    def plain(decoded: Column) -> Column:
+        untagged = F.regexp_replace(decoded, WELL_FORMED_TAG, "")
+        odd = F.contains(untagged, F.lit("<")) | decoded.rlike(RAW_ELEMENTS) | decoded.rlike(ODD_SPACE)
+        return (
+            F.when(decoded.rlike(OTHER_ENTITY), F.lit(None).cast("string"))
+            .when(~decoded.rlike(TAG_PATTERN), decoded)
+            .when(~odd, squeeze(untagged))
+        )
+
+    # A lambda names the decoded text, so it is made once.
+    marked = F.transform(F.array(_simply_decoded(value)), plain)[0]
+    return F.when(~value.rlike("[<&]"), value).otherwise(marked)
+
+
 def without_markup(value: Column) -> Column:
     """Text without presentation markup.
 
-    Named entities have no built-in decoder, so texts that contain ``<`` or ``&`` go
-    to an Arrow-batched function; all others pass as null there and stay in the JVM.
+    What ``plain_in_jvm`` cannot tell goes to an Arrow-batched function, which knows all
+    named entities and reads any markup; all other texts pass as null there.
     """
-    return F.coalesce(_plain_text_batch(F.when(value.rlike("[<&]"), value)), value)
+    plain = plain_in_jvm(value)
+    return F.coalesce(plain, _plain_text_batch(F.when(plain.isNull(), value)))

@@ -24,6 +24,7 @@ from ..ordering import (
     upsert_last_wins,
     with_order,
 )
+from ..session import cut_lineage
 from ..sources.schemas import struct_type
 from ..violations import require_none, violation_rows
 
@@ -304,21 +305,41 @@ class Bundle:
     def _map(self, change) -> Bundle:
         return Bundle(**{f.name: change(f.name, getattr(self, f.name)) for f in fields(self)})
 
+    def reachable(self, accessions: DataFrame) -> DataFrame:
+        """``(collection, accession)`` that the packages of some experiments link, each once.
+
+        The table is checkpointed: every collection is then cut by it with one reading of
+        its own, instead of deriving the packages anew.
+        """
+        packages = self.packages.join(accessions.select("experiment_accession"), "experiment_accession", "left_semi")
+
+        def link(collection: str, accession: Column) -> Column:
+            return F.struct(F.lit(collection).alias("collection"), accession.alias("accession"))
+
+        single = F.array(
+            link("sra_samples", F.col("sra_sample_accession")),
+            link("studies", F.col("study_accession")),
+            link("submissions", F.col("submission_accession")),
+        )
+        empty = F.array().cast("array<struct<collection:string,accession:string>>")
+        runs = F.coalesce(F.transform("run_accessions", lambda r: link("runs", r)), empty)
+        links = packages.select(F.inline(F.concat(single, runs))).filter(F.coalesce("accession", F.lit("")) != "")
+        return cut_lineage(links.distinct())
+
     def subset_experiments(self, accessions: DataFrame) -> Bundle:
         """The given experiments (column ``experiment_accession``) and all linked records."""
         wanted = accessions.select("experiment_accession")
-        packages = self.packages.join(wanted, "experiment_accession", "left_semi")
-        samples = linked_subset(self.sra_samples, packages, "sra_sample_accession")
-        raw = self.raw_sra_packages
+        links = self.reachable(wanted)
+
+        def cut(name: str) -> DataFrame:
+            return getattr(self, name).join(links.filter(F.col("collection") == name).select("accession"), "accession", "left_semi")
+
         return Bundle(
-            packages=packages,
-            runs=linked_subset(self.runs, run_links(packages), "run_accession"),
+            packages=self.packages.join(wanted, "experiment_accession", "left_semi"),
             experiments=linked_subset(self.experiments, wanted, "experiment_accession"),
-            sra_samples=samples,
-            studies=linked_subset(self.studies, packages, "study_accession"),
-            submissions=linked_subset(self.submissions, packages, "submission_accession"),
-            biosamples=linked_subset(self.biosamples, samples, "biosample"),
-            raw_sra_packages=raw.join(wanted, "experiment_accession", "left_semi"),
+            biosamples=linked_subset(self.biosamples, cut("sra_samples"), "biosample"),
+            raw_sra_packages=self.raw_sra_packages.join(wanted, "experiment_accession", "left_semi"),
+            **{name: cut(name) for name in ("runs", "sra_samples", "studies", "submissions")},
         )
 
     def complete_experiment_accessions(self, *, include_raw: bool = False) -> DataFrame:

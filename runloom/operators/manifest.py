@@ -171,17 +171,20 @@ def coverage_output(outputs: Column) -> Column:
 def path_usage(files: DataFrame, roots: DataFrame) -> DataFrame:
     """Bytes and decimal gigabytes below each root, counting nested roots once.
 
-    Every file is matched to the roots through its own ancestor folders, an equi join,
-    and a root inside another root is dropped the same way.
+    Every file is matched to the roots through its own ancestor folders, an equi join, and
+    a root inside another root is dropped the same way. Only ancestors as deep as some
+    root are made, so no key has all files unless a root has; sizes are added up per
+    ancestor before the join, so a root with most files is one row per task by then.
     """
+    cleaned = roots.select(F.regexp_replace("root", "/+$", "").alias("root")).distinct()
+    # As many numbers as paths have levels.
+    depths = sorted(r["depth"] for r in cleaned.select(F.size(F.split("root", "/")).alias("depth")).distinct().collect())
+
     def ancestors(path: Column) -> Column:
         parts = F.split(path, "/")
-        return F.transform(
-            F.sequence(F.lit(1), F.size(parts)),
-            lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"),
-        )
+        levels = F.filter(F.array(*map(F.lit, depths)).cast("array<int>"), lambda n: n <= F.size(parts))
+        return F.transform(levels, lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
 
-    cleaned = roots.select(F.regexp_replace("root", "/+$", "").alias("root")).distinct()
     nested = (
         cleaned.select("root", F.explode(ancestors(F.col("root"))).alias("outer"))
         .filter("outer <> root")
@@ -189,8 +192,8 @@ def path_usage(files: DataFrame, roots: DataFrame) -> DataFrame:
         .select("root")
     )
     top = cleaned.join(nested, "root", "left_anti")
-    placed = files.select("size", F.explode(ancestors(F.col("path"))).alias("root")).join(top, "root")
-    used = placed.groupBy("root").agg(F.sum("size").alias("bytes"))
+    folders = files.select("size", F.explode(ancestors(F.col("path"))).alias("root")).groupBy("root").agg(F.sum("size").alias("bytes"))
+    used = folders.join(top, "root", "left_semi")
     return top.join(used, "root", "left").select(
         "root",
         F.coalesce("bytes", F.lit(0)).cast("bigint").alias("bytes"),

@@ -8,9 +8,11 @@ import json
 import os
 import pkgutil
 import traceback
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from typing import Any
+from pathlib import PurePath
+from typing import Any, NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,28 +53,46 @@ def load_processor(reference: str) -> Processor:
     raise TypeError(f"{reference!r} names no callable")
 
 
+class Output(NamedTuple):
+    """A declared output with its absolute path."""
+
+    role: str
+    path: PurePath
+    root: PurePath
+
+    def has_content(self) -> bool:
+        return os.path.isfile(self.path) and os.path.getsize(self.path) > 0
+
+
+#: What is wrong with one output, and how to tell.
+OUTPUT_FAULTS: dict[str, Callable[[Output], bool]] = {
+    "has a blank role": lambda o: not o.role.strip(),
+    "is outside its directory": lambda o: o.root not in o.path.parents,
+}
+FILE_FAULTS = OUTPUT_FAULTS | {"is missing or empty": lambda o: not o.has_content()}
+
+
+def output_faults(outputs: dict[str, str], output_dir: str, *, need_files: bool) -> Iterator[str]:
+    """Everything that is wrong with declared outputs, as texts."""
+    root = PurePath(os.path.normpath(output_dir))
+    declared = [Output(str(role), PurePath(os.path.normpath(root / str(path))), root) for role, path in outputs.items()]
+    for output in declared:
+        for fault, found in (FILE_FAULTS if need_files else OUTPUT_FAULTS).items():
+            if found(output):
+                yield f"output {output.role!r} {fault}: {output.path}"
+    shared = [path for path, n in Counter(o.path for o in declared).items() if n > 1]
+    if shared or not declared:
+        yield f"outputs share {shared[0]}" if shared else "success without outputs"
+
+
 def checked_outputs(result: ProcessingResult, output_dir: str, *, need_files: bool) -> dict[str, str]:
-    """Absolute output paths of a result, or an error naming the broken rule."""
+    """Absolute output paths of a result, or an error that names all that is wrong with it."""
     if not isinstance(result, ProcessingResult):
-        raise TypeError(f"processor must return ProcessingResult, got {type(result).__name__}")
-    if not result.success:
-        raise ValueError(result.message or "processor reported failure")
-    if not result.outputs:
-        raise ValueError("success without outputs")
-    root = os.path.normpath(output_dir)
-    resolved = {}
-    for role, declared in result.outputs.items():
-        path = os.path.normpath(os.path.join(root, str(declared)))
-        if not str(role).strip():
-            raise ValueError("blank output role")
-        if os.path.commonpath([root, path]) != root or path == root:
-            raise ValueError(f"output {role!r} is outside its directory: {path}")
-        if need_files and not (os.path.isfile(path) and os.path.getsize(path)):
-            raise ValueError(f"output {role!r} is missing or empty: {path}")
-        resolved[role] = path
-    if len(set(resolved.values())) != len(resolved):
-        raise ValueError("output paths must be unique")
-    return resolved
+        raise TypeError(f"a processor gives a ProcessingResult, not {type(result).__name__}")
+    faults = list(output_faults(result.outputs, output_dir, need_files=need_files)) if result.success else [result.message or "the processor failed"]
+    if faults:
+        raise ValueError("; ".join(faults))
+    return {role: os.path.normpath(os.path.join(output_dir, str(path))) for role, path in result.outputs.items()}
 
 
 def run_units(

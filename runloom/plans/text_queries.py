@@ -58,6 +58,20 @@ def tissue_keys(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", F.md5(text.tissue_key(labelled)).alias("tissue_key"))
 
 
+@query(
+    "order_markup",
+    """SELECT o_orderkey, 'of ' || o_orderpriority || ' & "' || o_orderstatus || '" < ' || o_custkey AS plain,
+    o_orderpriority || '  <' || o_custkey AS escaped FROM orders""",
+)
+def order_markup(t: Tables) -> DataFrame:
+    """Texts with tags and entities of several rounds, and texts with entities alone."""
+    marked = F.concat(
+        F.lit("<p class='a b'>of <B>"), "o_orderpriority", F.lit("</B>\n &amp;amp; &quot;"), "o_orderstatus", F.lit("&quot; &amp;lt; <br/>"), "o_custkey", F.lit("</p>")
+    )
+    escaped = F.concat("o_orderpriority", F.lit("  &lt;"), "o_custkey")
+    return t.orders.select("o_orderkey", text.without_markup(marked).alias("plain"), text.without_markup(escaped).alias("escaped"))
+
+
 @query("plain_page_texts")
 def plain_page_texts(t: Tables) -> DataFrame:
     """Visible text of whole pages: entities decoded, tags removed."""

@@ -5,7 +5,7 @@ from html.parser import HTMLParser
 import pytest
 from pyspark.sql import functions as F
 
-from runloom.functions.text import plain_texts, without_markup
+from runloom.functions.text import plain_in_jvm, plain_texts, without_markup
 from runloom.operators import descriptions as ds
 from runloom.operators.bundle import Bundle
 from runloom.ordering import ORD, with_order
@@ -143,6 +143,23 @@ def test_markup_on_pages_equals_row_by_row(spark):
     assert plain_texts(pd.Series([r["html"] for r in rows])).tolist() == [r["found"] for r in rows]
 
 
+ODD_MARKUP = [
+    "a &eacute; b", "<b title='x>y'>q</b>", "a < b <i>c</i>", "<script>if (a<b) x</script>y", "&amp;amp;amp;amp;amp;amp;amp;lt;", "<!-- c --><i>x</i>",
+    "&lt", "x &#945; y", "<p>\x1cone\x1c two</p>", "<i>a\u2003b</i>", "AT&T <b>x</b>", "R&D;", "<a href=x>y</a>", "<>", "</ b>z", "<i", "&&&", "<br><BR/>t", "&nbsp;<i>x</i>&nbsp;",
+    "<title>&lt;b&gt;</title>", "<i>1</i" , "5 &gt; 4", "<i a='1\" b>x</i>",
+]
+
+
+def test_markup_in_the_jvm_equals_the_reader(spark):
+    given = [*MARKUP, *ODD_MARKUP, None]
+    rows = spark.createDataFrame([(v,) for v in given], "raw STRING").select("raw", without_markup(F.col("raw")).alias("found"), plain_in_jvm(F.col("raw")).alias("jvm")).collect()
+    expected = dict(zip(given, plain_texts(pd.Series(given, dtype=object)).tolist()))
+    for r in rows:
+        assert r["found"] == expected[r["raw"]], r
+    told = {r["raw"] for r in rows if r["jvm"] is not None}
+    assert {"<b>a</b>  <i>b</i>", "A &lt; B", "&&&", "5 &gt; 4"} <= told and not {"a &eacute; b", "a < b <i>c</i>"} & told
+
+
 def test_identity_of_descriptions(spark):
     maps = ds.description_maps(ds.compact_descriptions(bundle(spark, records=ATTRIBUTES)))
     changed = ds.description_maps(ds.compact_descriptions(bundle(spark, records=ATTRIBUTES, organism="Rattus")))
