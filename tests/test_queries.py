@@ -14,7 +14,7 @@ SMALL = "/root/testdata/sf0.001"
 OWN = set(registered)
 QUERIES = {name: run for name, run in entry.queries().items() if name in OWN}
 ORACLES = {name: sql for name, sql in entry.oracle_sql().items() if name in OWN}
-ROWS_ONLY = {"plain_page_texts", "state_fold", "folded_states"}
+ROWS_ONLY = {"plain_page_texts"}
 
 
 @pytest.fixture(scope="module")
