@@ -453,10 +453,12 @@ class Bundle:
         )
         if strict:
             require_none(agreement_violations(described, ["experiment_id"], "full_descriptions"))
-        # One relation per experiment is described; only its runs belong to it.
-        known = self.sra_samples.select(F.col("accession").alias("sra_sample_accession"))
-        relations = linked.join(known, "sra_sample_accession", "left_semi")
-        kept = keep_first(relations, ["experiment_accession"])
+        # One relation per experiment is described, and only its runs belong to it; an
+        # experiment none of whose samples is loaded keeps the runs of its first relation.
+        known = self.sra_samples.select(F.col("accession").alias("_known")).distinct()
+        relations = linked.join(known, F.col("sra_sample_accession") == F.col("_known"), "left")
+        place = F.struct(F.col("_known").isNull(), F.col(ORD))
+        kept = keep_first(relations, ["experiment_accession"], place).drop("_known")
         runs = run_links(kept).join(
             record(self.runs, "run"), F.col("run_accession") == F.col("_run")
         )

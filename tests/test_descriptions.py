@@ -108,6 +108,15 @@ def test_full_profile(spark):
         lost.full_descriptions()
 
 
+def test_runs_stay_without_a_loaded_sample(spark):
+    lost = ("a", "SRX1", "SRP1", "lost", "SRA1", ["R1"])
+    records, runs = bundle(spark, packages=[lost]).full_descriptions(strict=False)
+    assert records.count() == 0 and [r["run"]["accession"] for r in runs.collect()] == ["R1"]
+    loaded = ("b", "SRX1", "SRP1", "SRS1", "SRA1", ["R1", "R1"])
+    records, runs = bundle(spark, packages=[lost, loaded]).full_descriptions(strict=False)
+    assert records.first()["package_relation"]["accession"] == "b" and runs.count() == 2
+
+
 MARKUP = {
     '<span class="x">SAMEA6806937</span>': "SAMEA6806937", "CUT&amp;amp;Tag": "CUT&Tag", "A &lt; B": "A < B", "it’s": "it’s",
     "a  b": "a  b", "<b>a</b>  <i>b</i>": "a b", "&lt;p&gt;x&lt;/p&gt;": "x", "": "",
