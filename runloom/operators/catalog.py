@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType
 
 from ..ordering import ORD, distinct_in_order, keep_first, with_order
+from ..session import cut_lineage
 from ..violations import REPORT_ROWS, require_none, violation_rows
 from .units import Units, group_units
 
 RUN = "Run"
+FEW_REPEATS = 1_000_000
 
 # Grouping levels and the entity columns of a run table.
 GROUP_COLUMNS = {
@@ -67,6 +69,24 @@ def merge_duplicates(df: DataFrame, key: str = RUN) -> DataFrame:
     return grouped.select(*kept, conflicts.alias("_conflicts"))
 
 
+def merge_few_duplicates(df: DataFrame, key: str = RUN) -> DataFrame:
+    """``merge_duplicates`` for tables in which most keys occur once.
+
+    A first pass counts the keys by a 64-bit hash. Rows whose hash occurs once are their own
+    merge and stay where they are; the others alone are shuffled. Hashes that several rows
+    share are broadcast only after they are counted, up to ``FEW_REPEATS``; beyond, all rows
+    are merged.
+    """
+    hashed = df.withColumn("_hash", F.xxhash64(f"`{key}`"))
+    repeated = cut_lineage(hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash"))
+    if repeated.count() > FEW_REPEATS:
+        return merge_duplicates(df, key)
+    several = F.broadcast(repeated)
+    alone = hashed.join(several, "_hash", "left_anti").drop("_hash").withColumn("_conflicts", F.array().cast("array<string>"))
+    copies = hashed.join(several, "_hash", "left_semi").drop("_hash")
+    return alone.unionByName(merge_duplicates(copies, key))
+
+
 def contradictions(df: DataFrame, key: str = RUN) -> DataFrame:
     """``(key, _conflicts)`` of the keys whose copies differ.
 

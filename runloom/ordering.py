@@ -105,16 +105,19 @@ def pack_ordered(
 
     Elements are numbered per key by order and value, and ``chunk`` is the number divided
     by ``limit``: the chunks of a key follow each other, and groups of equal size and order
-    are cut at the same places. Groups that fit into one chunk need no numbering; those
-    that do not are numbered by a range partitioning, so no task holds a whole hot group.
+    are cut at the same places. Where all groups fit into one chunk, their sizes are not
+    joined; those that do not fit are numbered by a range partitioning, so no task holds a
+    whole hot group.
     """
     keys = list(keys)
     sizes = group_sizes(df, keys).select(
         *keys, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias("n_chunks")
     )
-    sized = _by_keys(df.select(*keys, order, value), sizes, keys)
-    placed = sized.withColumn("chunk", F.lit(0))
-    if sizes.filter("n_chunks > 1").limit(1).count():
+    if not sizes.filter("n_chunks > 1").limit(1).count():
+        placed = df.select(*keys, order, value, F.lit(1).alias("n_chunks"), F.lit(0).alias("chunk"))
+    else:
+        sized = _by_keys(df.select(*keys, order, value), sizes, keys)
+        placed = sized.withColumn("chunk", F.lit(0))
         numbered = global_ordinal(sized.filter("n_chunks > 1"), [*keys, order, value], "_ordinal")
         firsts = numbered.groupBy(*keys).agg(F.min("_ordinal").alias("_first"))
         chunk = F.floor((F.col("_ordinal") - F.col("_first")) / F.lit(limit)).cast("int")

@@ -76,7 +76,7 @@ def catalog_view(t: Tables, run: Column | None = None) -> DataFrame:
 def clean_catalog(t: Tables) -> DataFrame:
     """The run table of all lines, equal ones merged; no run contradicts itself."""
     cents = [F.round(F.col(c) * 100).cast("bigint") for c in ("l_quantity", "l_extendedprice")]
-    return cat.without_conflicts(cat.merge_duplicates(catalog_view(t, F.concat_ws("-", *WHOLE_LINE, *cents))))
+    return cat.without_conflicts(cat.merge_few_duplicates(catalog_view(t, F.concat_ws("-", *WHOLE_LINE, *cents))))
 
 
 @query(

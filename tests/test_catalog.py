@@ -7,7 +7,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from runloom.operators.catalog import CatalogConflict, RunCatalog, contradictions, first_conflicts, merge_duplicates
+from runloom.operators.catalog import CatalogConflict, RunCatalog, contradictions, first_conflicts, merge_duplicates, merge_few_duplicates
+from runloom.ordering import pack_ordered
 from runloom.operators.units import accession_sets, unit_fingerprints
 from runloom.sources.tables import load_runinfo_pages, read_catalog_csv, read_runinfo, runinfo_violations, read_text_csv
 
@@ -20,6 +21,22 @@ def records():
     return [RECORD, {**RECORD, "Run": "DRR71", "bases": "750", "size_MB": "10"}]
 
 
+def test_few_duplicates_are_merged_as_many(spark):
+    rows = [(f"R{i}", i, None) for i in range(50)] + [("R1", 1, "x"), ("R2", 7, None), ("R2", None, "y"), (None, 1, None), (None, 1, "z")]
+    table = spark.createDataFrame(rows, "Run STRING, n INT, t STRING").withColumn("_ord", F.monotonically_increasing_id())
+    few = merge_few_duplicates(table)
+    assert few.exceptAll(merge_duplicates(table)).count() == 0 and few.count() == 51
+    assert few.filter("Run = 'R2' AND array_contains(_conflicts, 'n')").count() == 1
+    # Only the copies of repeated keys are grouped; the other rows pass by a broadcast.
+    assert "LeftAnti" in few._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_small_groups_are_packed_without_their_sizes(spark):
+    packed = pack_ordered(spark.range(9).select((F.col("id") % 2).alias("k"), F.col("id").cast("string").alias("v"), (-F.col("id")).alias("_ord")), ["k"], "v")
+    assert "Join" not in packed._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["k"]: (list(r["values"]), r["chunk"], r["n_chunks"]) for r in packed.collect()} == {0: (["8", "6", "4", "2", "0"], 0, 1), 1: (["7", "5", "3", "1"], 0, 1)}
+
+
 def test_filter_and_units(spark):
     catalog = RunCatalog.from_records(spark, records())
     kept = catalog.filter(F.col("LibraryStrategy") == "RNA-Seq", description="assay").filter(
