@@ -10,11 +10,12 @@ from __future__ import annotations
 
 import json
 import xml.etree.ElementTree as ET
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import StringType, StructType
 
 from ..functions.names import last_component
 from ..functions.text import squeeze
@@ -97,6 +98,7 @@ BIOSAMPLE_COLUMNS = (
 PRESENTATION = (
     r"</?(?:[a-z][a-z0-9]*|(?i:i|b|u|p|a|em|strong|su[bp]|br|hr|span|font|tt|small|big|div|[uod]l|li|h[1-6]))(?:\s[^<>]*)?/?>"
 )
+_XML_OPTIONS = {"columnNameOfCorruptRecord": "_corrupt", "ignoreNamespace": "true", "mode": "PERMISSIVE"}
 _ID_KINDS = {
     "PRIMARY_ID": "primary",
     "SECONDARY_ID": "secondary_id",
@@ -157,10 +159,35 @@ def read_records(spark: SparkSession, path, tag: str) -> DataFrame:
     )
 
 
-def parse_records(records: DataFrame, columns: str) -> DataFrame:
-    """Typed struct ``r`` of each record; text that is not well formed sets ``_corrupt``."""
-    options = {"columnNameOfCorruptRecord": "_corrupt", "ignoreNamespace": "true", "mode": "PERMISSIVE"}
-    return records.withColumn("r", F.from_xml(F.regexp_replace("xml", PRESENTATION, ""), columns, options))
+def parse_records(records: DataFrame, columns: str | StructType) -> DataFrame:
+    """Typed struct ``r`` of each record; text that is not well formed sets ``_corrupt``.
+
+    The struct is exploded from an array of one, which the optimizer does not see through:
+    otherwise every filter on a field is pushed below and parses the text once more.
+    """
+    r = F.from_xml(_without_presentation(F.col("xml")), columns, _XML_OPTIONS)
+    return records.select("*", F.explode(F.array(r)).alias("r"))
+
+
+def _without_presentation(xml: Column) -> Column:
+    return F.regexp_replace(xml, PRESENTATION, "")
+
+
+def suspect_records(records: DataFrame) -> DataFrame:
+    """Records that may be malformed, told without building their structs.
+
+    Taking whole tags of presentation out of a well-formed text leaves it well formed, save
+    where that joins a ``]]>``; so only texts that are not well formed as they stand, or
+    have ``]]``, need the full parse for a verdict.
+    """
+    broken = F.from_xml("xml", "_corrupt STRING", _XML_OPTIONS)["_corrupt"].isNotNull()
+    return records.filter(broken | F.contains("xml", F.lit("]]")))
+
+
+def well_formed(parsed: DataFrame, *, strict: bool) -> DataFrame:
+    """Parsed records that are well formed; when strict, any other one is an error in its task."""
+    fine = F.col("r._corrupt").isNull()
+    return parsed.filter(F.when(fine, True).otherwise(F.raise_error(F.lit("malformed XML")).cast("boolean")) if strict else fine)
 
 
 def malformed_records(parsed: DataFrame, operator: str) -> DataFrame:
@@ -291,11 +318,27 @@ def layout_properties(xml: Column) -> Column:
     return F.map_from_entries(entries)
 
 
-def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
-    """The collections of parsed package records; the first record per accession wins."""
-    good = parsed.filter(F.col("r._corrupt").isNull())
+def package_parser(records: DataFrame) -> Callable[..., DataFrame]:
+    """Parses the named parts of package records and leaves the others out."""
+    fields = StructType.fromDDL(PACKAGE_COLUMNS)
+
+    def parse(*parts: str) -> DataFrame:
+        return parse_records(records, StructType([f for f in fields if f.name in (*parts, "_corrupt")]))
+
+    return parse
+
+
+def packages_bundle(parsed: DataFrame | Callable[..., DataFrame], *, include_raw: bool = False, strict: bool = False) -> Bundle:
+    """The collections of parsed package records; the first record per accession wins.
+
+    ``parsed`` is a table of parsed records or a ``package_parser``, by which each collection
+    parses the parts that it is made of.
+    """
     raw = lossless_tree(F.col("xml")) if include_raw else F.lit(None).cast("string")
-    trees = good.select("r.*", "xml", ORD, raw.alias("_raw"))
+
+    def trees(*parts: str) -> DataFrame:
+        table = parsed if isinstance(parsed, DataFrame) else parsed(*parts)
+        return well_formed(table, strict=strict).select("r.*", "xml", ORD, raw.alias("_raw"))
 
     def part(name: str) -> Column:
         path = {"experiments": "EXPERIMENT", "studies": "STUDY", "sra_samples": "SAMPLE", "submissions": "SUBMISSION"}[name]
@@ -305,7 +348,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
     library, layout = e["DESIGN"]["LIBRARY_DESCRIPTOR"], e["DESIGN"]["LIBRARY_DESCRIPTOR"]["LIBRARY_LAYOUT"]
     layout_name = F.try_element_at(F.map_keys(layout), F.lit(1))
     platform = e["PLATFORM"]
-    experiments = trees.filter(e.isNotNull()).select(
+    experiments = trees("EXPERIMENT").filter(e.isNotNull()).select(
         _accession(e).alias("accession"),
         e["_alias"].alias("alias"),
         _identifiers(e["IDENTIFIERS"]).alias("identifiers"),
@@ -331,7 +374,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
         part("experiments"),
         ORD,
     )
-    studies = trees.filter(s.isNotNull()).select(
+    studies = trees("STUDY").filter(s.isNotNull()).select(
         _accession(s).alias("accession"),
         s["_alias"].alias("alias"),
         s["_center_name"].alias("center_name"),
@@ -348,7 +391,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
         part("studies"),
         ORD,
     )
-    samples = trees.filter(m.isNotNull()).select(
+    samples = trees("SAMPLE").filter(m.isNotNull()).select(
         _accession(m).alias("accession"),
         m["_alias"].alias("alias"),
         _identifiers(m["IDENTIFIERS"]).alias("identifiers"),
@@ -362,7 +405,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
         part("sra_samples"),
         ORD,
     )
-    submissions = trees.filter(b.isNotNull()).select(
+    submissions = trees("SUBMISSION", "Organization").filter(b.isNotNull()).select(
         _accession(b).alias("accession"),
         b["_alias"].alias("alias"),
         b["_broker_name"].alias("broker_name"),
@@ -384,7 +427,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
     )
     run = F.col("_run")
     runs = (
-        trees.select("_raw", ORD, F.posexplode("RUN_SET.RUN").alias("_pos", "_run"))
+        trees("RUN_SET").select("_raw", ORD, F.posexplode("RUN_SET.RUN").alias("_pos", "_run"))
         .select(
             _accession(run).alias("accession"),
             run["_alias"].alias("alias"),
@@ -424,7 +467,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
     )
     total = F.col("RUN_SET")
     key = F.coalesce(_accession(e), F.concat(F.lit("package-"), F.sha2(F.to_json(F.col(ORD)), 256)))
-    packages = trees.select(
+    packages = trees("EXPERIMENT", "STUDY", "SAMPLE", "SUBMISSION", "Pool", "RUN_SET").select(
         key.alias("accession"),
         _accession(e).alias("experiment_accession"),
         _accession(s).alias("study_accession"),
@@ -442,7 +485,7 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
         ).alias("totals"),
         ORD,
     )
-    raw_packages = trees.select(_accession(e).alias("experiment_accession"), F.col("_raw").alias("raw"), ORD)
+    raw_packages = trees("EXPERIMENT").select(_accession(e).alias("experiment_accession"), F.col("_raw").alias("raw"), ORD)
     return Bundle(
         packages=keep_first(packages, ["accession"]),
         runs=accession_unique(_with_attributes(runs)),
@@ -456,16 +499,16 @@ def packages_bundle(parsed: DataFrame, *, include_raw: bool = False) -> Bundle:
 
 def read_packages(spark: SparkSession, path, *, include_raw: bool = False, strict: bool = True) -> Bundle:
     """Experiment packages of a landing folder as a bundle without BioSamples."""
-    parsed = parse_records(read_records(spark, path, "EXPERIMENT_PACKAGE"), PACKAGE_COLUMNS)
+    records = read_records(spark, path, "EXPERIMENT_PACKAGE")
     if strict:
-        require_none(malformed_records(parsed, "read_packages"))
-    return packages_bundle(parsed, include_raw=include_raw)
+        require_none(malformed_records(parse_records(suspect_records(records), PACKAGE_COLUMNS), "read_packages"))
+    return packages_bundle(package_parser(records), include_raw=include_raw, strict=strict)
 
 
-def biosample_table(parsed: DataFrame, *, include_raw: bool = False) -> DataFrame:
+def biosample_table(parsed: DataFrame, *, include_raw: bool = False, strict: bool = False) -> DataFrame:
     """BioSample records; the first per accession wins."""
     raw = lossless_tree(F.col("xml")) if include_raw else F.lit(None).cast("string")
-    good = parsed.filter(F.col("r._corrupt").isNull()).select("r.*", ORD, raw.alias("raw"))
+    good = well_formed(parsed, strict=strict).select("r.*", ORD, raw.alias("raw"))
     ids = F.filter(
         F.coalesce(F.transform("Ids.Id", lambda e: _id_record(F.lit("id"), e)), F.array().cast(NO_IDENTIFIERS)),
         lambda i: i["value"].isNotNull(),
@@ -522,10 +565,10 @@ def biosample_table(parsed: DataFrame, *, include_raw: bool = False) -> DataFram
 
 def read_biosamples(spark: SparkSession, path, *, include_raw: bool = False, strict: bool = True) -> DataFrame:
     """BioSample records of a landing folder."""
-    parsed = parse_records(read_records(spark, path, "BioSample"), BIOSAMPLE_COLUMNS)
+    records = read_records(spark, path, "BioSample")
     if strict:
-        require_none(malformed_records(parsed, "read_biosamples"))
-    return biosample_table(parsed, include_raw=include_raw)
+        require_none(malformed_records(parse_records(suspect_records(records), BIOSAMPLE_COLUMNS), "read_biosamples"))
+    return biosample_table(parse_records(records, BIOSAMPLE_COLUMNS), include_raw=include_raw, strict=strict)
 
 
 def family_records(spark: SparkSession, path) -> DataFrame:
@@ -577,7 +620,7 @@ def read_archive_links(spark: SparkSession, path, *, target: str = "sra", strict
         ORD, F.posexplode("r.Link.Id").alias("item", "id")
     )
     cleaned = ids.select(_clean(F.col("id")).alias("id"), F.struct(f"{ORD}.*", "item").alias(ORD))
-    linked = distinct_in_order(cleaned.filter(F.col("id").isNotNull()), ["id"])
-    if strict and linked.limit(1).count() == 0:
+    named = cleaned.filter(F.col("id").isNotNull())
+    if strict and named.isEmpty():
         raise ValueError(f"no {target} records are linked")
-    return linked
+    return distinct_in_order(named, ["id"])

@@ -312,3 +312,25 @@ def test_texts_and_references_survive(spark, tmp_path):
     xml = "<LIBRARY_LAYOUT><PAIRED NOMINAL_LENGTH='&#51;00' note=\"a &amp; 'b'\"" + " " * 20_000 + "/></LIBRARY_LAYOUT>"
     read = spark.createDataFrame([(xml,), ("<LIBRARY_LAYOUT><SINGLE/></LIBRARY_LAYOUT>",), (None,)], "xml STRING").select(ax.layout_properties(F.col("xml")).alias("p"))
     assert [r["p"] for r in read.collect()][:2] == [{"NOMINAL_LENGTH": "300", "note": "a & 'b'"}, {}]
+
+
+def parses(df):
+    """How often a plan parses the text of each record."""
+    return df._jdf.queryExecution().optimizedPlan().toString().count("from_xml(")
+
+
+def test_records_are_parsed_once(spark, tmp_path):
+    """Filters on fields of the struct do not parse the text once more."""
+    package_file(tmp_path / "p.xml", FIRST, SECOND)
+    bundle = ax.read_packages(spark, str(tmp_path / "p.xml"))
+    assert parses(bundle.runs.select("accession")) == 1
+    assert parses(bundle.experiments.select("accession", "title")) == 2  # the record, and the attributes of its layout
+    (tmp_path / "l.xml").write_text("<LinkSetDb><DbTo>sra</DbTo><Link><Id>5</Id></Link></LinkSetDb>")
+    assert parses(ax.read_archive_links(spark, str(tmp_path / "l.xml")).select("id")) == 1
+
+
+def test_text_that_breaks_without_its_tags(spark, tmp_path):
+    """Taking out tags may join a ``]]>``, which is not well formed: found by the strict check."""
+    package_file(tmp_path / "p.xml", FIRST.replace("</TITLE>", "]]<b></b>></TITLE>", 1))
+    with pytest.raises(ValueError, match="malformed"):
+        ax.read_packages(spark, str(tmp_path / "p.xml"))
