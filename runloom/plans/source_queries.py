@@ -192,6 +192,10 @@ def fasta_problems(t: Tables) -> DataFrame:
     return fasta_violations(t.spark, _written(t, "fasta", late)).groupBy("detail").agg(F.count(F.lit(1)).alias("n"))
 
 
+# Customers of successive keys whose samples share a document, one of each nation.
+DOCUMENT_SAMPLES = 10_000
+
+
 @query(
     "document_samples",
     """SELECT 'S' || c_custkey AS accession, c_mktsegment || CASE WHEN c_custkey % 3 = 0 THEN '|' || c_name ELSE '' END AS segment FROM customer""",
@@ -201,11 +205,10 @@ def document_samples(t: Tables) -> DataFrame:
     many = F.to_json(F.array("c_mktsegment", "c_name"))
     value = F.when(F.col("c_custkey") % 3 == 0, many).otherwise(_say('"', F.col("c_mktsegment"), '"'))
     sample = _say('{"accession": "S', F.col("c_custkey"), '", "attributes": {"segment": ', value, "}}")
-    listed = t.customer.groupBy("c_nationkey").agg(F.concat_ws(",", F.collect_list(sample)).alias("samples"))
-    text = listed.repartition("c_nationkey").select(F.col("c_nationkey"), _say('{"sra_samples": [', F.col("samples"), "]}").alias("value"))
-    path = _path(t, "documents")
-    text.write.partitionBy("c_nationkey").text(path)
-    bundle = collections_from_document(t.spark, path)
+    part = (F.col("c_custkey") / DOCUMENT_SAMPLES).cast("bigint")
+    listed = t.customer.groupBy("c_nationkey", part.alias("part")).agg(F.concat_ws(",", F.collect_list(sample)).alias("samples"))
+    path = _written(t, "documents", listed.select(_say('{"sra_samples": [', F.col("samples"), "]}").alias("value")))
+    bundle = collections_from_document(t.spark, path, lines=True)
     return bundle.sra_samples.select("accession", F.array_join(F.col("attributes")["segment"], "|").alias("segment"))
 
 

@@ -38,17 +38,24 @@ def load_bundle(spark: SparkSession, directory: str, *, format: str = "parquet")
     return Bundle(**found).filled(spark)
 
 
-def collections_from_document(spark: SparkSession, path: str) -> Bundle:
-    """A bundle from JSON documents with one list per collection; absent ones are empty."""
+def collections_from_document(spark: SparkSession, path: str, *, lines: bool = False) -> Bundle:
+    """A bundle from JSON documents with one list per collection; absent ones are empty.
+
+    A file is one document, which one task reads as a whole, or with ``lines`` one per line,
+    so files are read in splits; writers keep large collections in many documents.
+    """
     wide = T.StructType(
         [T.StructField(f.name, T.ArrayType(_loose(struct_type(f.name)))) for f in fields(Bundle)]
     )
-    documents = spark.read.schema(wide).option("multiLine", True).json(path)
     found = {}
     for field in fields(Bundle):
+        # A reader parses what its schema names, so it names this collection only.
+        documents = spark.read.schema(T.StructType([wide[field.name]])).option("multiLine", not lines).json(path)
+        place = [F.col(f"_metadata.{c}").alias(c) for c in ("file_path", "file_block_start")] if lines else [F.col("_metadata.file_path").alias("file")]
+        order = F.struct(F.col("file_path").alias("file"), F.col("file_block_start").alias("split"), "row_id", "pos") if lines else F.struct("file", "pos")
         rows = documents.select(
-            F.col("_metadata.file_path").alias("file"), F.posexplode(field.name).alias("pos", "row")
-        ).select("row.*", F.struct("file", "pos").alias(ORD))
+            *place, F.monotonically_increasing_id().alias("row_id"), F.posexplode(field.name).alias("pos", "row")
+        ).select("row.*", order.alias(ORD))
         if "attributes" in rows.columns:
             rows = rows.withColumn("attributes", _attribute_lists(F.col("attributes")))
         found[field.name] = rows

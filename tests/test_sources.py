@@ -334,3 +334,12 @@ def test_text_that_breaks_without_its_tags(spark, tmp_path):
     package_file(tmp_path / "p.xml", FIRST.replace("</TITLE>", "]]<b></b>></TITLE>", 1))
     with pytest.raises(ValueError, match="malformed"):
         ax.read_packages(spark, str(tmp_path / "p.xml"))
+
+
+def test_documents_by_lines(spark, tmp_path):
+    """Documents of one file are rows of their own, so no task needs the whole file."""
+    samples = [{"sra_samples": [{"accession": f"S{i}{j}", "attributes": {"organ": ["root", "cap"] if j else "stem"}} for j in range(2)]} for i in range(3)]
+    (tmp_path / "d.json").write_text("\n".join(json.dumps(d) for d in samples))
+    rows = collections_from_document(spark, str(tmp_path / "d.json"), lines=True).sra_samples.orderBy("_ord").collect()
+    assert [r["accession"] for r in rows] == ["S00", "S01", "S10", "S11", "S20", "S21"]
+    assert [r["attributes"]["organ"] for r in rows[:2]] == [["stem"], ["root", "cap"]]
