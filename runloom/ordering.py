@@ -34,24 +34,34 @@ def with_order(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumn(ORD, F.monotonically_increasing_id())
 
 
-def _pick(df: DataFrame, keys: Sequence[str], chooser, order: Column, extra=()) -> DataFrame:
-    values = [c for c in df.columns if c not in keys]
+def _pick(df: DataFrame, keys: Sequence[str], chooser, order: Column, extra=(), apart: Sequence[str] = ()) -> DataFrame:
+    """One row per key; the columns ``apart`` are among the ``extra`` aggregates, not in the row."""
+    values = [c for c in df.columns if c not in keys and c not in apart]
     picked = df.groupBy(*keys).agg(
         chooser(F.struct(*[F.col(c) for c in values]), order).alias("_row"), *extra
     )
     kept = [F.col("_row")[c].alias(c) for c in values]
-    added = [c for c in picked.columns if c not in keys and c != "_row"]
-    return picked.select(*keys, *kept, *added).select(*df.columns, *added)
+    added = [c for c in picked.columns if c not in (*keys, *apart, "_row")]
+    return picked.select(*keys, *kept, *apart, *added).select(*df.columns, *added)
+
+
+def _pick_by(df: DataFrame, keys: list[str], chooser, bound, order: str | Column) -> DataFrame:
+    """``_pick`` with an order column as an aggregate of its own, which goes where nobody reads it."""
+    if not isinstance(order, str):
+        return _pick(df, keys, chooser, order)
+    if order in keys or set(df.columns) <= {*keys, order}:
+        return _pick(df, keys, chooser, F.col(order))
+    return _pick(df, keys, chooser, F.col(order), [bound(order).alias(order)], [order])
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order: str | Column = ORD) -> DataFrame:
     """One whole row per key: the first in order. Null keys form a group of their own."""
-    return _pick(df, list(keys), F.min_by, F.col(order) if isinstance(order, str) else order)
+    return _pick_by(df, list(keys), F.min_by, F.min, order)
 
 
 def keep_last(df: DataFrame, keys: Sequence[str], order: str | Column = ORD) -> DataFrame:
     """One whole row per key: the last in order."""
-    return _pick(df, list(keys), F.max_by, F.col(order) if isinstance(order, str) else order)
+    return _pick_by(df, list(keys), F.max_by, F.max, order)
 
 
 def union_first_wins(target: DataFrame, source: DataFrame, key: str) -> DataFrame:
