@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, NumericType
 
 from ..ordering import ORD, distinct_in_order, keep_first, with_order
 from ..session import cut_lineage
@@ -75,11 +76,14 @@ def merge_few_duplicates(df: DataFrame, key: str = RUN) -> DataFrame:
     A first pass counts the keys by a 64-bit hash. Rows whose hash occurs once are their own
     merge and stay where they are; the others alone are shuffled. Hashes that several rows
     share are broadcast only after they are counted, up to ``FEW_REPEATS``; beyond, all rows
-    are merged.
+    are merged. Where there are none, the table is its own merge and read no second time.
     """
     hashed = df.withColumn("_hash", F.xxhash64(f"`{key}`"))
     repeated = cut_lineage(hashed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_hash"))
-    if repeated.count() > FEW_REPEATS:
+    found = repeated.count()
+    if not found:
+        return df.withColumn("_conflicts", F.array().cast("array<string>"))
+    if found > FEW_REPEATS:
         return merge_duplicates(df, key)
     several = F.broadcast(repeated)
     alone = hashed.join(several, "_hash", "left_anti").drop("_hash").withColumn("_conflicts", F.array().cast("array<string>"))
@@ -90,20 +94,29 @@ def merge_few_duplicates(df: DataFrame, key: str = RUN) -> DataFrame:
 def contradictions(df: DataFrame, key: str = RUN) -> DataFrame:
     """``(key, _conflicts)`` of the keys whose copies differ.
 
-    Non-null values are compared by the bounds of two independent 64-bit hashes, so the
-    aggregate works on integers in place and neither sorts nor carries a value. Values that
-    differ and agree in both hashes are not to be expected before some 2^64 values of one key.
+    Numbers are compared by their own bounds, other non-null values by the bounds of two
+    independent 64-bit hashes, so the aggregate works on numbers in place and neither sorts nor
+    carries a text. Values that differ and agree in both hashes are not to be expected before
+    some 2^64 values of one key.
     """
     values = [c for c in df.columns if c not in (key, ORD)]
+    numbers = {f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)}
 
     def bounds(c: str) -> list[Column]:
         column = F.col(f"`{c}`")
+        if c in numbers:
+            return [F.min(column).alias(f"lo1 {c}"), F.max(column).alias(f"hi1 {c}")]
         first = F.when(column.isNotNull(), F.xxhash64(column))
         second = F.when(column.isNotNull(), F.xxhash64(F.lit("second"), column))
         return [pick(h).alias(f"{name} {c}") for h, n in ((first, 1), (second, 2)) for pick, name in ((F.min, f"lo{n}"), (F.max, f"hi{n}"))]
 
     grouped = df.groupBy(F.col(f"`{key}`").alias(key)).agg(F.count(F.lit(1)).alias("_n"), *[b for c in values for b in bounds(c)])
-    differ = [F.when((F.col(f"`lo1 {c}`") != F.col(f"`hi1 {c}`")) | (F.col(f"`lo2 {c}`") != F.col(f"`hi2 {c}`")), F.lit(c)) for c in values]
+
+    def unequal(c: str) -> Column:
+        differs = [F.col(f"`lo{n} {c}`") != F.col(f"`hi{n} {c}`") for n in ((1,) if c in numbers else (1, 2))]
+        return reduce(lambda a, b: a | b, differs)
+
+    differ = [F.when(unequal(c), F.lit(c)) for c in values]
     names = F.array_compact(F.array(*differ)) if differ else F.array().cast("array<string>")
     return grouped.select(F.col(f"`{key}`").alias(key), names.alias("_conflicts")).filter(F.size("_conflicts") > 0)
 

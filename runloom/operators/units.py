@@ -139,46 +139,62 @@ def species_conflicts(summary: DataFrame) -> DataFrame:
     )
 
 
-def unit_members(df: DataFrame, group_column: str) -> DataFrame:
+def unit_members(df: DataFrame, group_column: str, *, unique_runs: bool = False) -> DataFrame:
     """Distinct non-empty list values per unit with the order of first appearance.
 
     The rows are grouped by unit, field *and* value, so a unit with a large share of
-    the catalog is spread over all tasks.
+    the catalog is spread over all tasks. In a catalog of ``unique_runs`` every run is one
+    row, so runs are not grouped.
     """
-    pairs = []
+    pairs, names = [], []
     for kind, candidates in MEMBER_COLUMNS.items():
         present = _present(df, candidates)
         if present:
             pairs.append(
                 F.struct(F.lit(kind).alias("kind"), F.col(f"`{present[0]}`").cast("string").alias("value"))
             )
-    exploded = df.select(
-        _key(df, group_column).alias("unit_id"), ORD, F.explode(F.array(*pairs)).alias("m")
-    ).filter("m.value IS NOT NULL AND m.value <> ''")
+            names.append(kind)
+    shared = [p for p, kind in zip(pairs, names) if not (unique_runs and kind == "run_accessions")]
+    own = [p for p, kind in zip(pairs, names) if unique_runs and kind == "run_accessions"]
+
+    def listed(chosen: list[Column]) -> DataFrame:
+        return df.select(
+            _key(df, group_column).alias("unit_id"), ORD, F.explode(F.array(*chosen)).alias("m")
+        ).filter("m.value IS NOT NULL AND m.value <> ''")
+
+    parts = [_first_members(listed(shared))] if shared else []
+    parts += [listed(own).select("unit_id", "m.kind", "m.value", ORD)] if own else []
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _first_members(exploded: DataFrame) -> DataFrame:
     return exploded.groupBy("unit_id", F.col("m.kind").alias("kind"), F.col("m.value").alias("value")).agg(
         F.min(ORD).alias(ORD)
     )
 
 
-def unit_run_sizes(df: DataFrame, group_column: str) -> DataFrame:
-    """Size per unit and run; the last row of a run wins."""
+def unit_run_sizes(df: DataFrame, group_column: str, *, unique_runs: bool = False) -> DataFrame:
+    """Size per unit and run; the last row of a run wins, if there can be several."""
     size_mb = F.col("size_MB") if "size_MB" in df.columns else F.lit(None)
     size = F.coalesce(F.trim(size_mb.cast("string")).try_cast("double"), F.lit(0.0)) / 1000
-    return (
-        df.filter(F.coalesce(F.col("Run").cast("string"), F.lit("")) != "")
-        .groupBy(_key(df, group_column).alias("unit_id"), F.col("Run").cast("string").alias("run"))
-        .agg(F.max_by(size, F.col(ORD)).alias("size_gb"))
-    )
+    named = df.filter(F.coalesce(F.col("Run").cast("string"), F.lit("")) != "")
+    keys = [_key(df, group_column).alias("unit_id"), F.col("Run").cast("string").alias("run")]
+    if unique_runs:
+        return named.select(*keys, size.alias("size_gb"))
+    return named.groupBy(*keys).agg(F.max_by(size, F.col(ORD)).alias("size_gb"))
+
 
+def group_units(df: DataFrame, group_column: str, *, unique_runs: bool = False) -> Units:
+    """Group a run table into units; see ``Units`` for the shape of the result.
 
-def group_units(df: DataFrame, group_column: str) -> Units:
-    """Group a run table into units; see ``Units`` for the shape of the result."""
+    ``unique_runs`` says that the table has one row per run, as merged catalogs do.
+    """
     summary = summarize_units(df, group_column)
     hidden = [c for c in summary.columns if c.startswith("_") and c != ORD]
     return Units(
         table=summary.drop(*hidden),
-        members=unit_members(df, group_column),
-        run_sizes=unit_run_sizes(df, group_column),
+        members=unit_members(df, group_column, unique_runs=unique_runs),
+        run_sizes=unit_run_sizes(df, group_column, unique_runs=unique_runs),
         violations=species_conflicts(summary),
     )
 

@@ -176,7 +176,7 @@ def catalog_audit(t: Tables) -> DataFrame:
 )
 def unit_summaries(t: Tables) -> DataFrame:
     """Units by BioSample."""
-    table = un.group_units(clean_catalog(t), "BioSample").table
+    table = un.group_units(clean_catalog(t), "BioSample", unique_runs=True).table
     return table.drop(ORD).withColumn("total_size_gb", F.round("total_size_gb", 6))
 
 
@@ -204,7 +204,9 @@ def _members_sql(unit: str) -> str:
 )
 def unit_members(t: Tables) -> DataFrame:
     """Distinct list values per unit with their first appearance."""
-    members = un.unit_members(clean_catalog(t), "BioSample")
+    # The first by the whole order begins with the first order and line, all that is returned.
+    catalog = clean_catalog(t).withColumn(ORD, F.struct(f"{ORD}.l_orderkey", f"{ORD}.l_linenumber"))
+    members = un.unit_members(catalog, "BioSample", unique_runs=True)
     return members.select(
         "unit_id",
         "kind",
@@ -222,7 +224,7 @@ def unit_members(t: Tables) -> DataFrame:
 )
 def unit_species_conflicts(t: Tables) -> DataFrame:
     """Experiments that mix species."""
-    return un.group_units(clean_catalog(t), "Experiment").violations.select("key", "detail")
+    return un.group_units(clean_catalog(t), "Experiment", unique_runs=True).violations.select("key", "detail")
 
 
 @query(
@@ -231,7 +233,7 @@ def unit_species_conflicts(t: Tables) -> DataFrame:
 )
 def unit_run_sizes(t: Tables) -> DataFrame:
     """Size per unit and run."""
-    sizes = un.unit_run_sizes(clean_catalog(t), "BioSample")
+    sizes = un.unit_run_sizes(clean_catalog(t), "BioSample", unique_runs=True)
     return sizes.withColumn("size_gb", F.round("size_gb", 9))
 
 
@@ -243,7 +245,7 @@ def unit_run_sizes(t: Tables) -> DataFrame:
 )
 def oversized(t: Tables) -> DataFrame:
     """Runs above a size setting."""
-    return oversized_runs(un.unit_run_sizes(clean_catalog(t), "BioSample"), "90G").select("key", "detail")
+    return oversized_runs(un.unit_run_sizes(clean_catalog(t), "BioSample", unique_runs=True), "90G").select("key", "detail")
 
 
 @query(
@@ -254,7 +256,7 @@ def oversized(t: Tables) -> DataFrame:
 )
 def packed_experiment_lists(t: Tables) -> DataFrame:
     """Ordered arrays per experiment, in bounded chunks."""
-    packed = pack_ordered(un.unit_members(clean_catalog(t), "Experiment"), ["unit_id", "kind"], "value")
+    packed = pack_ordered(un.unit_members(clean_catalog(t), "Experiment", unique_runs=True), ["unit_id", "kind"], "value")
     return packed.select("unit_id", "kind", F.array_join("values", ",").alias("listed"), "n_chunks")
 
 
@@ -284,13 +286,15 @@ def _entity_sql(column: str) -> str:
 @query("entity_samples", _entity_sql("Sample"))
 def entity_samples(t: Tables) -> DataFrame:
     """First run of every sample."""
-    return cat.RunCatalog(catalog_view(t)).normalized_entities()["sra_samples"].select("Sample", "Run", "TaxID", "bases")
+    catalog = cat.RunCatalog(catalog_view(t)).select("Sample", "Run", "TaxID", "bases")
+    return catalog.normalized_entities()["sra_samples"].select("Sample", "Run", "TaxID", "bases")
 
 
 @query("entity_biosamples", _entity_sql("BioSample"))
 def entity_biosamples(t: Tables) -> DataFrame:
     """First run of every BioSample."""
-    return cat.RunCatalog(catalog_view(t)).normalized_entities()["biosamples"].select("BioSample", "Run", "TaxID", "bases")
+    catalog = cat.RunCatalog(catalog_view(t)).select("BioSample", "Run", "TaxID", "bases")
+    return catalog.normalized_entities()["biosamples"].select("BioSample", "Run", "TaxID", "bases")
 
 
 @query(
@@ -331,7 +335,7 @@ FP AS (SELECT unit_id, L.taxid, accession AS genome_pin, sha256(
 
 def fingerprints(t: Tables) -> DataFrame:
     """Fingerprint of every BioSample unit of the clean catalog."""
-    grouped = un.group_units(clean_catalog(t), "BioSample")
+    grouped = un.group_units(clean_catalog(t), "BioSample", unique_runs=True)
     pins = t.nation.filter("n_nationkey % 5 = 0").select(
         F.col("n_nationkey").cast("bigint").alias("taxid"),
         F.concat(F.lit("GCF_"), F.col("n_nationkey")).alias("accession"),

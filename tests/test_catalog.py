@@ -226,3 +226,41 @@ def test_hashes_find_the_conflicts_that_values_show(spark):
     plan = contradictions(table)._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
     assert contradictions(table.select("Run", "_ord")).isEmpty() and contradictions(table.limit(0)).isEmpty()
+
+
+def test_first_rows_carry_what_is_read(spark):
+    """The order decides which row is first, but is no part of the row where nobody reads it."""
+    from runloom.ordering import keep_first, keep_last
+
+    rows = spark.createDataFrame([("a", 3, "x"), ("a", 1, "y"), ("b", 2, "z")], "k STRING, _ord INT, v STRING")
+    assert sorted(tuple(r) for r in keep_first(rows, ["k"]).collect()) == [("a", 1, "y"), ("b", 2, "z")]
+    assert sorted(tuple(r) for r in keep_last(rows, ["k"]).collect()) == [("a", 3, "x"), ("b", 2, "z")]
+    plan = keep_first(rows, ["k"]).select("k", "v")._jdf.queryExecution().optimizedPlan().toString()
+    assert "_ord, _ord" not in plan
+
+
+def test_runs_of_a_merged_catalog_are_not_grouped(spark):
+    rows = spark.createDataFrame(
+        [("r1", "u", "x", 1.0, 1), ("r2", "u", "x", 2.0, 2), ("r3", "w", "y", 3.0, 3)], "Run STRING, BioSample STRING, Experiment STRING, size_MB DOUBLE, _ord INT"
+    )
+    from runloom.operators import catalog as cat
+    from runloom.operators import units as un
+
+    clean = cat.without_conflicts(cat.merge_few_duplicates(rows))
+    assert "Join" not in clean._jdf.queryExecution().optimizedPlan().toString()
+    for build in (un.unit_run_sizes, un.unit_members):
+        plain, unique = build(clean, "BioSample"), build(clean, "BioSample", unique_runs=True)
+        assert sorted(map(str, unique.collect())) == sorted(map(str, plain.collect()))
+    assert "Aggregate" not in un.unit_run_sizes(clean, "BioSample", unique_runs=True)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_numbers_contradict_by_their_own_bounds(spark):
+    from runloom.operators import catalog as cat
+
+    rows = spark.createDataFrame(
+        [("a", 1, 2.0, "x", 1), ("a", 1, 2.5, "x", 2), ("b", 1, None, "y", 3), ("b", 1, 1.0, "z", 4), ("c", 4, 1.0, "q", 5)],
+        "Run STRING, n INT, size DOUBLE, s STRING, _ord INT",
+    )
+    found = cat.contradictions(rows)
+    assert sorted((r["Run"], list(r["_conflicts"])) for r in found.collect()) == [("a", ["size"]), ("b", ["s"])]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") <= 8
