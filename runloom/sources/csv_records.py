@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..ordering import ORD
+from ..session import cut_lineage
 
-_SUMMARY = "file STRING, split BIGINT, odd BOOLEAN, starts_outside BIGINT, starts_inside BIGINT"
+_SUMMARY = "file STRING, split BIGINT, odd BOOLEAN, starts_outside BIGINT, starts_inside BIGINT, any_odd BOOLEAN, first STRING"
 _LINES = "file STRING, number BIGINT, split BIGINT, row BIGINT, value STRING, whole BOOLEAN"
 
 
@@ -51,15 +52,15 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         odd = _odd_quotes(batch.column("value"))
         for key, low, high in _runs(batch):
-            state = held.setdefault(key, [False, 0, 0])
+            state = held.setdefault(key, [False, 0, 0, False, None if odd[low] else batch.column("value")[low].as_py()])
             inside = _inside(odd[low:high], state[0])
             within = int(inside[:-1].sum())
             # Entered inside quotes, exactly the other lines begin a record.
-            state[:] = [bool(inside[-1]), state[1] + high - low - within, state[2] + within]
+            state[:4] = [bool(inside[-1]), state[1] + high - low - within, state[2] + within, state[3] or bool(odd[low:high].any())]
     rows = [(*key, *state) for key, state in held.items()]
-    columns = list(zip(*rows)) or [()] * 5
-    types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
-    names = ["file", "split", "odd", "starts_outside", "starts_inside"]
+    columns = list(zip(*rows)) or [()] * 7
+    types = [pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.bool_(), pa.string()]
+    names = ["file", "split", "odd", "starts_outside", "starts_inside", "any_odd", "first"]
     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
@@ -82,6 +83,22 @@ def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, ["file", "number", "split", "row", "value", "whole"])
 
 
+def _lines(spark: SparkSession, path) -> DataFrame:
+    paths = path if isinstance(path, str) else list(dict.fromkeys(path))
+    return spark.read.text(paths, lineSep="\n").select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
+    )
+
+
+def _split_summaries(lines: DataFrame) -> DataFrame:
+    """One row per split of the input, kept, since it is asked for several times.
+
+    ``any_odd`` says that a line has an odd number of quotes, ``first`` is the first line if
+    it has not, so that of the first split is the file's first record.
+    """
+    return cut_lineage(lines.mapInArrow(_summaries, _SUMMARY))
+
+
 def csv_records(spark: SparkSession, path) -> DataFrame:
     """``(file, number, record)``: the text of every record, numbered from 0 in its file.
 
@@ -89,11 +106,11 @@ def csv_records(spark: SparkSession, path) -> DataFrame:
     is never closed makes the rest of its file one record, as it does for any reader. A
     path that is given twice is read once.
     """
-    paths = path if isinstance(path, str) else list(dict.fromkeys(path))
-    lines = spark.read.text(paths, lineSep="\n").select(
-        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split")
-    )
-    splits = lines.mapInArrow(_summaries, _SUMMARY)
+    lines = _lines(spark, path)
+    return _records(lines, _split_summaries(lines))
+
+
+def _records(lines: DataFrame, splits: DataFrame) -> DataFrame:
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     entered = splits.withColumn("entered", F.coalesce(F.sum(F.col("odd").cast("int")).over(before), F.lit(0)) % 2 == 1)
     starts = F.when(F.col("entered"), F.col("starts_inside")).otherwise(F.col("starts_outside"))
@@ -101,9 +118,11 @@ def csv_records(spark: SparkSession, path) -> DataFrame:
     # One row per split of the input: a broadcast keeps the lines where they are, in order.
     placed = lines.join(F.broadcast(entered.select("file", "split", "entered", "before")), ["file", "split"])
     numbered = placed.select("value", "file", "split", "entered", "before").mapInArrow(_numbered, _LINES)
-    parts = F.array_sort(F.collect_list(F.struct("split", "row", "value")))
-    joined = numbered.filter(~F.col("whole")).groupBy("file", "number").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("record"))
-    rows = numbered.filter("whole").select("file", "number", F.col("value").alias("record")).unionByName(joined)
+    rows = numbered.filter("whole").select("file", "number", F.col("value").alias("record"))
+    if not splits.filter("any_odd").isEmpty():  # else every line is a record and none has to be joined
+        parts = F.array_sort(F.collect_list(F.struct("split", "row", "value")))
+        joined = numbered.filter(~F.col("whole")).groupBy("file", "number").agg(F.array_join(F.transform(parts, lambda p: p["value"]), "\n").alias("record"))
+        rows = rows.unionByName(joined)
     return rows.withColumn("record", F.regexp_replace("record", "\r$", ""))
 
 
@@ -123,8 +142,14 @@ def read_csv_table(spark: SparkSession, path) -> DataFrame:
     Files with equal headers are parsed together; those with others are united by name.
     The headers, one short text per kind of file, come to the driver.
     """
-    records = csv_records(spark, path)
-    heads = records.filter("number = 0").select("file", F.col("record").alias("header"))
+    lines = _lines(spark, path)
+    splits = _split_summaries(lines)
+    records = _records(lines, splits)
+    begins = splits.filter("split = 0")
+    if begins.filter("first IS NULL").isEmpty():
+        heads = begins.select("file", F.regexp_replace("first", "\r$", "").alias("header"))
+    else:  # a header of several lines
+        heads = records.filter("number = 0").select("file", F.col("record").alias("header"))
     kinds = sorted(r["header"] for r in heads.select("header").distinct().collect())
     body = records.filter("number > 0 AND record <> ''")
     table = None

@@ -264,3 +264,18 @@ def test_numbers_contradict_by_their_own_bounds(spark):
     found = cat.contradictions(rows)
     assert sorted((r["Run"], list(r["_conflicts"])) for r in found.collect()) == [("a", ["size"]), ("b", ["s"])]
     assert found._jdf.queryExecution().optimizedPlan().toString().count("xxhash64") <= 8
+
+
+def test_plain_csv_is_numbered_once(spark, tmp_path):
+    """Where every line is a record, none has to be joined; headers come from the splits."""
+    from runloom.sources.csv_records import read_csv_table
+
+    (tmp_path / "plain.csv").write_text('Run,note\r\nr1,"a, b"\r\nr2,c\r\n')
+    (tmp_path / "many.csv").write_text('Run,"no\nte"\nr3,"x\ny"\nr4,z\n')
+    plain = read_csv_table(spark, str(tmp_path / "plain.csv"))
+    assert [tuple(r)[:2] for r in plain.orderBy("_ord").collect()] == [("r1", "a, b"), ("r2", "c")]
+    text = plain._jdf.queryExecution().optimizedPlan().toString()
+    assert text.count("MapInArrow") == 1 and "Union" not in text
+    many = read_csv_table(spark, str(tmp_path / "many.csv"))
+    assert many.columns[:2] == ["Run", "no\nte"]
+    assert [tuple(r)[:2] for r in many.orderBy("_ord").collect()] == [("r3", "x\ny"), ("r4", "z")]
