@@ -194,9 +194,9 @@ class MetadataLoad:
             .withColumnRenamed("accession", "experiment_accession")
         )
         packages = now.packages.join(touched, "experiment_accession", "left_semi")
-        done = [complete_experiments(packages, now.experiments, now.sra_samples, now.biosamples, include_raw=raw) for raw in (False, True)]
+        experiments = now.experiments.join(touched.withColumnRenamed("experiment_accession", "accession"), "accession", "left_semi")
         seen = F.struct(F.lit(last).cast("bigint").alias("batch"), F.lit("").alias("at"))
-        rows = completeness_index(packages, now.sra_samples, *done).withColumns({ORD: seen, "_seen": seen})
+        rows = completeness_index(packages, experiments, now.sra_samples, now.biosamples).withColumns({ORD: seen, "_seen": seen})
         path = self.log.fresh_path()
         entry = {"path": path, "collections": self._write(path, {"index": rows}), "sources": {}, "judged": last}
         self.log.merge_due(self.log.append(entry), self._merge)

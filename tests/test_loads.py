@@ -131,3 +131,29 @@ def test_index_follows_both_kinds(spark, tmp_path):
     empty = MetadataLoad(spark, str(tmp_path / "empty"))
     empty.refresh_index()
     assert empty.index().isEmpty() and empty.current().runs.isEmpty() and empty.log.size() == 0
+
+
+def test_index_joins_each_link_once(spark):
+    """The index agrees with ``complete_experiments`` and does not join the links anew for each verdict."""
+    full = Bundle(
+        packages=collection(
+            spark,
+            "packages",
+            [{"accession": f"P{n}", "experiment_accession": f"X{n % 7}" if n else "", "sra_sample_accession": ["S0", "S1", "S2", "S9", ""][n % 5]} for n in range(12)],
+        ),
+        experiments=collection(spark, "experiments", [{"accession": f"X{n}", "raw": "r" if n % 2 else None} for n in (0, 1, 2, 3, 5, 8)]),
+        sra_samples=collection(spark, "sra_samples", [{"accession": f"S{n}", "biosample": b, "raw": r} for n, (b, r) in enumerate([("B0", "r"), ("B1", "r"), ("", None)])]),
+        biosamples=collection(spark, "biosamples", [{"accession": "B0", "raw": "r"}]),
+    )
+    index = full.completeness_index()
+    rows = {r["experiment_accession"]: r for r in index.collect()}
+    for flag, raw in (("complete", False), ("raw_available", True)):
+        done = {r[0] for r in full.complete_experiment_accessions(include_raw=raw).collect()}
+        assert {x for x, r in rows.items() if r[flag]} == done and done
+    assert {x: r["sra_sample"] for x, r in rows.items()} == {"X0": "S2", "X1": "S9", "X2": "S2", "X3": "S0", "X4": "S1", "X5": "S0", "X6": "S1"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = full.completeness_index()._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("SortMergeJoin") == 2
