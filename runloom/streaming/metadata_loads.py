@@ -122,8 +122,14 @@ class MetadataLoad:
         empty = self.spark.createDataFrame([], _schema(name))
         return reduce(DataFrame.unionByName, parts) if parts else empty
 
+    def _current(self, segments: list[Segment], name: str) -> DataFrame:
+        """One row per key of a collection; a single table that has no key twice is that already."""
+        rows = self._rows(segments, name)
+        parts = [s.entry for s in segments if name in s.entry["collections"]]
+        return rows if len(parts) == 1 and name in parts[0].get("unique", ()) else _latest(name, rows)
+
     def _bundle(self, segments: list[Segment]) -> Bundle:
-        return Bundle(**{name: _latest(name, self._rows(segments, name)).drop("_seen") for name in COLLECTIONS})
+        return Bundle(**{name: self._current(segments, name).drop("_seen") for name in COLLECTIONS})
 
     def current(self) -> Bundle:
         """The latest record of every accession."""
@@ -131,7 +137,7 @@ class MetadataLoad:
 
     def index(self) -> DataFrame:
         """The completeness index."""
-        return _latest("index", self._rows(self.log.segments(), "index")).drop(ORD, "_seen")
+        return self._current(self.log.segments(), "index").drop(ORD, "_seen")
 
     def committed(self, source: str, batch: int) -> bool:
         """Whether a batch of a source is loaded; the batches of a source come in order."""
@@ -150,10 +156,13 @@ class MetadataLoad:
         for part in parts:
             for source, batch in part.entry["sources"].items():
                 sources[source] = max(batch, sources.get(source, -1))
-        return {"collections": written, "sources": sources, "judged": max(s.entry["judged"] for s in parts)}
+        return {"collections": written, "unique": names, "sources": sources, "judged": max(s.entry["judged"] for s in parts)}
+
+    def apply(self, incoming: Bundle, batch: int, source: str = "batch", *, unique: tuple[str, ...] = ()) -> None:
+        """Append a bundle as a delta and refresh the completeness index.
 
-    def apply(self, incoming: Bundle, batch: int, source: str = "batch") -> None:
-        """Append a bundle as a delta and refresh the completeness index."""
+        The collections named ``unique`` have one row per accession.
+        """
         if not self.committed(source, batch):
             path = self.log.fresh_path()
             tables = {}
@@ -165,7 +174,7 @@ class MetadataLoad:
                     known = [F.col(c) if c in rows.columns else F.lit(None).cast(t).alias(c) for c, t in ((f.name, f.dataType) for f in struct_type(name))]
                     tables[name] = rows.select(*known, unknown.alias(ORD), unknown.alias("_seen"))
             written = self._write(path, tables)
-            entry = {"path": path, "collections": written, "sources": {source: batch}, "judged": -1}
+            entry = {"path": path, "collections": written, "unique": sorted(unique), "sources": {source: batch}, "judged": -1}
             number = self.log.append(entry, lambda other: other["sources"].get(source, -1) < batch)
             if number is not None:
                 self.log.merge_due(number, self._merge)
@@ -193,12 +202,14 @@ class MetadataLoad:
             .union(named(now.packages.join(samples, "sra_sample_accession", "left_semi"), "experiment_accession"))
             .withColumnRenamed("accession", "experiment_accession")
         )
-        packages = now.packages.join(touched, "experiment_accession", "left_semi")
-        experiments = now.experiments.join(touched.withColumnRenamed("experiment_accession", "accession"), "accession", "left_semi")
+        packages, experiments = now.packages, now.experiments
+        if any("packages" in s.entry["collections"] for s in segments if s not in fresh):
+            packages = packages.join(touched, "experiment_accession", "left_semi")
+            experiments = experiments.join(touched.withColumnRenamed("experiment_accession", "accession"), "accession", "left_semi")
         seen = F.struct(F.lit(last).cast("bigint").alias("batch"), F.lit("").alias("at"))
         rows = completeness_index(packages, experiments, now.sra_samples, now.biosamples).withColumns({ORD: seen, "_seen": seen})
         path = self.log.fresh_path()
-        entry = {"path": path, "collections": self._write(path, {"index": rows}), "sources": {}, "judged": last}
+        entry = {"path": path, "collections": self._write(path, {"index": rows}), "unique": ["index"], "sources": {}, "judged": last}
         self.log.merge_due(self.log.append(entry), self._merge)
 
     def to_fetch(self, accessions: DataFrame, *, include_raw: bool = False, refresh: bool = False) -> DataFrame:
@@ -206,13 +217,15 @@ class MetadataLoad:
 
         An experiment is done if its records are all loaded and the index says so too.
         """
-        if refresh:
-            return fetch_plan(accessions, accessions, refresh=True)
+        return fetch_plan(accessions, accessions if refresh else self._complete(accessions, include_raw), refresh=refresh)
+
+    def _complete(self, accessions: DataFrame, include_raw: bool) -> DataFrame:
+        """The experiments of ``accessions`` whose records are all loaded and that the index calls complete."""
         now = self.current()
         packages = now.packages.join(accessions, "experiment_accession", "left_semi")
         done = complete_experiments(packages, now.experiments, now.sra_samples, now.biosamples, include_raw=include_raw)
-        index = self.index()
-        return fetch_plan(accessions, done, index.filter("raw_available") if include_raw else index)
+        listed = self.index().filter("complete AND raw_available" if include_raw else "complete")
+        return done.join(listed, "experiment_accession", "left_semi")
 
     def wanted_packages(self, records: DataFrame, *, scope: DataFrame | None = None, include_raw: bool = False, refresh: bool = False) -> DataFrame:
         """The package records that still have to be parsed, chosen by their text.
@@ -227,9 +240,11 @@ class MetadataLoad:
             runs = scope.filter(F.col("Run").isNotNull()).select(F.col("Run").cast("string").alias("_run"))
             owners = rows.select("experiment_accession", F.explode(named_runs(F.col("xml"))).alias("_run")).join(runs, "_run", "left_semi")
             rows = rows.join(owners.select("experiment_accession"), "experiment_accession", "left_semi")
-        missing = self.to_fetch(rows.filter("experiment_accession <> ''").select("experiment_accession"), include_raw=include_raw, refresh=refresh)
-        nameless = self.spark.createDataFrame([("",)], "experiment_accession STRING")
-        return rows.join(missing.union(nameless), "experiment_accession", "left_semi").drop("experiment_accession")
+        stored = {name for s in self.log.segments() for name in s.entry["collections"]}
+        if not refresh and {"packages", "experiments", "sra_samples"} <= stored:
+            done = self._complete(rows.select("experiment_accession"), include_raw)
+            rows = rows.join(done, "experiment_accession", "left_anti")
+        return rows.drop("experiment_accession")
 
     def _parsed(self, records: DataFrame, columns: str, batch: int, source: str) -> DataFrame:
         """Parse a micro-batch once into a table that all collections are cut from.
@@ -249,14 +264,15 @@ class MetadataLoad:
             return self.refresh_index()
         wanted = self.wanted_packages(records, scope=scope, include_raw=include_raw, refresh=refresh)
         parsed = self._parsed(wanted, PACKAGE_COLUMNS, batch, source)
-        self.apply(packages_bundle(parsed, include_raw=include_raw), batch, source)
+        bundle = packages_bundle(parsed, include_raw=include_raw)
+        self.apply(bundle, batch, source, unique=tuple(name for name in COLLECTIONS if name not in ("biosamples", "raw_sra_packages")))
 
     def apply_biosamples(self, records: DataFrame, batch: int, source: str = "biosamples", *, include_raw: bool = False) -> None:
         """Append a micro-batch of BioSample records."""
         if self.committed(source, batch):
             return self.refresh_index()
         parsed = self._parsed(records, BIOSAMPLE_COLUMNS, batch, source)
-        self.apply(Bundle(biosamples=biosample_table(parsed, include_raw=include_raw)), batch, source)
+        self.apply(Bundle(biosamples=biosample_table(parsed, include_raw=include_raw)), batch, source, unique=("biosamples",))
 
     def _load(self, landing: str, tag: str, checkpoint: str, apply, files: int | None):
         records = landed_records(self.spark, landing, tag, files)

@@ -157,3 +157,18 @@ def test_index_joins_each_link_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("SortMergeJoin") == 2
+
+
+def test_first_load_reads_texts_once(spark, tmp_path):
+    """With nothing stored no text is read to find what is complete, and a table without repeats is not merged."""
+    load = MetadataLoad(spark, str(tmp_path / "store"))
+    records = spark.createDataFrame([(PACKAGE.format(x=n), "f", 0) for n in ("X1", "X1", "X2")], "xml STRING, file STRING, split BIGINT")
+    chosen = load.wanted_packages(records)
+    assert chosen.count() == 3 and "Join" not in chosen._jdf.queryExecution().optimizedPlan().toString()
+    load.apply_packages(records, 0)
+    now = load.current()
+    assert sorted(r["accession"] for r in now.experiments.collect()) == ["X1", "X2"]
+    assert "Aggregate" not in now.experiments._jdf.queryExecution().optimizedPlan().toString()
+    repeated = collection(spark, "experiments", [{"accession": "X3", "title": t} for t in ("a", "b")])
+    load.apply(Bundle(experiments=repeated), 0, "other")
+    assert {r["accession"]: r["title"] for r in load.current().experiments.collect()} == {"X1": "t", "X2": "t", "X3": "b"}
