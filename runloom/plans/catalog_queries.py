@@ -97,7 +97,7 @@ def run_conflicts(t: Tables) -> DataFrame:
 )
 def first_run_conflicts(t: Tables) -> DataFrame:
     """The ten conflicts an error report names."""
-    return cat.first_conflicts(cat.merge_duplicates(catalog_view(t)))
+    return cat.first_contradictions(catalog_view(t))
 
 
 @query(

@@ -279,3 +279,21 @@ def test_plain_csv_is_numbered_once(spark, tmp_path):
     many = read_csv_table(spark, str(tmp_path / "many.csv"))
     assert many.columns[:2] == ["Run", "no\nte"]
     assert [tuple(r)[:2] for r in many.orderBy("_ord").collect()] == [("r3", "x\ny"), ("r4", "z")]
+
+
+def test_first_contradictions_early_late_and_few(spark, monkeypatch):
+    """The keys of the first rows suffice where they conflict; late copies count, and in the end all rows do."""
+    from runloom.operators import catalog as cat
+
+    monkeypatch.setattr(cat, "FIRST_ROWS", (4, 8))
+    schema = "Run STRING, a STRING, n INT, _ord BIGINT"
+    for shift, limit in ((0, 3), (20, 3), (0, 12), (35, 9)):
+        # Each run has a copy 40 rows later; runs from ``shift`` on differ there.
+        rows = [(f"R{i % 40}" if i % 40 else None, "x" if i < 40 or i % 40 < shift else "y", i % 40, i) for i in range(80)]
+        table = spark.createDataFrame(rows, schema).repartition(3)
+        expected = [tuple(r) for r in first_conflicts(merge_duplicates(table), limit=limit).collect()]
+        found = cat.first_contradictions(table, limit=limit)
+        assert [tuple(r) for r in found.collect()] == expected and len(expected) == min(limit, 40 - shift)
+        if shift == 0 and limit == 3:
+            # The whole table is not grouped for the result.
+            assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
