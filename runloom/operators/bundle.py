@@ -399,11 +399,16 @@ class Bundle:
         return completeness_index(self.packages, self.experiments, self.sra_samples, self.biosamples)
 
     def attach_to_runs(self, catalog):
-        """Left-join run, experiment, sample and BioSample facts onto a catalog."""
+        """Left-join run, experiment, sample and BioSample facts onto a catalog.
+
+        Runs and experiments are about as many as the rows of the catalog, so neither side is
+        broadcast. Their facts are one row per accession and are hashed by partition: the rows
+        of the catalog, which every join widens, pass by without being sorted.
+        """
         frame = catalog.frame
         for collection, key, facts in (
-            ("runs", "Run", lambda: run_columns(self.runs)),
-            ("experiments", "Experiment", lambda: experiment_columns(self.experiments, self.studies)),
+            ("runs", "Run", lambda: run_columns(self.runs).hint("shuffle_hash")),
+            ("experiments", "Experiment", lambda: experiment_columns(self.experiments, self.studies).hint("shuffle_hash")),
             ("sra_samples", "Sample", lambda: sample_columns(self.sra_samples)),
             ("biosamples", "BioSample", lambda: biosample_columns(self.biosamples)),
         ):

@@ -14,6 +14,8 @@ from .registry import Tables, query
 
 MISSING_SAMPLE_NATION = 7
 RAW_NATIONS = 12
+#: Lines that are joined and made distinct in one task, about.
+TASK_LINES = 500_000
 
 SQL_BUNDLE = f"""
 runs AS (SELECT DISTINCT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS accession, 'SRX' || l_orderkey AS experiment_accession, l_linenumber AS pos FROM lineitem),
@@ -52,6 +54,12 @@ def packages_of(t: Tables) -> DataFrame:
     )
 
 
+def spread_lines(t: Tables, *columns: str) -> DataFrame:
+    """Columns of the lines by order, in partitions of bounded size however many lines there are."""
+    tasks = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    return t.lineitem.select("l_orderkey", *columns).repartition(max(tasks, t.lineitem.count() // TASK_LINES), "l_orderkey")
+
+
 def bundle_of(t: Tables, *, with_runs: bool = True) -> bd.Bundle:
     """The test tables as a metadata bundle; see ``SQL_BUNDLE``.
 
@@ -133,7 +141,7 @@ def bundle_of(t: Tables, *, with_runs: bool = True) -> bd.Bundle:
         F.col("r_regionkey").alias(ORD),
     )
     runs = (
-        t.lineitem.select("l_orderkey", "l_linenumber")
+        spread_lines(t, "l_linenumber")
         .distinct()
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber").alias("accession"),
@@ -179,7 +187,8 @@ SQL_COMPLETE = """complete AS (SELECT DISTINCT p.experiment_accession, s.c_natio
 def attached_run_facts(t: Tables) -> DataFrame:
     """Catalog rows with the facts of their linked records."""
     frame = (
-        t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+        spread_lines(t, "l_linenumber", "l_suppkey")
+        .join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .select("l_orderkey", "l_linenumber", "l_suppkey", "o_custkey")
         .distinct()
         .select(
@@ -190,7 +199,7 @@ def attached_run_facts(t: Tables) -> DataFrame:
             F.struct("l_orderkey", "l_linenumber", "l_suppkey").alias(ORD),
         )
     )
-    attached = bundle_of(t).attach_to_runs(RunCatalog(frame)).frame
+    attached = bundle_of(t, with_runs=False).attach_to_runs(RunCatalog(frame)).frame
     return attached.select(
         "Run", "Experiment", "Sample", "BioSample", "sra_run_spots", "sra_run_size_gb", "sra_experiment_title",
         "sra_library_strategy", "sra_study_accession", "sra_study_title", "sra_bioproject",
