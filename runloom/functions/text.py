@@ -7,6 +7,8 @@ import io
 from html.parser import HTMLParser
 
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -29,6 +31,7 @@ SIMPLE_ENTITIES = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&#39
 OTHER_ENTITY = r"&(?:[A-Za-z]|#)"
 WELL_FORMED_TAG = r"""</?[A-Za-z][A-Za-z0-9]*+(?:\s++[A-Za-z_:][\w:.-]*+(?:\s*+=\s*+(?:"[^"<>]*+"|'[^'<>]*+'|[^\s"'<>=`]++))?+)*+\s*+/?>"""
 RAW_ELEMENTS = r"(?i)</?(?:script|style|textarea|title|xmp|iframe|noembed|noframes|noscript|plaintext)"
+OPEN_MARKUP = r"<(?:[A-Za-z/!?]|\z)"
 ODD_SPACE = "[\x1c-\x1f]"
 
 # Texts that stand for "no value" in attribute tables.
@@ -136,32 +139,43 @@ def plain_texts(values: pd.Series) -> pd.Series:
     return texts
 
 
-@F.pandas_udf(StringType())
-def _plain_text_batch(values: pd.Series) -> pd.Series:
-    return plain_texts(values)
+@F.arrow_udf(StringType())
+def _finished_texts(plain: pa.Array, left: pa.Array) -> pa.Array:
+    """The plain texts, where there is none that of the text left to the reader."""
+    if left.null_count == len(left):
+        return plain
+    unread = left.is_valid()
+    read = plain_texts(left.filter(unread).to_pandas())
+    return pc.replace_with_mask(plain, unread, pa.array(read, plain.type))
 
 
 def _simply_decoded(value: Column) -> Column:
     """Text after rounds of decoding the entities that need no table.
 
     The ampersand's own entity is decoded last in a round, so one round never decodes
-    what it has just made, as with a decoder that reads from left to right.
+    what it has just made, as with a decoder that reads from left to right. Rounds without
+    an ampersand or a semicolon have nothing to decode.
     """
-    for _ in range(ENTITY_ROUNDS):
+    def decoded(text: Column, _round: Column) -> Column:
+        result = text
         for entity, character in SIMPLE_ENTITIES.items():
-            value = F.replace(value, F.lit(entity), F.lit(character))
-    return value
+            result = F.replace(result, F.lit(entity), F.lit(character))
+        return F.when(F.contains(text, F.lit("&")) & F.contains(text, F.lit(";")), result).otherwise(text)
+
+    return F.reduce(F.array(*map(F.lit, range(ENTITY_ROUNDS))), value, decoded)
 
 
-def plain_in_jvm(value: Column) -> Column:
+def plain_in_jvm(value: Column, *, angles: bool = False) -> Column:
     """Text without markup where built-in functions can tell it, else null.
 
     That is where only entities of ``SIMPLE_ENTITIES`` occur and each ``<`` of a text with
-    tags begins a well-formed tag of an element whose content is text like any other.
+    tags begins a well-formed tag of an element whose content is text like any other. With
+    ``angles`` a ``<`` may also be text itself, where what follows it begins no markup.
     """
     def plain(decoded: Column) -> Column:
         untagged = F.regexp_replace(decoded, WELL_FORMED_TAG, "")
-        odd = F.contains(untagged, F.lit("<")) | decoded.rlike(RAW_ELEMENTS) | decoded.rlike(ODD_SPACE)
+        left = untagged.rlike(OPEN_MARKUP) if angles else F.contains(untagged, F.lit("<"))
+        odd = left | decoded.rlike(RAW_ELEMENTS) | decoded.rlike(ODD_SPACE)
         return (
             F.when(decoded.rlike(OTHER_ENTITY), F.lit(None).cast("string"))
             .when(~decoded.rlike(TAG_PATTERN), decoded)
@@ -176,8 +190,9 @@ def plain_in_jvm(value: Column) -> Column:
 def without_markup(value: Column) -> Column:
     """Text without presentation markup.
 
-    What ``plain_in_jvm`` cannot tell goes to an Arrow-batched function, which knows all
-    named entities and reads any markup; all other texts pass as null there.
+    What ``plain_in_jvm`` cannot tell is read by an Arrow-batched function, which knows all
+    named entities and reads any markup; all other texts pass through it as they are, so
+    that they are made plain once.
     """
-    plain = plain_in_jvm(value)
-    return F.coalesce(plain, _plain_text_batch(F.when(plain.isNull(), value)))
+    plain = plain_in_jvm(value, angles=True)
+    return _finished_texts(plain, F.when(plain.isNull(), value))
