@@ -431,7 +431,7 @@ def state_fold(t: Tables) -> DataFrame:
 @query("folded_states", f"WITH RECURSIVE {SQL_FOLD} SELECT unit_id, status, phase, attempts, fingerprint, claim_id FROM F WHERE is_last AND status IS NOT NULL")
 def folded_states(t: Tables) -> DataFrame:
     """Final state of every unit after the fold."""
-    return st.final_states(st.fold_events(fold_input(t), stale_seconds=7_200)).select(
+    return st.final_states(st.fold_events(fold_input(t), stale_seconds=7_200, last_only=True)).select(
         "unit_id", "status", "phase", "attempts", "fingerprint", "claim_id"
     )
 

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from runloom.functions.text import plain_in_jvm, plain_texts, without_markup
 from runloom.operators.catalog import RunCatalog
+from runloom.operators import state as st
 from runloom.plans import metadata_queries as mq
 from runloom.plans.registry import Tables
+from runloom.plans.work_queries import fold_input
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -68,3 +70,12 @@ def test_open_angles_that_are_text_stay_in_the_engine(spark):
     expected = plain_texts(pd.Series([r["raw"] for r in rows], dtype=object)).tolist()
     assert [(r["raw"], r["jvm"], e) for r, e in zip(rows, expected) if r["jvm"] is not None and r["jvm"] != e] == []
     assert rows[-1]["jvm"] == "1 < 2"
+
+
+def test_final_states_come_without_the_rows_between(spark):
+    events = fold_input(Tables(spark, SMALL))
+    last = st.fold_events(events, stale_seconds=7_200, last_only=True)
+    every = st.fold_events(events, stale_seconds=7_200).filter("is_last")
+    rows = last.collect()
+    assert len(rows) == events.select("unit_id").distinct().count() < events.count()
+    assert sorted(map(str, rows)) == sorted(map(str, every.collect()))
