@@ -9,9 +9,9 @@ from html.parser import HTMLParser
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, StringType
 
 SPACE = r"(?U)\s+"
 # Every character that counts as white space.
@@ -196,3 +196,33 @@ def without_markup(value: Column) -> Column:
     """
     plain = plain_in_jvm(value, angles=True)
     return _finished_texts(plain, F.when(plain.isNull(), value))
+
+
+@F.arrow_udf(ArrayType(StringType()))
+def _read_lists(left: pa.Array) -> pa.Array:
+    """Lists of plain texts for the lists left to the reader."""
+    if left.null_count == len(left):
+        return left
+    read = pa.array(plain_texts(left.flatten().to_pandas()), pa.string())
+    lists = pa.ListArray.from_arrays(pa.array(_offsets(left), pa.int32()), read)
+    return pc.if_else(left.is_valid(), lists, pa.scalar(None, lists.type))
+
+
+def _offsets(lists: pa.Array) -> list[int]:
+    ends = pc.cumulative_sum(pc.fill_null(pc.list_value_length(lists), 0))
+    return [0, *ends.to_pylist()]
+
+
+def with_plain_lists(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` with these lists of texts without markup, as ``without_markup`` makes them.
+
+    Only a list with a text that ``plain_in_jvm`` cannot tell goes to the reader.
+    """
+    plain = {n: F.transform(n, lambda v: plain_in_jvm(v, angles=True)) for n in names}
+    told = df.withColumns({f"_told {n}": column for n, column in plain.items()})
+
+    def finished(n: str) -> Column:
+        done = F.col(f"_told {n}")
+        return F.coalesce(_read_lists(F.when(F.exists(done, lambda v: v.isNull()), F.col(n))), done)
+
+    return told.withColumns({n: finished(n) for n in names}).drop(*[f"_told {n}" for n in names])

@@ -521,7 +521,7 @@ def compact_descriptions(t: Tables) -> DataFrame:
 @query("description_fields", f"WITH {_LINKED}, {_STUDY_ROWS}, {_FIELD_ROWS} SELECT experiment, string_agg(DISTINCT field, '|' ORDER BY field) AS fields FROM F GROUP BY experiment")
 def description_fields(t: Tables) -> DataFrame:
     """Field names of the packed description of every experiment."""
-    maps = ds.description_maps(ds.compact_descriptions(bundle_of(t, with_runs=False), strict=False))
+    maps = ds.compact_maps(bundle_of(t, with_runs=False), strict=False)
     return maps.select("experiment", F.array_join(F.array_sort(F.map_keys("description")), "|").alias("fields"))
 
 

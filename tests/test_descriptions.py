@@ -202,3 +202,34 @@ def test_linked_subset_keeps_assay_specific_protocol(spark):
     wanted = spark.createDataFrame([("SRX1",)], "experiment_accession STRING")
     part = Bundle(**{**two.__dict__, "raw_sra_packages": raw}).subset_experiments(wanted)
     assert part.runs.count() == 1 and part.experiments.count() == 1 and part.studies.first()["accession"] == "SRP1"
+
+
+def test_descriptions_are_folded_within_their_link(spark):
+    """Random entries of a link, folded in its row, as the row operators fold them."""
+    import random
+
+    draw = random.Random(11)
+    values = ["liver", "[a] Liver", " LIVER", "brain  cortex", "brain cortex", "x", "STRASSE", "straße", "n/a", "&eacute; <b>x</b>", "é x"]
+    rows = [
+        (f"E{e}", stage, block, 0, draw.choice(["Tissue", "Source name", "Sex", "Age"]), draw.choice(values), draw.random() < 0.3)
+        for e in range(300)
+        for stage in (0, 1)
+        for block in range(draw.randint(0, 5))
+    ]
+    table = spark.createDataFrame(rows, "experiment STRING, stage INT, block INT, pos INT, field STRING, value STRING, keep_missing BOOLEAN")
+    loose = ds.fold_values(table.withColumn("ord", F.struct("block", "pos")), ["experiment", "stage"])
+    repeated = ds.redundant_sources(ds.experiment_wins(loose, ["experiment"]).select(*loose.columns), ["experiment"])
+    kept = ds.experiment_wins(loose, ["experiment"]).join(repeated.withColumn("_gone", F.lit(True)), "experiment", "left").filter("_gone IS NULL OR field <> 'Source name'")
+    expected = {(r["experiment"], r["field"], r["value"], tuple(r["ord"]), (r["field_ord"]["stage"], *r["field_ord"]["ord"])) for r in kept.collect()}
+    entry = F.struct("block", "pos", "field", "value", "keep_missing", *[F.lit(None).cast("string").alias(a) for a in ("alias0", "alias1")])
+    lists = table.groupBy("experiment").agg(*[F.collect_list(F.when(F.col("stage") == s, entry)).alias(f"_{s}") for s in (0, 1)])
+    ready = ds._ready_entries(lists, None, _a=(0, F.col("_0")), _b=(1, F.col("_1")))
+    fields = ready.select("experiment", F.explode(F.array(ds._folded(F.concat("_a", "_b"), drop_sources=True))).alias("f")).select("experiment", F.inline("f"))
+    found = {(r["experiment"], r["field"], v["value"], (v["block"], v["pos"]), (r["stage"], r["block"], r["pos"])) for r in fields.collect() for v in r["values"]}
+    assert found == expected and len(found) > 600
+    long = [record("tissue", f"part {i}") for i in range(4_000)] + [record("source name", "PART 7")]
+    maps = ds.compact_maps(bundle(spark, records=long), strict=False)
+    assert maps.first()["description"]["Tissue"] == [f"part {i}" for i in range(4_000)] and "Source name" not in maps.first()["description"]
+    plan = maps._jdf.queryExecution().executedPlan().toString()
+    # Above the joins of the records nothing is sorted, windowed, grouped or exchanged.
+    assert not [step for step in ("Window", "Sort ", "Aggregate", "Exchange") if step in plan[:plan.index("Join")]]
