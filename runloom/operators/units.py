@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions.identity import canonical_json, sha256_hex
 from ..functions.values import EXACT_SUM, blank_to_null, lenient_int, lenient_int_via_float
@@ -14,6 +15,7 @@ from ..ordering import (
     ORD,
     PACK_LIMIT,
     group_sizes,
+    heavy_keys,
     pack_ordered,
     set_digest_aggs,
     set_digest_text,
@@ -173,6 +175,46 @@ def _first_members(exploded: DataFrame) -> DataFrame:
     )
 
 
+def packed_members(df: DataFrame, group_column: str, *, unique_runs: bool = False, limit: int = PACK_LIMIT) -> DataFrame:
+    """``unit_members`` packed as ``Units.packed`` does, with the rows of a unit brought together once.
+
+    A unit of at most ``limit`` rows is one list of its rows, sorted once, from which the distinct
+    values of each field are taken in order. Larger units are packed by way of their members.
+    """
+    kinds = {kind: found[0] for kind, names in MEMBER_COLUMNS.items() if (found := _present(df, names))}
+    unit, ordered = _key(df, group_column), df.schema[ORD].dataType
+    order = {f"_at{i}": F.col(ORD)[name] for i, name in enumerate(ordered.fieldNames())} if isinstance(ordered, StructType) else {"_at0": F.col(ORD)}
+    rows = df.select(
+        unit.alias("unit_id"), *[c.alias(n) for n, c in order.items()], *[F.col(f"`{c}`").cast("string").alias(kind) for kind, c in kinds.items()]
+    )
+    heavy = heavy_keys(rows, "unit_id", limit)
+    light = rows if heavy is None else rows.join(F.broadcast(heavy), "unit_id", "left_anti")
+    # The order is kept flat: the engine makes the order of an inner struct anew for each comparison.
+    items = F.array_sort(F.collect_list(F.struct(*order, *kinds))).alias("_items")
+    grouped = light.repartition("unit_id").groupBy("unit_id").agg(items)
+
+    def at(row: Column) -> list[Column]:
+        return [row[c] for c in order]
+
+    def tied(rows: Column) -> Column:
+        same = lambda r, i: reduce(lambda a, b: a & b, [x.eqNullSafe(y) for x, y in zip(at(r), at(rows[i - 1]))])
+        return F.exists(F.transform(rows, lambda r, i: (i > 0) & same(r, i)), lambda t: t)
+
+    def listed(kind: str) -> Column:
+        # Values of rows that are equal in order follow each other by themselves.
+        by_value = F.array_sort(F.transform("_items", lambda r: F.struct(*at(r), r[kind])))[kind]
+        values = F.when(F.col("_tied"), by_value).otherwise(F.col("_items")[kind])
+        filled = F.filter(values, lambda v: v.isNotNull() & (v != ""))
+        return F.struct(F.lit(kind).alias("kind"), F.lit(0).alias("chunk"), F.lit(1).alias("n_chunks"), F.array_distinct(filled).alias("values"))
+
+    lists = grouped.withColumn("_tied", tied(F.col("_items"))).select("unit_id", F.inline(F.array(*map(listed, kinds))))
+    packed = lists.filter(F.size("values") > 0)
+    if heavy is None:
+        return packed
+    members = unit_members(df.join(F.broadcast(heavy), unit == heavy["unit_id"], "left_semi"), group_column, unique_runs=unique_runs)
+    return packed.unionByName(pack_ordered(members, ["unit_id", "kind"], "value", limit=limit).select(*packed.columns))
+
+
 def unit_run_sizes(df: DataFrame, group_column: str, *, unique_runs: bool = False) -> DataFrame:
     """Size per unit and run; the last row of a run wins, if there can be several."""
     size_mb = F.col("size_MB") if "size_MB" in df.columns else F.lit(None)

@@ -21,6 +21,8 @@ from .session import cut_lineage
 
 ORD = "_ord"
 PACK_LIMIT = 100_000
+# Buckets of keys whose sizes are counted first, and combine before the shuffle.
+KEY_BUCKETS = 1 << 16
 
 
 def with_order(df: DataFrame, *columns: str) -> DataFrame:
@@ -97,6 +99,21 @@ def group_sizes(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
 
 
+def heavy_keys(df: DataFrame, key: str, limit: int) -> DataFrame | None:
+    """Keys that more than ``limit`` rows share, or None.
+
+    Rows are counted by buckets of keys first, which takes a few rows per task; only the keys
+    in buckets above the limit are then counted by themselves.
+    """
+    bucket = F.pmod(F.xxhash64(F.col(f"`{key}`")), F.lit(KEY_BUCKETS))
+    bucketed = df.filter(F.col(f"`{key}`").isNotNull()).select(key, bucket.alias("_bucket"))
+    full = cut_lineage(group_sizes(bucketed, ["_bucket"]).filter(F.col("_n") > limit).select("_bucket"))
+    if full.isEmpty():
+        return None
+    heavy = cut_lineage(group_sizes(bucketed.join(F.broadcast(full), "_bucket", "left_semi"), [key]).filter(F.col("_n") > limit).select(key))
+    return None if heavy.isEmpty() else heavy
+
+
 def _by_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Join on keys that may be null; ``right`` is one row per key."""
     renamed = {k: f"_key{i}" for i, k in enumerate(keys)}

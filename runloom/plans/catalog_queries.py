@@ -10,7 +10,7 @@ from ..operators import catalog as cat
 from ..operators import units as un
 from ..operators.manifest import items_digest
 from ..operators.reads import oversized_runs
-from ..ordering import ORD, keep_first, pack_ordered, with_order
+from ..ordering import ORD, keep_first, with_order
 from .registry import Tables, query
 
 ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
@@ -256,7 +256,7 @@ def oversized(t: Tables) -> DataFrame:
 )
 def packed_experiment_lists(t: Tables) -> DataFrame:
     """Ordered arrays per experiment, in bounded chunks."""
-    packed = pack_ordered(un.unit_members(clean_catalog(t), "Experiment", unique_runs=True), ["unit_id", "kind"], "value")
+    packed = un.packed_members(clean_catalog(t), "Experiment", unique_runs=True)
     return packed.select("unit_id", "kind", F.array_join("values", ",").alias("listed"), "n_chunks")
 
 

@@ -297,3 +297,24 @@ def test_first_contradictions_early_late_and_few(spark, monkeypatch):
         if shift == 0 and limit == 3:
             # The whole table is not grouped for the result.
             assert "Aggregate" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_units_are_packed_from_rows_brought_together_once(spark):
+    """As by way of their members, with ties, gaps and units above the limit, and by one shuffle."""
+    from runloom.operators import units as un
+
+    draw = random.Random(3)
+    rows = [
+        (f"r{draw.randint(0, 60)}" if draw.random() < 0.95 else None, draw.choice(["u", "v", "w", "x", "y", "", None]), draw.choice(["e1", "e2", "", None]), draw.choice("ABC"), (draw.randint(0, 15), draw.randint(0, 1)))
+        for _ in range(300)
+    ]
+    table = spark.createDataFrame(rows, "Run STRING, BioSample STRING, Experiment STRING, LibraryLayout STRING, _ord STRUCT<a: INT, b: INT>")
+    members = un.unit_members(table, "BioSample")
+    for limit in (1_000, 40, 7):
+        expected = pack_ordered(members, ["unit_id", "kind"], "value", limit=limit).select("unit_id", "kind", "chunk", "n_chunks", "values")
+        packed = un.packed_members(table, "BioSample", limit=limit)
+        assert sorted(map(str, packed.collect())) == sorted(map(str, expected.collect()))
+    plain = table.withColumn("_ord", F.col("_ord.a") * 2 + F.col("_ord.b"))
+    assert sorted(map(str, un.packed_members(plain, "BioSample").collect())) == sorted(map(str, un.packed_members(table, "BioSample").collect()))
+    plan = un.packed_members(table, "BioSample")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
