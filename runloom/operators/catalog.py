@@ -11,6 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, NumericType
+from pyspark.sql.window import Window
 
 from ..ordering import ORD, distinct_in_order, keep_first, with_order
 from ..session import cut_lineage
@@ -93,6 +94,29 @@ def merge_few_duplicates(df: DataFrame, key: str = RUN) -> DataFrame:
     return alone.unionByName(merge_duplicates(copies, key))
 
 
+def merge_or_keep_apart(df: DataFrame, own: Column, key: str = RUN) -> DataFrame:
+    """A catalog of one row per key that discards nothing, also where copies contradict each other.
+
+    Copies of a key that agree are merged as ``merge_duplicates`` does. Where they do not, each
+    different copy stays and takes the name ``own``, which covers the whole row and is no other
+    key's name. The copies of a key are brought together once and sorted once; they are judged
+    in a window, which spills.
+    """
+    values = [c for c in df.columns if c not in (key, ORD)]
+    # Rows are sorted by a hash of their key first, which is a number.
+    copies = Window.partitionBy("_hash", f"`{key}`")
+    placed = df.withColumn("_hash", F.xxhash64(f"`{key}`")).repartition("_hash").withColumn("_own", own)
+    in_order = copies.orderBy("_own", ORD)
+    numbered = placed.withColumns({"_place": F.row_number().over(in_order), "_before": F.lag("_own").over(in_order)})
+    merged = numbered.withColumns({"_first": F.min(ORD).over(copies)} | {f"lo {c}": F.min(f"`{c}`").over(copies) for c in values})
+    differs = [F.coalesce(F.col(f"`{c}`") != F.col(f"`lo {c}`"), F.lit(False)) for c in values]
+    judged = merged.withColumn("_apart", F.max(reduce(lambda a, b: a | b, differs, F.lit(False))).over(copies))
+    kept = judged.filter(F.when(F.col("_apart"), ~F.col("_own").eqNullSafe(F.col("_before"))).otherwise(F.col("_place") == 1))
+    one = {key: F.col(f"`{key}`"), ORD: F.col("_first")} | {c: F.col(f"`lo {c}`") for c in values}
+    apart = {key: F.col("_own")}
+    return kept.select(*[F.when(F.col("_apart"), apart.get(c, F.col(f"`{c}`"))).otherwise(one[c]).alias(c) for c in df.columns])
+
+
 def contradictions(df: DataFrame, key: str = RUN) -> DataFrame:
     """``(key, _conflicts)`` of the keys whose copies differ.
 

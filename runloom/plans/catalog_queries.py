@@ -22,10 +22,10 @@ _WHOLE_SQL = " || '-' || ".join(
 )
 
 
-def _sql_c(run: str) -> str:
+def _sql_c(run: str, more: str = "") -> str:
     return f"""
 C AS (
-  SELECT {run} AS Run,
+  SELECT {run} AS Run,{more}
          'SRX' || CAST(l_orderkey AS VARCHAR) AS Experiment,
          'SRS' || CAST(l_partkey AS VARCHAR) AS Sample,
          'SAMN' || CAST(l_suppkey AS VARCHAR) AS BioSample,
@@ -48,6 +48,15 @@ SQL_CLEAN = (
     + _ORDER_SQL
     + ") AS rn FROM C SEMI JOIN K USING (Run)), CC AS (SELECT * FROM R WHERE rn = 1)"
 )
+# Runs are named by order and line. Copies that agree are one run; each copy of a run that
+# contradicts itself is a run of its own, named by its whole line.
+SQL_APART = (
+    _sql_c("CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR)", f" {_WHOLE_SQL} AS Own,")
+    + ", K AS (SELECT Run FROM C GROUP BY Run HAVING "
+    + " OR ".join(f"min({c}) <> max({c})" for c in CONFLICT_COLUMNS)
+    + "), N AS (SELECT C.* REPLACE (CASE WHEN Run IN (SELECT Run FROM K) THEN Own ELSE Run END AS Run) FROM C)"
+    + f", R AS (SELECT *, row_number() OVER (PARTITION BY Run ORDER BY {_ORDER_SQL}) AS rn FROM N), CC AS (SELECT * FROM R WHERE rn = 1)"
+)
 _CONFLICT_LIST = "concat_ws(',', " + ", ".join(
     f"CASE WHEN min({c}) <> max({c}) THEN '{c}' END" for c in CONFLICT_COLUMNS
 ) + ")"
@@ -79,6 +88,14 @@ def clean_catalog(t: Tables) -> DataFrame:
     return cat.without_conflicts(cat.merge_few_duplicates(catalog_view(t, F.concat_ws("-", *WHOLE_LINE, *cents))))
 
 
+def whole_catalog(t: Tables) -> DataFrame:
+    """The run table of all lines by run accession; see ``SQL_APART`` for the same table in SQL."""
+    cents = [F.round(F.col(c) * 100).cast("bigint") for c in ("bases", "size_MB")]
+    keys = [F.col(ORD)[c] for c in ("l_partkey", "l_suppkey")]
+    own = F.concat_ws("-", "Run", *keys, "LibraryStrategy", "LibraryLayout", *cents)
+    return cat.merge_or_keep_apart(catalog_view(t), own)
+
+
 @query(
     "run_conflicts",
     f"WITH {SQL_C} SELECT Run AS key, {_CONFLICT_LIST} AS detail FROM C GROUP BY Run HAVING {_CONFLICT_LIST} <> ''",
@@ -169,14 +186,14 @@ def catalog_audit(t: Tables) -> DataFrame:
 
 @query(
     "unit_summaries",
-    f"""WITH {SQL_CLEAN} SELECT BioSample AS unit_id, min(ScientificName) AS scientific_name, min(TaxID) AS taxid,
+    f"""WITH {SQL_APART} SELECT BioSample AS unit_id, min(ScientificName) AS scientific_name, min(TaxID) AS taxid,
     CAST(sum(CAST(trunc(bases) AS BIGINT)) AS BIGINT) AS total_bases,
     round(CAST(sum(CAST(size_MB AS DECIMAL(28,9))) AS DOUBLE) / 1000, 6) AS total_size_gb
     FROM CC GROUP BY BioSample""",
 )
 def unit_summaries(t: Tables) -> DataFrame:
     """Units by BioSample."""
-    table = un.group_units(clean_catalog(t), "BioSample", unique_runs=True).table
+    table = un.group_units(whole_catalog(t), "BioSample", unique_runs=True).table
     return table.drop(ORD).withColumn("total_size_gb", F.round("total_size_gb", 6))
 
 

@@ -318,3 +318,53 @@ def test_units_are_packed_from_rows_brought_together_once(spark):
     assert sorted(map(str, un.packed_members(plain, "BioSample").collect())) == sorted(map(str, un.packed_members(table, "BioSample").collect()))
     plan = un.packed_members(table, "BioSample")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_contradicting_copies_are_kept_apart(spark):
+    """Copies that agree are one run, the others stay under names of their own; no row is lost."""
+    from runloom.operators.catalog import merge_or_keep_apart
+
+    draw = random.Random(8)
+    rows = [(f"r{draw.randint(0, 90)}", draw.choice([1, 1, 2, None]), draw.choice(["x", "x", "y", None]), i) for i in range(160)]
+    rows += [(None, 1, "x", 160), (None, 1, "z", 161), *[("copy", 5, "q", 170 + i) for i in range(9)], ("gap", None, "q", 190), ("gap", 3, None, 189)]
+    table = spark.createDataFrame(rows, "Run STRING, n INT, t STRING, _ord INT")
+    expected, apart = set(), set()
+    for run in {r[0] for r in rows}:
+        copies = [r for r in rows if r[0] == run]
+        n, t = ({r[i] for r in copies} - {None} for i in (1, 2))
+        if len(n) < 2 and len(t) < 2:
+            expected.add((run, *(n or [None]), *(t or [None]), min(r[3] for r in copies)))
+            continue
+        for one in {r[1:3] for r in copies}:
+            name = "-".join(str(v) for v in (run, *one) if v is not None)
+            apart.add((name, *one, min(r[3] for r in copies if r[1:3] == one)))
+    # Names of the test skip nulls, as concat_ws does, so rows that differ only there need a mark.
+    own = F.concat_ws("-", "Run", "n", "t")
+    marked = F.concat_ws("-", own, F.when(F.col("n").isNull(), "n?"), F.when(F.col("t").isNull(), "t?"))
+    found = [tuple(r) for r in merge_or_keep_apart(table, marked).collect()]
+    unmarked = {(n.replace("-n?", "").replace("-t?", "") if n else n, *rest) for n, *rest in found}
+    assert len(found) == len(unmarked) == len(expected | apart) and {(n or "", *r) for n, *r in unmarked} == {(n or "", *r) for n, *r in expected | apart}
+    assert ("copy", 5, "q", 170) in expected and ("gap", 3, "q", 189) in expected and len(apart) > 40
+    plan = merge_or_keep_apart(table, marked)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
+
+
+UNITS = {"unit_summaries": 100}
+
+
+@pytest.mark.parametrize("name", sorted(UNITS))
+def test_units_judge_runs_by_accession_and_keep_all_lines(name):
+    """The SQL names agreeing runs by order and line, and no line of a contradicting run is left out."""
+    import duckdb
+
+    from runloom.plans import ORACLES
+
+    assert "CASE WHEN Run IN (SELECT Run FROM K) THEN Own ELSE Run END" in ORACLES[name]
+    tables = "/root/testdata/sf0.001"
+    database = duckdb.connect()
+    for table in ("lineitem", "supplier", "nation"):
+        database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{tables}/{table}.parquet'")
+    runs = ORACLES[name][: ORACLES[name].index("CC AS (") + len("CC AS (SELECT * FROM R WHERE rn = 1)")]
+    named = database.execute(runs + " SELECT count(*), count(*) FILTER (Run = l_orderkey || '-' || l_linenumber) FROM CC").fetchone()
+    lines, single = database.execute("SELECT sum(n), count(*) FILTER (n = 1) FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)").fetchone()
+    assert named == (lines, single) and single < lines
