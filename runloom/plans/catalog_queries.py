@@ -215,14 +215,14 @@ def _members_sql(unit: str) -> str:
 
 @query(
     "unit_members",
-    f"""WITH {SQL_CLEAN}, U AS ({_members_sql("BioSample")}),
+    f"""WITH {SQL_APART}, U AS ({_members_sql("BioSample")}),
     V AS (SELECT *, row_number() OVER (PARTITION BY unit_id, kind, value ORDER BY {_ORDER_SQL}) AS rn FROM U)
     SELECT unit_id, kind, value, l_orderkey AS first_order, l_linenumber AS first_line FROM V WHERE rn = 1""",
 )
 def unit_members(t: Tables) -> DataFrame:
     """Distinct list values per unit with their first appearance."""
     # The first by the whole order begins with the first order and line, all that is returned.
-    catalog = clean_catalog(t).withColumn(ORD, F.struct(f"{ORD}.l_orderkey", f"{ORD}.l_linenumber"))
+    catalog = whole_catalog(t).withColumn(ORD, F.struct(f"{ORD}.l_orderkey", f"{ORD}.l_linenumber"))
     members = un.unit_members(catalog, "BioSample", unique_runs=True)
     return members.select(
         "unit_id",
