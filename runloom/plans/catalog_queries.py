@@ -235,13 +235,13 @@ def unit_members(t: Tables) -> DataFrame:
 
 @query(
     "unit_species_conflicts",
-    f"""WITH {SQL_CLEAN} SELECT Experiment AS key,
+    f"""WITH {SQL_APART} SELECT Experiment AS key,
     'taxids ' || min(TaxID) || '..' || max(TaxID) || ', names ' || min(ScientificName) || '..' || max(ScientificName) AS detail
     FROM CC GROUP BY Experiment HAVING min(TaxID) <> max(TaxID) OR min(ScientificName) <> max(ScientificName)""",
 )
 def unit_species_conflicts(t: Tables) -> DataFrame:
     """Experiments that mix species."""
-    return un.group_units(clean_catalog(t), "Experiment", unique_runs=True).violations.select("key", "detail")
+    return un.group_units(whole_catalog(t), "Experiment", unique_runs=True).violations.select("key", "detail")
 
 
 @query(

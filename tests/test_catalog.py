@@ -349,7 +349,7 @@ def test_contradicting_copies_are_kept_apart(spark):
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
 
 
-UNITS = ["unit_summaries", "unit_members"]
+UNITS = ["unit_summaries", "unit_members", "unit_species_conflicts"]
 
 
 @pytest.mark.parametrize("name", UNITS)
