@@ -246,11 +246,11 @@ def unit_species_conflicts(t: Tables) -> DataFrame:
 
 @query(
     "unit_run_sizes",
-    f"WITH {SQL_CLEAN} SELECT BioSample AS unit_id, Run AS run, round(size_MB / 1000, 9) AS size_gb FROM CC",
+    f"WITH {SQL_APART} SELECT BioSample AS unit_id, Run AS run, round(size_MB / 1000, 9) AS size_gb FROM CC",
 )
 def unit_run_sizes(t: Tables) -> DataFrame:
     """Size per unit and run."""
-    sizes = un.unit_run_sizes(clean_catalog(t), "BioSample", unique_runs=True)
+    sizes = un.unit_run_sizes(whole_catalog(t), "BioSample", unique_runs=True)
     return sizes.withColumn("size_gb", F.round("size_gb", 9))
 
 
