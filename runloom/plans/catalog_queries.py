@@ -256,13 +256,13 @@ def unit_run_sizes(t: Tables) -> DataFrame:
 
 @query(
     "oversized_runs",
-    f"""WITH {SQL_CLEAN} , S AS (SELECT *, (CAST(round(size_MB * 100) AS BIGINT) + 50) // 100 AS thousandths FROM CC)
+    f"""WITH {SQL_APART}, S AS (SELECT *, (CAST(round(size_MB * 100) AS BIGINT) + 50) // 100 AS thousandths FROM CC)
     SELECT BioSample AS key, Run || '=' || (thousandths // 1000) || '.' || lpad(CAST(thousandths % 1000 AS VARCHAR), 3, '0') || ' GB' AS detail
     FROM S WHERE size_MB / 1000 > 90""",
 )
 def oversized(t: Tables) -> DataFrame:
     """Runs above a size setting."""
-    return oversized_runs(un.unit_run_sizes(clean_catalog(t), "BioSample", unique_runs=True), "90G").select("key", "detail")
+    return oversized_runs(un.unit_run_sizes(whole_catalog(t), "BioSample", unique_runs=True), "90G").select("key", "detail")
 
 
 @query(
