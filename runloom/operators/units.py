@@ -18,6 +18,7 @@ from ..ordering import (
     heavy_keys,
     pack_ordered,
     set_digest_aggs,
+    set_digest_limbs,
     set_digest_text,
 )
 from ..violations import violation_rows
@@ -248,11 +249,15 @@ def accession_sets(members: DataFrame) -> DataFrame:
     the size of the unit, so its identity covers every accession, does not depend on any
     limit, and is one aggregate that combines before the shuffle. No accessions: no text.
     """
-    kinds = members.filter(F.col("kind").isin(*ACCESSION_KINDS))
-    of_kind = {kind: F.when(F.col("kind") == kind, F.col("value")) for kind in ACCESSION_KINDS}
+    limbs = {f"_limb{i}": limb for i, limb in enumerate(set_digest_limbs(F.col("value")))}
+    kinds = members.filter(F.col("kind").isin(*ACCESSION_KINDS)).select("unit_id", "kind", "value", *[c.alias(n) for n, c in limbs.items()])
+
+    def of_kind(kind: str, name: str) -> Column:
+        return F.when(F.col("kind") == kind, F.col(name))
+
     summed = kinds.groupBy("unit_id").agg(
-        *[a for kind, value in of_kind.items() for a in set_digest_aggs(value, f"_{kind}_")],
-        *[F.count(value).alias(f"_{kind}_n") for kind, value in of_kind.items()],
+        *[a for kind in ACCESSION_KINDS for a in set_digest_aggs([of_kind(kind, limb) for limb in limbs], f"_{kind}_")],
+        *[F.count(of_kind(kind, "value")).alias(f"_{kind}_n") for kind in ACCESSION_KINDS],
     )
 
     def text(kind: str) -> Column:

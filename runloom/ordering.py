@@ -181,20 +181,21 @@ def global_ordinal(df: DataFrame, order: Sequence[str], name: str = "ordinal") -
     )
 
 
-def _limbs(value: Column) -> list[Column]:
+def set_digest_limbs(value: Column) -> list[Column]:
+    """Four 60-bit pieces of a value's SHA-256, for ``set_digest_aggs``; best made once per row."""
     digest = F.sha2(value, 256)
     return [
         F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("bigint") for i in range(4)
     ]
 
 
-def set_digest_aggs(value: Column, prefix: str) -> list[Column]:
+def set_digest_aggs(limbs: list[Column], prefix: str) -> list[Column]:
     """Aggregates whose results identify a set of distinct values in any order.
 
-    Four 60-bit pieces of each value's SHA-256 are XOR-ed: the aggregation buffer is
-    four integers, so it combines on the map side however large the set is.
+    The pieces of each value's digest are XOR-ed: the aggregation buffer is four integers,
+    so it combines on the map side however large the set is.
     """
-    return [F.bit_xor(limb).alias(f"{prefix}{i}") for i, limb in enumerate(_limbs(value))]
+    return [F.bit_xor(limb).alias(f"{prefix}{i}") for i, limb in enumerate(limbs)]
 
 
 def set_digest_text(prefix: str, count: Column) -> Column:

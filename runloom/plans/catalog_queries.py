@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -335,7 +337,7 @@ def _set_sql(column: str) -> str:
     return f"""CASE WHEN count({column}) = 0 THEN '[]' ELSE '["set:' || count(DISTINCT {column}) || ':' || {' || '.join(pieces)} || '"]' END"""
 
 
-SQL_PRINTS = f"""{SQL_CLEAN}, P AS ({PINS_SQL}),
+_PRINTS = f"""P AS ({PINS_SQL}),
 L AS (SELECT BioSample AS unit_id, min(TaxID) AS taxid,
    {_set_sql('Run')} AS run_accessions, {_set_sql('Experiment')} AS experiment_accessions,
    {_set_sql('Sample')} AS sra_sample_accessions, {_set_sql('BioSample')} AS biosample_accessions
@@ -348,11 +350,12 @@ FP AS (SELECT unit_id, L.taxid, accession AS genome_pin, sha256(
    || ',"sra_sample_accessions":' || sra_sample_accessions
    || ',"taxid":' || L.taxid || ',"unit_id":"' || unit_id || '"}}') AS fingerprint
    FROM L LEFT JOIN P ON L.taxid = P.taxid)"""
+SQL_PRINTS = f"{SQL_CLEAN}, {_PRINTS}"
 
 
-def fingerprints(t: Tables) -> DataFrame:
-    """Fingerprint of every BioSample unit of the clean catalog."""
-    grouped = un.group_units(clean_catalog(t), "BioSample", unique_runs=True)
+def fingerprints(t: Tables, catalog: Callable[[Tables], DataFrame] = clean_catalog) -> DataFrame:
+    """Fingerprint of every BioSample unit of the clean catalog, or of another."""
+    grouped = un.group_units(catalog(t), "BioSample", unique_runs=True)
     pins = t.nation.filter("n_nationkey % 5 = 0").select(
         F.col("n_nationkey").cast("bigint").alias("taxid"),
         F.concat(F.lit("GCF_"), F.col("n_nationkey")).alias("accession"),
@@ -367,10 +370,10 @@ def fingerprints(t: Tables) -> DataFrame:
     )
 
 
-@query("unit_fingerprints", f"WITH {SQL_PRINTS} SELECT unit_id, taxid, genome_pin, fingerprint FROM FP")
+@query("unit_fingerprints", f"WITH {SQL_APART}, {_PRINTS} SELECT unit_id, taxid, genome_pin, fingerprint FROM FP")
 def unit_fingerprints(t: Tables) -> DataFrame:
     """Identity of the work of every unit."""
-    return fingerprints(t).select("unit_id", "taxid", "genome_pin", "fingerprint")
+    return fingerprints(t, whole_catalog).select("unit_id", "taxid", "genome_pin", "fingerprint")
 
 
 @query(
