@@ -378,12 +378,12 @@ def unit_fingerprints(t: Tables) -> DataFrame:
 
 @query(
     "execution_digest",
-    f"""WITH {SQL_PRINTS} SELECT sha256(string_agg(fingerprint, chr(10) ORDER BY unit_id)) AS digest,
+    f"""WITH {SQL_APART}, {_PRINTS} SELECT sha256(string_agg(fingerprint, chr(10) ORDER BY unit_id)) AS digest,
     CAST(count(*) AS BIGINT) AS n FROM FP""",
 )
 def execution_digest(t: Tables) -> DataFrame:
     """Digest over all fingerprints in unit order."""
-    return items_digest(fingerprints(t).select("unit_id", "fingerprint"), ["unit_id"])
+    return items_digest(fingerprints(t, whole_catalog).select("unit_id", "fingerprint"), ["unit_id"])
 
 
 @query(

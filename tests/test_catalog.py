@@ -349,7 +349,7 @@ def test_contradicting_copies_are_kept_apart(spark):
     assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1
 
 
-UNITS = ["unit_summaries", "unit_members", "unit_species_conflicts", "unit_run_sizes", "oversized_runs", "unit_fingerprints"]
+UNITS = ["unit_summaries", "unit_members", "unit_species_conflicts", "unit_run_sizes", "oversized_runs", "unit_fingerprints", "execution_digest"]
 
 
 @pytest.mark.parametrize("name", UNITS)
